@@ -43,10 +43,10 @@ def top_k(df: DataFrame, k: int, by: Sequence[tuple[str, bool]]) -> DataFrame:
 def capped_per_group(df: DataFrame, group: str, limits: Mapping[str, int], order: Column) -> DataFrame:
     """The first ``limits[g]`` rows of each group by a pseudo-random order: a reproducible sample.
 
-    A cut-off per group comes from a histogram of the order's leading byte; only the rows of the
-    byte where the limit is reached are ranked, 1/256 of the group on average.
+    A cut-off per group comes from a histogram of the first four hex digits of ``order``; only the rows
+    of the bucket where the limit is reached are ranked, 1/65536 of the group on average.
     """
-    tagged = df.withColumns({"_o": order, "_b": F.substring(order, 1, 2)})
+    tagged = df.withColumns({"_o": order, "_b": F.substring(order, 1, 4)})
     hist = tagged.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(
         F.sum("_n").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
