@@ -227,6 +227,6 @@ def component_age(components: DataFrame, meters: DataFrame, as_of: Column) -> Da
     return components.join(meter, "asset_id", "left").withColumn("component_age_hours", F.when(age >= 0, age))
 
 
-def installed_at(components: DataFrame, as_of: Column) -> Column:
+def installed_at(as_of: Column) -> Column:
     asked = micros(as_of)
     return (micros("installed_at") <= asked) & (F.col("removed_at").isNull() | (micros("removed_at") > asked))
