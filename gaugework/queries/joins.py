@@ -109,9 +109,9 @@ def d12(t):
 
 
 @query("d13_interval_stab", sql("loose_states", """SELECT o_orderkey, coalesce((SELECT arg_max(operating_state, (coalesce(state_end, TIMESTAMP '9999-01-01'), state_start, state_id)) FROM loose_states s
-      WHERE s.asset_id = o_custkey AND state_start <= at AND (state_end IS NULL OR state_end > at) AND (state_end IS NULL OR state_end > state_start)), 'Unknown') AS operating_state,
-    (SELECT count(*) FROM loose_states s WHERE s.asset_id = o_custkey AND state_start <= at AND (state_end IS NULL OR state_end > at) AND (state_end IS NULL OR state_end > state_start)) AS covering
-    FROM (SELECT o_orderkey, o_custkey, o_orderdate + INTERVAL 45 DAYS AS at FROM orders)"""))
+      WHERE s.asset_id = o_custkey AND state_start <= q AND (state_end IS NULL OR state_end > q) AND (state_end IS NULL OR state_end > state_start)), 'Unknown') AS operating_state,
+    (SELECT count(*) FROM loose_states s WHERE s.asset_id = o_custkey AND state_start <= q AND (state_end IS NULL OR state_end > q) AND (state_end IS NULL OR state_end > state_start)) AS covering
+    FROM (SELECT o_orderkey, o_custkey, o_orderdate + INTERVAL 45 DAYS AS q FROM orders)"""))
 def d13(t):
     asks = t.orders.select("o_orderkey", "o_custkey", (F.col("o_orderdate") + F.expr("INTERVAL 45 DAYS")).alias("at"))
     out = stab(
