@@ -80,11 +80,13 @@ def e09b(t):
     return t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag").distinct()
 
 
-@query("e10_event_schedule", sql("failures", "SELECT machine_id, date_trunc('day', failure_time)::DATE AS day, list_sort(list_distinct(list(epoch(failure_time)::BIGINT))) AS failure_epochs FROM (SELECT machine_id, date_trunc('second', failure_time) AS failure_time FROM failures) GROUP BY 1, 2"))
+@query("e10_event_schedule", sql("failures", "SELECT machine_id, date_trunc('day', failure_time)::DATE AS day, array_to_string(list_sort(list_distinct(list(epoch(failure_time)::BIGINT))), ',') AS failure_epochs FROM (SELECT machine_id, date_trunc('second', failure_time) AS failure_time FROM failures) GROUP BY 1, 2"))
 def e10(t):
     """Sorted failure seconds per machine and day; a day bounds the array to 86,400 entries."""
     sec = F.unix_seconds(F.col("failure_time").cast("timestamp"))
-    return failures(t).groupBy("machine_id", F.to_date("failure_time").alias("day")).agg(F.array_sort(F.collect_set(sec)).alias("failure_epochs"))
+    return failures(t).groupBy("machine_id", F.to_date("failure_time").alias("day")).agg(
+        F.array_join(F.array_sort(F.collect_set(sec)).cast("array<string>"), ",").alias("failure_epochs")
+    )
 
 
 @query("e11_global_bounds", "SELECT min(ts) AS first_ts, max(ts) AS last_ts, max(user_id) AS max_user, greatest(max(user_id), (SELECT max(c_custkey) FROM customer)) AS max_asset FROM events")

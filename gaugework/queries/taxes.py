@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.num import r6
+from ..functions.num import money, r6
 from ..operators.quality import share_sums
 from ..plans import taxes as tax
 from .registry import query
@@ -104,16 +104,16 @@ def b23(t):
     return return_spine(people, list(range(2021, 2026)))
 
 
-@query("b24_federal_trail", w(FED, "SELECT return_id, " + ", ".join(f"round({c}, 4) + 0 AS {c}" for c in "wages bonus equity agi taxable tax credits withheld balance".split()) + " FROM f6"))
+@query("b24_federal_trail", w(FED, "SELECT return_id, " + ", ".join(f"{dec(c)} AS {c}" for c in "wages bonus equity agi taxable tax credits withheld balance".split()) + " FROM f6"))
 def b24(t):
     out = tax.federal_trail(returns(t))
-    return out.select("return_id", *[(F.round(c, 4) + 0.0).alias(c) for c in "wages bonus equity agi taxable tax credits withheld balance".split()])
+    return out.select("return_id", *[money(c).alias(c) for c in "wages bonus equity agi taxable tax credits withheld balance".split()])
 
 
-@query("b25_state_trail", w((*FED, *ST), "SELECT return_id, state_key, share, round(s_agi, 4) + 0 AS state_agi, round(apport, 4) + 0 AS apportioned, round(staxable, 4) + 0 AS state_taxable, round(stax, 4) + 0 AS state_tax, round(sbal, 4) + 0 AS state_balance FROM s7"))
+@query("b25_state_trail", w((*FED, *ST), "SELECT return_id, state_key, share, " + ", ".join(f"{dec(c)} AS {n}" for c, n in (("s_agi", "state_agi"), ("apport", "apportioned"), ("staxable", "state_taxable"), ("stax", "state_tax"), ("sbal", "state_balance"))) + " FROM s7"))
 def b25(t):
     return state_trail(t).select(
-        "return_id", "state_key", "share", *[(F.round(c, 4) + 0.0).alias(c) for c in ("state_agi", "apportioned", "state_taxable", "state_tax", "state_balance")]
+        "return_id", "state_key", "share", *[money(c).alias(c) for c in ("state_agi", "apportioned", "state_taxable", "state_tax", "state_balance")]
     )
 
 

@@ -28,6 +28,8 @@ def kind(type_name: str) -> str:
     s = str(type_name).lower()
     for a, b in (("bigint", "int"), ("hugeint", "huge"), ("smallint", "int"), ("integer", "int"), ("varchar", "string"), ("timestamp_ntz", "timestamp"), ("boolean", "bool")):
         s = s.replace(a, b)
+    if s.startswith('array<'):
+        s = s[6:-1] + '[]'
     return s.split("(")[0]
 
 
