@@ -1 +1,376 @@
-"""Queries."""
+"""Table generation over ids taken from the given tables.
+
+Hash values have no SQL counterpart, so hashed columns are checked by reports (ranges, counts,
+determinism); every column that follows from the id alone is compared value by value.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..functions.calendar import as_columns, clock_attributes, date_attributes
+from ..functions.keys import MODULUS, bounded_key, hashed_moment, pick, stable_hash
+from ..functions.num import r6
+from ..operators.quality import rule_report
+from ..sources import fleet_tables as fleet, retail_tables as retail, tax_tables as tax
+from .registry import query
+from .roles import failures, sql, telemetry
+
+SHAPE = fleet.FleetShape(customers=100, sites=40, models=40, assets=1_000_000, parts=50, failures=500, preventive_orders=500)
+
+
+def ids_of(df, column):
+    return df.select(F.col(column).alias("id"))
+
+
+def rules_sql(names: list[str], table: str, where: str = "") -> str:
+    """Every rule holds, and the scan that says so covers the whole table."""
+    rows = ", ".join(f"('{n}')" for n in names)
+    return f"SELECT rule, CAST(0 AS BIGINT) AS violations FROM (VALUES {rows}) v(rule) UNION ALL SELECT 'rows', count(*) FROM {table} {where}"
+
+
+def report(df, rules):
+    n = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("rows").alias("rule"), "violations")
+    return rule_report(df, rules).unionByName(n)
+
+
+def between(c, lo, hi):
+    return F.col(c).between(lo, hi)
+
+
+@query("b01_stable_hash", rules_sql(["non_negative", "below_modulus", "repeatable"], "lineitem"))
+def b01(t):
+    h = stable_hash("l_orderkey", "l_linenumber", "l_partkey")
+    again = stable_hash("l_orderkey", "l_linenumber", "l_partkey")
+    return report(t.lineitem.withColumn("h", h), {"non_negative": F.col("h") >= 0, "below_modulus": F.col("h") < MODULUS, "repeatable": F.col("h") == again})
+
+
+@query("b02_bounded_key", "SELECT l_orderkey % 25 + 1 AS bucket, count(*) AS row_count FROM lineitem GROUP BY 1")
+def b02(t):
+    return t.lineitem.groupBy(bounded_key("l_orderkey", 25).alias("bucket")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("b03_pick", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'premium' ELSE 'critical' END AS tier FROM orders")
+def b03(t):
+    return t.orders.select("o_orderkey", pick(fleet.TIERS, "o_orderkey").alias("tier"))
+
+
+@query("b04_hashed_timestamp", "SELECT o_orderkey, TIMESTAMP '2023-01-01' + to_seconds((o_orderkey * 7919) % 94608000) AS moment FROM orders")
+def b04(t):
+    moment = hashed_moment(F.col("o_orderkey") * 7919, SHAPE.history_start, SHAPE.history_seconds)
+    return t.orders.select("o_orderkey", moment.cast("timestamp_ntz").alias("moment"))
+
+
+def item_rules():
+    return (
+        between("i_brand_id", 0, 9_999)
+        & between("i_category_id", 0, 9_999)
+        & between("i_current_price", 0, 999.99)
+        & between("i_rec_start_date", date(2000, 1, 1), date(2018, 12, 31))
+        & F.col("i_brand").rlike("^i_brand_[0-9]{1,4}$")
+    )
+
+
+@query("b05_spec_table", "SELECT p_partkey + 1 AS i_item_sk, 'ITE-' || lpad(CAST(p_partkey + 1 AS VARCHAR), 12, '0') AS i_item_id, true AS in_range FROM part")
+def b05(t):
+    items = retail.spec_table("item", ids_of(t.part, "p_partkey"))
+    return items.select("i_item_sk", "i_item_id", item_rules().alias("in_range"))
+
+
+DATE_SQL = """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), n AS (SELECT d, date_diff('day', DATE '2000-01-01', d) AS k FROM d)
+    SELECT k + 1 AS d_date_sk, strftime(d, '%Y%m%d') AS d_date_id, d AS d_date, CAST(year(d) * 12 + month(d) AS INTEGER) AS d_month_seq, CAST(weekofyear(d) AS INTEGER) AS d_week_seq, CAST(year(d) * 4 + quarter(d) AS INTEGER) AS d_quarter_seq,
+    CAST(year(d) AS INTEGER) AS d_year, CAST(dayofweek(d) AS SMALLINT) AS d_dow, CAST(month(d) AS SMALLINT) AS d_moy, CAST(day(d) AS SMALLINT) AS d_dom, CAST(quarter(d) AS SMALLINT) AS d_qoy, CAST(year(d) AS INTEGER) AS d_fy_year,
+    CAST(year(d) * 4 + quarter(d) AS INTEGER) AS d_fy_quarter_seq, CAST(weekofyear(d) AS INTEGER) AS d_fy_week_seq, dayname(d) AS d_day_name, 'Q' || CAST(quarter(d) AS VARCHAR) AS d_quarter_name, false AS d_holiday, dayofweek(d) IN (0, 6) AS d_weekend,
+    false AS d_following_holiday, 1 AS d_first_dom, CAST(day(last_day(d)) AS INTEGER) AS d_last_dom, CAST(CASE WHEN k >= 364 THEN k + 1 - 364 END AS INTEGER) AS d_same_day_ly, CAST(CASE WHEN k >= 90 THEN k + 1 - 90 END AS INTEGER) AS d_same_day_lq,
+    false AS d_current_day, false AS d_current_week, false AS d_current_month, false AS d_current_quarter, false AS d_current_year FROM n"""
+
+
+@query("b07_date_dim", DATE_SQL)
+def b07(t):
+    return retail.date_dim(t.orders.select(F.to_date("o_orderdate").alias("d_date")).distinct())
+
+
+@query("b07_orders_by_calendar", "SELECT CAST(year(o_orderdate) AS INTEGER) AS d_year, 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS d_quarter_name, dayofweek(o_orderdate) IN (0, 6) AS d_weekend, count(*) AS orders FROM orders GROUP BY 1, 2, 3")
+def b07b(t):
+    a = date_attributes(F.to_date("o_orderdate"))
+    wanted = {k: a[k] for k in ("d_year", "d_quarter_name", "d_weekend")}
+    return t.orders.groupBy(*as_columns(wanted)).agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("b08_time_dim", """WITH s AS (SELECT DISTINCT CAST(hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS s FROM events)
+    SELECT s + 1 AS t_time_sk, lpad(CAST(s AS VARCHAR), 6, '0') AS t_time_id, CAST(s AS INTEGER) AS t_time, CAST(s // 3600 AS SMALLINT) AS t_hour, CAST(s % 3600 // 60 AS SMALLINT) AS t_minute, CAST(s % 60 AS SMALLINT) AS t_second,
+    CASE WHEN s < 43200 THEN 'AM' ELSE 'PM' END AS t_am_pm, CASE WHEN s < 28800 THEN 'night' WHEN s < 57600 THEN 'day' ELSE 'evening' END AS t_shift, 'standard' AS t_sub_shift,
+    CASE WHEN s // 3600 BETWEEN 6 AND 10 THEN 'breakfast' WHEN s // 3600 BETWEEN 11 AND 14 THEN 'lunch' ELSE 'other' END AS t_meal_time FROM s""")
+def b08(t):
+    sec = (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).cast("long")
+    return retail.time_dim(t.events.select(sec.alias("second")).distinct())
+
+
+@query("b08_events_by_meal", "SELECT CASE WHEN hour(ts) BETWEEN 6 AND 10 THEN 'breakfast' WHEN hour(ts) BETWEEN 11 AND 14 THEN 'lunch' ELSE 'other' END AS t_meal_time, count(*) AS events FROM events GROUP BY 1")
+def b08b(t):
+    sec = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    return t.events.groupBy(clock_attributes(sec)["t_meal_time"].alias("t_meal_time")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def fk_rules_names(table):
+    for position, (name, kind) in enumerate(retail.columns_of(table)):
+        if kind == "bigint" and retail.key_target(name) and (position or table in retail.FACTS):
+            yield name
+
+
+def fk_report(table, ids):
+    df = retail.spec_table(table, ids)
+    return report(df, {n: between(n, 1, retail.SIZES[retail.key_target(n)]) for n in fk_rules_names(table)})
+
+
+for _table in retail.DIMENSIONS:
+    if list(fk_rules_names(_table)):
+
+        def _make(table=_table):
+            @query(f"b09_{table}_keys", rules_sql(list(fk_rules_names(table)), "customer"))
+            def run(t):
+                return fk_report(table, ids_of(t.customer, "c_custkey"))
+
+        _make()
+
+for _table in retail.FACTS:
+
+    def _make_fact(table=_table):
+        @query(f"b10_{table}_keys", rules_sql(list(fk_rules_names(table)), "events"))
+        def run(t):
+            return fk_report(table, ids_of(t.events, "event_id"))
+
+    _make_fact()
+
+
+@query("b10_document_numbers", "SELECT event_id // 4 + 1 AS ss_ticket_number, count(*) AS lines FROM events GROUP BY 1")
+def b10(t):
+    sales = retail.spec_table("store_sales", ids_of(t.events, "event_id"))
+    return sales.groupBy("ss_ticket_number").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("b11_customers", """SELECT CAST(c_custkey + 1 AS INTEGER) AS customer_id, 'Customer ' || lpad(CAST(c_custkey + 1 AS VARCHAR), 5, '0') AS customer_name,
+    CASE c_custkey % 5 WHEN 0 THEN 'Manufacturing' WHEN 1 THEN 'Energy' WHEN 2 THEN 'Logistics' WHEN 3 THEN 'Healthcare' ELSE 'Utilities' END AS industry,
+    CASE c_custkey % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'premium' ELSE 'critical' END AS service_tier, true AS active, TIMESTAMP '2023-01-01' + to_seconds(c_custkey * 60) AS created_at FROM customer""")
+def b11(t):
+    return fleet.customers(ids_of(t.customer, "c_custkey"), SHAPE).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@query("b11_assets", """SELECT CAST(c_custkey + 1 AS INTEGER) AS asset_id, CAST((c_custkey % 40) % 100 + 1 AS INTEGER) AS customer_id, CAST(c_custkey % 40 + 1 AS INTEGER) AS site_id,
+    CASE WHEN c_custkey > 0 AND c_custkey % 10 = 0 THEN CAST(c_custkey // 10 + 1 AS INTEGER) END AS parent_asset_id, 'SN-' || lpad(CAST(c_custkey + 1 AS VARCHAR), 10, '0') AS serial_number,
+    'Asset ' || lpad(CAST(c_custkey + 1 AS VARCHAR), 8, '0') AS asset_name, true AS consistent FROM customer""")
+def b11b(t):
+    a = fleet.assets(ids_of(t.customer, "c_custkey"), SHAPE)
+    warranty = F.datediff("warranty_end_date", F.to_date("installed_at")) == 730
+    typed = F.col("asset_type_id") == F.pmod(F.col("asset_model_id") - 1, F.lit(8)) + 1
+    ready = F.unix_timestamp("commissioned_at") - F.unix_timestamp("installed_at") == 7 * 86_400
+    return a.select("asset_id", "customer_id", "site_id", "parent_asset_id", "serial_number", "asset_name", (warranty & typed & ready).alias("consistent"))
+
+
+@query("b11_sites_and_models", rules_sql(["latitude", "longitude", "site_type", "asset_type_id", "maker"], "customer"))
+def b11c(t):
+    ids = ids_of(t.customer, "c_custkey")
+    both = fleet.sites(ids, SHAPE).join(fleet.asset_models(ids, SHAPE), F.col("site_id") == F.col("asset_model_id"))
+    return report(
+        both,
+        {
+            "latitude": between("latitude", -60, 60),
+            "longitude": between("longitude", -170, 170),
+            "site_type": F.col("site_type").isin(*fleet.SITE_TYPES),
+            "asset_type_id": between("asset_type_id", 1, 8),
+            "maker": F.col("manufacturer").isin(*fleet.MAKERS),
+        },
+    )
+
+
+@query("b12_components_and_sensors", """SELECT e.event_id + 1 AS asset_component_id, CAST(event_id // 6 + 1 AS INTEGER) AS asset_id, 'position_' || CAST(event_id % 6 + 1 AS VARCHAR) AS component_position,
+    'COMP-' || lpad(CAST(event_id + 1 AS VARCHAR), 12, '0') AS component_serial_number, CAST(event_id // 4 + 1 AS INTEGER) AS sensor_asset_id, CAST(event_id % 4 + 1 AS INTEGER) AS sensor_type_id, true AS part_in_range FROM events e""")
+def b12(t):
+    ids = ids_of(t.events, "event_id")
+    c = fleet.asset_components(ids, SHAPE).select(
+        "asset_component_id", "asset_id", "component_position", "component_serial_number", between("part_id", 1, SHAPE.parts).alias("part_in_range")
+    )
+    s = fleet.sensors(ids, SHAPE).select("sensor_id", F.col("asset_id").alias("sensor_asset_id"), "sensor_type_id")
+    return c.join(s, F.col("asset_component_id") == F.col("sensor_id")).drop("sensor_id")
+
+
+@query("b12_part_catalog", rules_sql(["lead_time_days", "unit_cost", "category"], "part"))
+def b12b(t):
+    return report(
+        fleet.part_catalog(ids_of(t.part, "p_partkey"), SHAPE),
+        {
+            "lead_time_days": between("lead_time_days", 1, 45),
+            "unit_cost": between("unit_cost", 25, 2525),
+            "category": F.col("part_category").isin(*fleet.PART_CATEGORIES),
+        },
+    )
+
+
+@query("b13_severity_rule", "SELECT CASE WHEN v > 1440 THEN 'critical' WHEN v > 240 THEN 'major' ELSE 'minor' END AS severity, count(*) AS failures FROM (SELECT l_extendedprice / 30 AS v FROM lineitem) GROUP BY 1")
+def b13(t):
+    return t.lineitem.groupBy(fleet.severity(F.col("l_extendedprice") / 30).alias("severity")).agg(F.count(F.lit(1)).alias("failures"))
+
+
+@query("b13_failures", rules_sql(["component_of_asset", "mode_of_type", "downtime", "restored", "severity"], "orders"))
+def b13b(t):
+    f = fleet.failures(ids_of(t.orders, "o_orderkey"), SHAPE)
+    kind = fleet.type_of(fleet.model_of(F.col("machine_id").cast("long") - 1, SHAPE))
+    return report(
+        f,
+        {
+            "component_of_asset": F.floor((F.col("asset_component_id") - 1) / 6) + 1 == F.col("machine_id"),
+            "mode_of_type": F.floor((F.col("failure_mode_id") - 1) / 5) + 1 == kind,
+            "downtime": between("downtime_minutes", 15, 2_880),
+            "restored": F.unix_timestamp("restored_at") - F.unix_timestamp("failure_time") == F.col("downtime_minutes") * 60,
+            "severity": F.col("severity") == fleet.severity(F.col("downtime_minutes")),
+        },
+    )
+
+
+@query("b13_failure_modes", "SELECT CAST(n_nationkey + 1 AS INTEGER) AS failure_mode_id, CAST(n_nationkey // 5 + 1 AS INTEGER) AS asset_type_id, 'FM-' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS failure_code, 'Failure mode ' || CAST(n_nationkey % 5 + 1 AS VARCHAR) AS failure_name FROM nation")
+def b13c(t):
+    ids = t.nation.select(F.col("n_nationkey").cast("long").alias("id"))
+    return fleet.failure_modes(ids, SHAPE).select("failure_mode_id", "asset_type_id", "failure_code", "failure_name")
+
+
+@query("b14_enrich_collected", sql("failures details", """SELECT machine_id, failure_time, CASE WHEN d THEN 'details' ELSE 'historical_record' END AS origin FROM
+    (SELECT DISTINCT f.machine_id, f.failure_time, EXISTS (SELECT 1 FROM details d WHERE d.machine_id = f.machine_id AND d.failure_time = f.failure_time) AS d FROM failures f)"""))
+def b14(t):
+    """Collected failures without details get deterministic ones; existing details stay as they are."""
+    from .roles import details as given
+
+    got = given(t).withColumns(
+        {
+            "failure_started_at": F.col("failure_time").cast("timestamp"),
+            "confirmed_at": F.col("failure_time").cast("timestamp"),
+            "restored_at": F.col("restored_at").cast("timestamp"),
+            "failure_time": F.col("failure_time").cast("timestamp"),
+            "machine_id": F.col("machine_id").cast("int"),
+            "detection_method": F.lit("details"),
+            "root_cause": F.lit("wear"),
+            "production_impact": F.lit(0.0),
+        }
+    )
+    collected = failures(t).select(F.col("machine_id").cast("int").alias("machine_id"), F.col("failure_time").cast("timestamp").alias("failure_time"))
+    out = fleet.enrich_collected(collected, got, SHAPE)
+    return out.select(F.col("machine_id").cast("long").alias("machine_id"), F.col("failure_time").cast("timestamp_ntz").alias("failure_time"), F.col("detection_method").alias("origin"))
+
+
+@query("b15_work_orders", """SELECT o_orderkey + 1 AS work_order_id, CASE WHEN o_orderkey < 500 THEN 'corrective' ELSE 'preventive' END AS work_order_type, CASE WHEN o_orderkey < 500 THEN 'high' ELSE 'normal' END AS priority,
+    'completed' AS status, 1::BIGINT AS scheduled_hours, 6::BIGINT AS completed_hours, o_orderkey < 500 AS linked_failure FROM orders""")
+def b15(t):
+    w = fleet.work_orders(ids_of(t.orders, "o_orderkey"), SHAPE)
+
+    def after(c):
+        return ((F.unix_timestamp(c) - F.unix_timestamp("opened_at")) / 3600).cast("long")
+
+    return w.select(
+        "work_order_id", "work_order_type", "priority", "status", after("scheduled_at").alias("scheduled_hours"), after("completed_at").alias("completed_hours"),
+        (F.col("failure_machine_id").isNotNull() & (F.col("failure_time") == F.col("opened_at"))).alias("linked_failure"),
+    )
+
+
+@query("b15_actions", "SELECT event_id + 1 AS maintenance_action_id, event_id // 2 + 1 AS work_order_id, CASE WHEN event_id % 2 = 0 THEN 'inspect' ELSE 'repair_or_replace' END AS action_type, CAST(event_id % 2 + 1 AS INTEGER) AS action_sequence, true AS inside_order FROM events")
+def b15b(t):
+    """Actions lie inside their order: from its start (opened + 2 h) on, 90 minutes each."""
+    ids = ids_of(t.events, "event_id")
+    a = fleet.maintenance_actions(ids, SHAPE)
+    w = fleet.work_orders(ids.select(F.floor(F.col("id") / 2).alias("id")).distinct(), SHAPE).select(F.col("work_order_id").alias("w"), "started_at", "completed_at")
+    inside = (F.col("action_started_at") >= F.col("started_at")) & (F.col("action_completed_at") <= F.col("completed_at"))
+    return a.join(w, F.col("work_order_id") == F.col("w")).select("maintenance_action_id", "work_order_id", "action_type", "action_sequence", inside.alias("inside_order"))
+
+
+@query("b15_part_usage", rules_sql(["part", "quantity", "unit_cost"], "orders"))
+def b15c(t):
+    u = fleet.work_order_parts(ids_of(t.orders, "o_orderkey"), SHAPE)
+    return report(u, {"part": between("part_id", 1, SHAPE.parts), "quantity": between("quantity", 1, 3), "unit_cost": between("unit_cost", 25, 2525)})
+
+
+SLOT = SHAPE.history_seconds // 20
+
+
+@query("b16_state_slots", f"""SELECT event_id + 1 AS asset_state_event_id, CAST(event_id // 20 + 1 AS INTEGER) AS asset_id, TIMESTAMP '2023-01-01' + to_seconds(event_id % 20 * {SLOT}) AS state_start,
+    TIMESTAMP '2023-01-01' + to_seconds((event_id % 20 + 1) * {SLOT}) AS state_end FROM events""")
+def b16(t):
+    s = fleet.state_events(ids_of(t.events, "event_id"), SHAPE)
+    return s.select("asset_state_event_id", "asset_id", F.col("state_start").cast("timestamp_ntz").alias("state_start"), F.col("state_end").cast("timestamp_ntz").alias("state_end"))
+
+
+@query("b16_meter_slots", """SELECT event_id + 1 AS meter_reading_id, CAST(event_id // 10 + 1 AS INTEGER) AS asset_id, TIMESTAMP '2023-01-01' + to_seconds(event_id % 10 * 9460800) AS reading_time, round((event_id % 10 + 1) * 1971.0::DOUBLE, 6) AS operating_hours FROM events""")
+def b16b(t):
+    m = fleet.meter_readings(ids_of(t.events, "event_id"), SHAPE)
+    return m.select("meter_reading_id", "asset_id", F.col("reading_time").cast("timestamp_ntz").alias("reading_time"), r6("operating_hours").alias("operating_hours"))
+
+
+@query("b17_fleet_expansion", "SELECT greatest(100, (SELECT max(user_id) FROM events), (SELECT max(o_custkey) FROM orders)) AS asset_count")
+def b17(t):
+    top = t.events.agg(F.max("user_id").alias("m")).unionByName(t.orders.agg(F.max("o_custkey").alias("m")))
+    return top.agg(F.greatest(F.lit(100).cast("long"), F.max("m")).alias("asset_count"))
+
+
+TELE = fleet.TelemetryShape(machines=150, sites=40, customers=10, step_seconds=3_600, samples=400)
+
+
+@query("b18_telemetry", """SELECT CAST(event_id % 150 + 1 AS INTEGER) AS machine_id, CAST((event_id % 150) % 40 + 1 AS INTEGER) AS site_id, CAST(((event_id % 150) % 40) % 10 + 1 AS INTEGER) AS customer_id,
+    'SN-' || lpad(CAST(event_id % 150 + 1 AS VARCHAR), 10, '0') AS serial_number, CAST((event_id % 150) % 50 + 1 AS INTEGER) AS rack_id, CAST((event_id % 150) % 20 + 1 AS INTEGER) AS room_id, TIMESTAMP '2023-01-01' + to_seconds(event_id // 150 * 3600) AS event_time, true AS plausible FROM events""")
+def b18(t):
+    plan = fleet.failure_plan(ids_of(t.customer, "c_custkey"), TELE)
+    out = fleet.telemetry(ids_of(t.events, "event_id"), plan, TELE)
+    ok = between("cpu_load", 0, 100) & between("temperature", 10, 100) & between("network_latency", 2, 700) & F.col("firmware_version").rlike(r"^v[1-4]\.[0-9]\.1?[0-9]$")
+    return out.select("machine_id", "site_id", "customer_id", "serial_number", "rack_id", "room_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), ok.alias("plausible"))
+
+
+@query("b19_shared_failure_plan", "SELECT count(*) AS planned, true AS in_range FROM customer")
+def b19(t):
+    """One plan feeds the failure table and the telemetry."""
+    plan = fleet.failure_plan(ids_of(t.customer, "c_custkey"), TELE)
+    sec = F.unix_timestamp("failure_time") - TELE.start
+    ok = between("machine_id", 1, TELE.machines) & (sec >= 0) & (sec < TELE.samples * TELE.step_seconds)
+    return plan.agg(F.count(F.lit(1)).alias("planned"), (F.count_if(ok) == F.count(F.lit(1))).alias("in_range"))
+
+
+@query("b20_degradation", sql("telemetry failures", """SELECT event_id, round(d, 6) AS degradation, round(CASE WHEN d > 0 AND event_id % 3 = 0 THEN d * 15 ELSE 0 END, 6) AS surge, round(d * d * 300, 6) AS latency_rise FROM
+    (SELECT event_id, coalesce(1 - (epoch_us(n) - epoch_us(event_time)) / 1000000.0::DOUBLE / 259200, 0) AS d FROM (SELECT event_id, event_time,
+    (SELECT min(failure_time) FROM failures f WHERE f.machine_id = t.asset_id AND f.failure_time >= t.event_time AND f.failure_time <= t.event_time + INTERVAL 72 HOURS) AS n FROM telemetry t))"""))
+def b20(t):
+    from ..operators.temporal import time_to_next
+
+    left = telemetry(t).select("event_id", "asset_id", "event_time")
+    near = time_to_next(left, failures(t), [("asset_id", "machine_id")], "event_time", "failure_time", "72 hours", "ahead")
+    out = near.withColumns(fleet.degradation(F.col("ahead"), F.col("event_id")))
+    d = F.col("degradation")
+    return out.select("event_id", r6(d).alias("degradation"), r6("surge").alias("surge"), r6(d * d * fleet.LATENCY_RISE).alias("latency_rise"))
+
+
+@query("b21_entities", """SELECT CAST(s_suppkey + 1 AS INTEGER) AS entity_key, 'E' || lpad(CAST(s_suppkey + 1 AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey + 1 AS VARCHAR))) AS INTEGER), '0') AS entity_code,
+    'Business Unit ' || lpad(CAST(s_suppkey + 1 AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey + 1 AS VARCHAR))) AS INTEGER), '0') AS entity_name,
+    CASE (s_suppkey + 1) % 5 WHEN 0 THEN 'Northeast' WHEN 1 THEN 'South' WHEN 2 THEN 'Midwest' WHEN 3 THEN 'West' ELSE 'International' END AS region,
+    CASE WHEN (s_suppkey + 1) % 4 = 0 THEN 'Subsidiary' ELSE 'Division' END AS entity_type FROM supplier""")
+def b21(t):
+    return tax.dim_entity(t.supplier.select((F.col("s_suppkey") + 1).alias("id")))
+
+
+@query("b21_customers_by_state", f"""WITH s AS (SELECT generate_subscripts(l, 1) AS k, unnest(l) AS c FROM (SELECT string_split('{" ".join(tax.STATE_CODES)}', ' ') AS l))
+    SELECT c AS state_code, c NOT IN ({", ".join(repr(c) for c in tax.UNTAXED_STATES)}) AS has_income_tax, c IN ({", ".join(repr(c) for c in tax.TERRITORIES)}) AS is_territory, count(*) AS customers
+    FROM customer JOIN s ON k = c_custkey % 55 + 1 GROUP BY 1, 2, 3""")
+def b21b(t):
+    n = t.customer.groupBy(bounded_key("c_custkey", len(tax.STATE_CODES)).cast("int").alias("state_key")).agg(F.count(F.lit(1)).alias("customers"))
+    return n.join(tax.dim_state(t.spark), "state_key").select("state_code", "has_income_tax", "is_territory", "customers")
+
+
+@query("b22_employee_versions", """SELECT c_custkey + 1 AS current_key, 'EMP' || lpad(CAST(c_custkey + 1 AS VARCHAR), CAST(greatest(7, length(CAST(c_custkey + 1 AS VARCHAR))) AS INTEGER), '0') AS employee_id, 'Employee ' || CAST(c_custkey + 1 AS VARCHAR) AS employee_name, true AS consistent FROM customer""")
+def b22(t):
+    """Per employee: exactly one current version, and an earlier one that ends before it starts."""
+    people = tax.dim_employee(t.customer.select((F.col("c_custkey") + 1).alias("id")), 1_000_000_000)
+    current = F.col("is_current")
+    versions = people.groupBy("employee_id", "employee_name").agg(
+        F.max(F.when(current, F.col("employee_key"))).alias("current_key"),
+        F.count_if(current).alias("c"),
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.when(current, F.col("effective_from"))).alias("since"),
+        F.max("effective_to").alias("until"),
+    )
+    ok = (F.col("c") == 1) & (F.col("n") <= 2) & F.coalesce(F.date_add("until", 1) == F.col("since"), F.col("n") == 1)
+    return versions.select("current_key", "employee_id", "employee_name", ok.alias("consistent"))

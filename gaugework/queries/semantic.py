@@ -1 +1,91 @@
-"""Queries."""
+"""Metric views, stored summaries, row filters and drill paths."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from ..plans import semantic as sem, taxes as tax
+from ..session import scratch_path
+from ..sources.sinks import save_table
+from ..sources.tax_tables import dim_tax_line
+from .registry import query
+from .taxes import FED, FED_LINES, FED_SUMMARY, ST, ST_LINES, ST_SUMMARY, federal, state, w
+
+
+def sales_view(t):
+    return sem.MetricView(
+        source=t.orders,
+        lookups={
+            "customer": sem.Lookup(t.customer, "source.o_custkey = customer.c_custkey"),
+            "nation": sem.Lookup(t.nation, "customer.c_nationkey = nation.n_nationkey"),
+            "region": sem.Lookup(t.region, "nation.n_regionkey = region.r_regionkey"),
+        },
+        dimensions={"segment": "customer.c_mktsegment", "region": "region.r_name", "order_year": "year(source.o_orderdate)", "status": "source.o_orderstatus"},
+        measures={
+            "orders": "count(1)",
+            "revenue": "cast(sum(cast(source.o_totalprice AS decimal(18,2))) AS decimal(18,2))",
+            "large_share": "round(count_if(source.o_totalprice > 300000) / count(1), 6)",
+        },
+        filter="source.o_orderstatus <> 'P'",
+    )
+
+
+@query("p01_metric_by_region", """SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue FROM orders
+    LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE o_orderstatus <> 'P' GROUP BY 1, 2""")
+def p01(t):
+    return sem.metric_query(sales_view(t), ["region", "order_year"], ["orders", "revenue"])
+
+
+@query("p01_metric_without_lookups", "SELECT o_orderstatus AS status, count(*) AS orders, round(count(*) FILTER (WHERE o_totalprice > 300000) / count(*), 6) AS large_share FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT' GROUP BY 1")
+def p01b(t):
+    return sem.metric_query(sales_view(t), ["status"], ["orders", "large_share"], "source.o_orderpriority = '1-URGENT'")
+
+
+@query("p01_metric_by_segment", "SELECT c_mktsegment AS segment, count(*) AS orders FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P' GROUP BY 1")
+def p01c(t):
+    return sem.metric_query(sales_view(t), ["segment"], ["orders"])
+
+
+def stored(df, label):
+    return save_table(df, scratch_path(df.sparkSession, label))
+
+
+@query("p02_stored_federal_summary", w((*FED, FED_LINES, FED_SUMMARY), "SELECT * FROM fs"))
+def p02(t):
+    return stored(tax.federal_summary(federal(t)), "federal-summary")
+
+
+@query("p02_child_of_stored_summary", w((*FED, *ST, ST_LINES, ST_SUMMARY), "SELECT tax_year, CAST(sum(state_tax) AS DECIMAL(18,2)) AS state_tax, CAST(sum(state_taxable_income) AS DECIMAL(18,2)) AS state_taxable_income FROM ss GROUP BY 1"))
+def p02b(t):
+    parent = stored(tax.state_summary(state(t)), "state-summary")
+    return parent.groupBy("tax_year").agg(*[F.sum(c).cast("decimal(18,2)").alias(c) for c in ("state_tax", "state_taxable_income")])
+
+
+@query("p03_row_security", w((*FED, FED_LINES, FED_SUMMARY), "SELECT * FROM fs WHERE entity_key IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)"))
+def p03(t):
+    """A region's manager sees the nations of that region."""
+    grants = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("user_name"), F.col("n_nationkey").alias("entity_key"))
+    return sem.for_user(tax.federal_summary(federal(t)), grants, "ASIA", "entity_key")
+
+
+@query("p04_relative_date", "SELECT event_id, user_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-31'")
+def p04(t):
+    return sem.recent(t.events.select("event_id", "user_id", "ts"), "ts", datetime(2024, 1, 31), "7 days")
+
+
+@query("p05_required_filters", w((*FED, FED_LINES), "SELECT return_id, employee_key, entity_key, tax_year, tax_line_key, amount FROM fl WHERE tax_year = 1998 AND entity_key IN (1, 2)"))
+def p05(t):
+    return sem.detail(federal(t), {"tax_year": [1998], "entity_key": [1, 2]}).drop("income_type_key")
+
+
+@query("p06_drill_path", w((*FED, FED_LINES), """SELECT return_id, tax_line_key AS line_sequence, CASE tax_line_key WHEN 1 THEN 'F_WAGES' WHEN 2 THEN 'F_BONUS' WHEN 3 THEN 'F_EQUITY' WHEN 4 THEN 'F_INT' WHEN 5 THEN 'F_DIV' WHEN 6 THEN 'F_OTHER' WHEN 7 THEN 'F_AGI' WHEN 8 THEN 'F_STD_DED'
+    WHEN 9 THEN 'F_TAXABLE' WHEN 10 THEN 'F_TAX' WHEN 11 THEN 'F_CREDITS' WHEN 12 THEN 'F_WITHHELD' WHEN 13 THEN 'F_BAL' ELSE 'F_EFF_RATE_BASIS' END AS tax_line_code, amount FROM fl WHERE return_id = (SELECT max(return_id) FROM r)"""))
+def p06(t):
+    """The trail of the last return by id; the id is found by the query itself."""
+    lines = federal(t)
+    last = lines.agg(F.max("return_id").alias("m")).scalar()
+    named = dim_tax_line(t.spark).select("tax_line_key", "tax_line_code", "line_sequence")
+    picked = lines.where(F.col("return_id") == last).join(named, "tax_line_key")
+    return picked.select("return_id", "line_sequence", "tax_line_code", "amount").orderBy("line_sequence")
