@@ -60,17 +60,10 @@ def c07(t):
     )
 
 
-def turns(t):
-    """One row per conversation with its turns as an array of structs, ordered by turn.
-
-    The array is the document the file stream later reads; a conversation is one document.
-    """
-    return t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n_chars")))).alias("turns"))
-
-
-@query("c12_explode_array", "SELECT conv_id, turn, role, CAST(length(text) AS INTEGER) AS n_chars FROM conversations")
+@query("c12_explode_array", "SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS line_no, l[i] AS line FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM conversations)")
 def c12(t):
-    return turns(t).select("conv_id", F.inline("turns"))
+    """The lines of each text; an array is never larger than its own row."""
+    return t.conversations.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 @query("c13_struct_fields", "SELECT conv_id, turn AS last_turn, role AS last_role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, length(text) DESC) = 1")
@@ -167,7 +160,7 @@ def c15e(t):
 
 
 @query("c15_array_functions", """WITH a AS (SELECT user_id, date_trunc('day', ts)::DATE AS day, list(DISTINCT CAST(epoch(date_trunc('second', ts)) AS BIGINT)) AS l, min(CAST(epoch(date_trunc('second', ts)) AS BIGINT)) AS lo FROM events GROUP BY 1, 2)
-    SELECT user_id, day, CAST(len(l) AS INTEGER) AS entries, list_min(list_filter(list_transform(l, x -> x - lo), y -> y > 3600)) AS first_after_an_hour, CASE user_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS picked FROM a""")
+    SELECT user_id, day, CAST(len(l) AS INTEGER) AS entries, list_min(list_filter(list_transform(l, lambda x: x - lo), lambda y: y > 3600)) AS first_after_an_hour, CASE user_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS picked FROM a""")
 def c15f(t):
     """Arrays hold the distinct seconds of one user and day, so they are bounded by the day."""
     sec = F.unix_seconds(F.col("ts").cast("timestamp"))

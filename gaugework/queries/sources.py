@@ -1 +1,153 @@
-"""Queries."""
+"""Sources, sinks and table upkeep."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from ..operators.joins import join_small
+from ..session import scratch_path
+from ..sources import cursor, sinks, tables
+from .registry import query
+from .roles import ntz, predictions, sql
+
+
+@query("a01_range_source", "SELECT g AS id FROM range((SELECT max(l_orderkey) + 1 FROM lineitem)) r(g) WHERE g NOT IN (SELECT l_orderkey FROM lineitem)")
+def a01(t):
+    """Order numbers without a line, against a distributed range of all numbers."""
+    top = t.lineitem.agg(F.max("l_orderkey").alias("m")).first()["m"]  # one number sizes the range
+    ids = tables.row_ids(t.spark, top + 1)
+    return ids.join(t.lineitem.select("l_orderkey"), F.col("id") == F.col("l_orderkey"), "left_anti")
+
+
+PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]
+
+
+@query("a02_literal_source", "SELECT rank, count(*) AS orders FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('4-NOT SPECIFIED', 4), ('5-LOW', 5)) v(priority, rank) ON o_orderpriority = priority GROUP BY 1")
+def a02(t):
+    ranks = tables.literal_table(t.spark, PRIORITIES, "priority string, rank int")
+    n = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    return join_small(n, ranks, F.col("o_orderpriority") == F.col("priority")).select("rank", "orders")
+
+
+@query("a03_table_scan", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
+def a03(t):
+    t.supplier.createOrReplaceTempView("gaugework_supplier")
+    tables.require_tables(t.spark, ["gaugework_supplier"])
+    return tables.table_scan(t.spark, "gaugework_supplier").where("s_acctbal > 0").select("s_suppkey", "s_name")
+
+
+@query("a05_append_batches", "SELECT CAST(event_id // ((SELECT max(event_id) FROM events) // 4 + 1) AS VARCHAR) AS batch, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def a05(t):
+    path = scratch_path(t.spark, "a05")
+    top = t.events.agg(F.max("event_id").alias("m")).first()["m"]  # one number sets the slices
+
+    def piece(first: int, rows: int):
+        return t.events.where(F.col("event_id").between(first, first + rows - 1)).select("event_id", "value")
+
+    sinks.append_batches(piece, top + 1, top // 4 + 1, path)
+    stored = sinks.read_store(t.spark, path, piece(0, 1).schema)
+    return stored.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("a06_overwrite_table", "SELECT * FROM orders")
+def a06(t):
+    path = scratch_path(t.spark, "a06")
+    sinks.overwrite_table(t.orders.limit(0), path, 0)
+    return sinks.overwrite_table(t.orders, path, t.orders.count(), t.orders.columns)
+
+
+@query("a07_save_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def a07(t):
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return sinks.save_table(rows, scratch_path(t.spark, "a07"), "errorifexists", ["o_orderstatus"])
+
+
+MERGE_SQL = """SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)
+    UNION ALL SELECT l_orderkey, l_linenumber, max(l_partkey) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber) GROUP BY 1, 2"""
+
+
+@query("a08_merge_insert_only", MERGE_SQL)
+def a08(t):
+    """Returned lines are stored first; merging all lines then adds only unknown keys, twice without effect."""
+    path = scratch_path(t.spark, "a08")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    keys = ["l_orderkey", "l_linenumber"]
+    stored = [*keys, "l_partkey"]
+    sinks.merge_insert_only(path, rows.where("l_returnflag = 'R'"), keys, "0", ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows, keys, "1", ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows, keys, "2", ["l_partkey"], stored)
+    return sinks.read_store(t.spark, path, rows.select(*stored).schema).select(*stored)
+
+
+@query("a08_merge_as_query", "SELECT o_custkey AS party, 'order' AS origin FROM (SELECT DISTINCT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'register' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def a08b(t):
+    target = t.orders.select(F.col("o_custkey").alias("party")).distinct().withColumn("origin", F.lit("order"))
+    source = t.customer.select(F.col("c_custkey").alias("party"), F.lit("register").alias("origin"))
+    return sinks.union_insert_only(target, source, ["party"])
+
+
+@query("a10_replace_cache", sql("assets predictions", "SELECT asset_id, p.feature_time FROM assets LEFT JOIN (SELECT asset_id, max(feature_time) AS feature_time FROM predictions GROUP BY 1) p USING (asset_id)"))
+def a10(t):
+    """One row per asset, published only after the coverage check; published again over the first."""
+    newest = predictions(t).groupBy("asset_id").agg(F.max("feature_time").alias("feature_time"))
+    register = t.customer.select(F.col("c_custkey").alias("asset_id"))
+    cache = register.join(newest, "asset_id", "left")
+    path, n = scratch_path(t.spark, "a10"), register.count()
+    for _ in range(2):
+        sinks.replace_cache(cache, path, n, "asset_id")
+    return sinks.read_cache(t.spark, path)
+
+
+COUNTED = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query("a12_row_count_report", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED))
+def a12(t):
+    return tables.row_counts({n: getattr(t, n) for n in COUNTED})
+
+
+@query("a13_cluster_layout", "SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate FROM lineitem")
+def a13(t):
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+    return sinks.save_table(sinks.cluster_layout(rows, ["l_shipdate", "l_partkey"], 8), scratch_path(t.spark, "a13"))
+
+
+@query("a13_interleaved_layout", "SELECT l_partkey, l_suppkey, l_quantity FROM lineitem")
+def a13b(t):
+    """Rows near in both keys share a file."""
+    rows = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity")
+    keyed = rows.withColumn("z", sinks.interleaved(F.col("l_partkey"), F.col("l_suppkey")))
+    return sinks.save_table(sinks.cluster_layout(keyed, ["z"], 8), scratch_path(t.spark, "a13z")).drop("z")
+
+
+STATS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@query("a14_column_statistics", " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS distinct_values, count(*) FILTER (WHERE {c} IS NULL) AS null_values FROM orders" for c in STATS))
+def a14(t):
+    return tables.column_statistics(t.orders, STATS)
+
+
+@query("a15_repartitioned_write", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS tax_year FROM orders")
+def a15(t):
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("tax_year"))
+    return sinks.save_table(sinks.spread(rows, 8, "tax_year"), scratch_path(t.spark, "a15"))
+
+
+LAST, NOW = datetime(2024, 1, 20), datetime(2024, 1, 28)
+
+
+@query("a17_incremental_slice", "SELECT event_id, user_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-19 18:00:00' AND ts <= TIMESTAMP '2024-01-28' AND NOT (ts <= TIMESTAMP '2024-01-20' AND event_type <> 'error')")
+def a17(t):
+    """Errors arrive late: those of the overlap are still unknown, everything else up to the cursor is."""
+    known = t.events.where((F.col("ts") <= ntz(LAST)) & (F.col("event_type") != "error")).select("event_id")
+    taken = cursor.incremental_slice(t.events, "ts", "event_id", known, LAST, NOW)
+    return taken.select("event_id", "user_id", "ts")
+
+
+@query("a17_backfill_cursor", "SELECT max(ts) AS cursor, count(*) AS taken FROM events WHERE ts >= TIMESTAMP '2024-01-28' - INTERVAL 30 DAYS AND ts <= TIMESTAMP '2024-01-28'")
+def a17b(t):
+    nothing = t.events.where(F.lit(False)).select("event_id")
+    return cursor.next_cursor(cursor.incremental_slice(t.events, "ts", "event_id", nothing, None, NOW), "ts")

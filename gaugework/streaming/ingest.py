@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.sinks import merge_insert_only
 
 
-def json_file_stream(spark: SparkSession, path: str, glob: str, schema: str) -> DataFrame:
-    """Multi-line JSON documents, one per file, with a declared schema; files are taken once."""
+def json_file_stream(spark: SparkSession, path: str, glob: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """JSON documents with a declared schema, each file taken once: one document per file, or one per line."""
     return (
-        spark.readStream.format("json").option("multiLine", "true").option("pathGlobFilter", glob).schema(schema).load(path)
+        spark.readStream.format("json").option("multiLine", multi_line).option("pathGlobFilter", glob).schema(schema).load(path)
     )
 
 
