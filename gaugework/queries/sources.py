@@ -54,7 +54,7 @@ def a05(t):
 @query("a06_overwrite_table", "SELECT * FROM orders")
 def a06(t):
     path = scratch_path(t.spark, "a06")
-    sinks.overwrite_table(t.orders.limit(0), path, 0)
+    sinks.overwrite_table(t.orders.where("o_orderstatus = 'F'"), path, 1)
     return sinks.overwrite_table(t.orders, path, t.orders.count(), t.orders.columns)
 
 

@@ -126,7 +126,8 @@ def k30(t):
 
 
 def event_stream(t, folder=None):
-    path = folder or f"{t.folder}/events.parquet"
+    # as a glob, the path may be one file or a folder of parts
+    path = folder or f"{t.folder}/events.parque[t]"
     stream = t.spark.readStream.schema(t.events.schema).parquet(path)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
