@@ -22,7 +22,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self.names:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)  # later uses share the file listing and schema
+        return table
 
 
 def require_tables(spark: SparkSession, names: Sequence[str]) -> None:
