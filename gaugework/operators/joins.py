@@ -9,17 +9,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_ROWS = 200_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counting stops soon after the limit."""
+    return df.limit(rows + 1).count() <= rows
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast ``right`` only while its estimated size is within ``limit``; shuffle otherwise."""
-    return left.join(F.broadcast(right) if estimated_bytes(right) <= limit else right, on, how)
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``right`` only after counting that it is small; join by shuffle otherwise."""
+    return left.join(F.broadcast(right) if fits(right, rows) else right, on, how)
+
+
+def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join to a lookup with unique keys so that the rows of a hot key go to ``salts`` tasks.
+
+    Each lookup row is repeated once per salt; a fact row meets exactly one of the copies. The salt
+    is a hash of ``spread_by``, so a task that runs again places its rows as before. For joins whose
+    result is grouped by the same keys, which adaptive execution does not split.
+    """
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return fact.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 @dataclass(frozen=True)
@@ -62,8 +74,18 @@ def star(fact: DataFrame, dimensions: Mapping[str, Dimension], wanted: Sequence[
 
 
 def having_any(df: DataFrame, detail: DataFrame, key: str, detail_key: str) -> DataFrame:
-    """Rows of ``df`` with at least one detail row; several matches do not repeat a row."""
-    return df.join(detail.select(F.col(detail_key).alias("_dk")), F.col(key) == F.col("_dk"), "left_semi")
+    """Rows of ``df`` with at least one detail row; several matches do not repeat a row.
+
+    The details are reduced to distinct keys first, so a hot key is not sent to one task.
+    """
+    found = detail.select(F.col(detail_key).alias("_dk")).distinct()
+    return df.join(found, F.col(key) == F.col("_dk"), "left_semi")
+
+
+def having_none(df: DataFrame, detail: DataFrame, key: str, detail_key: str) -> DataFrame:
+    """Rows of ``df`` without any detail row."""
+    found = detail.select(F.col(detail_key).alias("_dk")).distinct()
+    return df.join(found, F.col(key) == F.col("_dk"), "left_anti")
 
 
 def filter_ids(df: DataFrame, **allowed: Sequence | DataFrame | None) -> DataFrame:

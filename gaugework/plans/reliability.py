@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.classes import freshness
 from ..functions.num import ratio
 from ..functions.when import hours, instant, micros, span, whole
+from ..operators.joins import salted_join
 from ..operators.latest import latest_per_key
 from ..operators.temporal import clip, covering_at
 
@@ -78,7 +79,8 @@ def state_hours(intervals: DataFrame, assets: DataFrame, lo: Column, hi: Column)
     begin = F.greatest(micros("service_start"), micros(lo))
     finish = F.least(F.coalesce(micros("service_end"), micros(hi)), micros(hi))
     eligible = service.select("asset_id", begin.alias("_b"), finish.alias("_e")).where("_e > _b")
-    in_period = clip(intervals, "state_start", "state_end", lo, hi).join(eligible, "asset_id")
+    # the sums below group by the join key again, so a hot asset is spread by a salt
+    in_period = salted_join(clip(intervals, "state_start", "state_end", lo, hi), eligible, ["asset_id"], ["state_start"])
     us = F.least(micros("clipped_end"), F.col("_e")) - F.greatest(micros("clipped_start"), F.col("_b"))
     per_state = [
         F.sum(F.when(F.col("operating_state") == s, F.greatest(us, F.lit(0)))).alias(f"{s}_us") for s in ALL_STATES

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.num import money, r6
 from ..functions.when import hours, micros
-from ..operators.joins import Dimension, ancestors, fan_out, having_any, join_small, star
+from ..operators.joins import Dimension, ancestors, fan_out, having_any, having_none, join_small, star
 from ..operators.temporal import as_of_latest, clip, count_in_window, first_after, interval_issues, stab, time_to_next
 from .registry import query
 from .roles import details, failures, loose_states, maintenance, meters, ntz, predictions, sql, telemetry
@@ -45,8 +45,7 @@ def d03(t):
 
 @query("d04_left_anti", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)")
 def d04(t):
-    big = t.orders.where("o_totalprice > 450000").select("o_custkey")
-    return t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return having_none(t.customer, t.orders.where("o_totalprice > 450000"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("d05_installed_part_filter", "SELECT s_suppkey, s_name FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey = s_suppkey AND p_brand = 'Brand#7' AND p_size > 40)")

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_small
+from ..operators.joins import having_none, join_small
 from ..session import scratch_path
 from ..sources import cursor, sinks, tables
 from .registry import query
@@ -18,7 +18,7 @@ def a01(t):
     """Order numbers without a line, against a distributed range of all numbers."""
     top = t.lineitem.agg(F.max("l_orderkey").alias("m")).first()["m"]  # one number sizes the range
     ids = tables.row_ids(t.spark, top + 1)
-    return ids.join(t.lineitem.select("l_orderkey"), F.col("id") == F.col("l_orderkey"), "left_anti")
+    return having_none(ids, t.lineitem, "id", "l_orderkey")
 
 
 PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]

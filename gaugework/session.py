@@ -15,9 +15,9 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, name: str = "gaugework", memory: str = "8g") -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
-    spark = (
+def local_session(cores: int | str = 8, name: str = "gaugework", memory: str = "8g", **conf: str) -> SparkSession:
+    """Session for tests and the bench; a cluster brings its own. ``conf`` keys use __ for dots."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -27,8 +27,10 @@ def local_session(cores: int | str = 8, name: str = "gaugework", memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -7,11 +7,12 @@ so a job that is lost and run again leaves the same content.
 
 from __future__ import annotations
 
-import copy
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.latest import latest_per_key
 from .tables import check_columns
@@ -58,20 +59,15 @@ def append_batches(make: Callable[[int, int], DataFrame], total: int, batch: int
     return done
 
 
-def has_rows(spark: SparkSession, path: str) -> bool:
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(fs_path)) and any(
-        s.isDirectory() and s.getPath().getName().startswith(f"{PART}=") for s in fs.listStatus(fs_path)
-    )
-
-
 def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
     """All parts of a store with the part name as column ``batch``; empty when nothing was written."""
-    whole = schema.add(PART, "string") if PART not in schema.names else schema
-    if not has_rows(spark, path):
+    whole = StructType([*schema.fields, StructField(PART, StringType())])
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], whole)
-    return spark.read.schema(whole).parquet(path)
 
 
 def merge_insert_only(
@@ -98,7 +94,7 @@ def merge_insert_only(
         raise ValueError("null key in the source")
     fresh = latest_per_key(source.where(~missing), keys, newest_by) if newest_by else source.where(~missing).dropDuplicates(list(keys))
     fresh = fresh.select(*(columns or source.columns))
-    store = read_store(spark, path, copy.deepcopy(fresh.schema)).where(F.col(PART) != batch).select(*keys)
+    store = read_store(spark, path, fresh.schema).where(F.col(PART) != batch).select(*keys)
     known = store.join(fresh.select(*keys), list(keys), "left_semi")
     fresh.join(known, list(keys), "left_anti").write.mode("overwrite").parquet(f"{path}/{PART}={batch}")
 

@@ -11,13 +11,12 @@ for p in (str(ROOT), str(ROOT / "tests")):
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from gaugework.session import local_session
 
     base = tmp_path_factory.mktemp("spark")
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(base / "warehouse")).config("spark.checkpoint.dir", str(base / "shared"))
-    return local_session(8, "gaugework-tests", "4g")
+    return local_session(
+        8, "gaugework-tests", "4g", spark__sql__warehouse__dir=str(base / "warehouse"), spark__checkpoint__dir=str(base / "shared")
+    )
 
 
 @pytest.fixture(scope="session")

@@ -223,7 +223,7 @@ def test_small_sides_broadcast_and_large_ones_do_not(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         small = join_small(tables.orders, tables.customer, F.col("o_custkey") == F.col("c_custkey"))
-        large = join_small(tables.orders, tables.customer, F.col("o_custkey") == F.col("c_custkey"), limit=10)
+        large = join_small(tables.orders, tables.customer, F.col("o_custkey") == F.col("c_custkey"), rows=10)
         assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" not in plan_of(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
