@@ -12,6 +12,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str],
     """One row per key: the highest ``newest_by`` columns, nulls lowest, remaining columns as last resort."""
     keep = [c for c in (keep or df.columns) if c not in keys]
     rest = [c for c in keep if c not in newest_by]
+    if not rest and len(newest_by) == 1 and keep == list(newest_by):
+        return df.groupBy(*keys).agg(F.max(keep[0]).alias(keep[0]))  # a plain maximum aggregates by hash
     best = F.max(F.struct(*newest_by, *rest)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best").getField(c).alias(c) for c in keep])
 

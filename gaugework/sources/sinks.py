@@ -92,11 +92,17 @@ def merge_insert_only(
         missing = missing | F.col(k).isNull()
     if null_keys == "error" and not source.where(missing).isEmpty():
         raise ValueError("null key in the source")
-    fresh = latest_per_key(source.where(~missing), keys, newest_by) if newest_by else source.where(~missing).dropDuplicates(list(keys))
-    fresh = fresh.select(*(columns or source.columns))
-    store = read_store(spark, path, fresh.schema).where(F.col(PART) != batch).select(*keys)
-    known = store.join(fresh.select(*keys), list(keys), "left_semi")
-    fresh.join(known, list(keys), "left_anti").write.mode("overwrite").parquet(f"{path}/{PART}={batch}")
+    wanted = list(dict.fromkeys([*newest_by, *(columns or source.columns)]))
+    usable = source.where(~missing)
+    fresh = latest_per_key(usable, keys, newest_by, wanted) if newest_by else usable.dropDuplicates(list(keys))
+    # both joins read the reduced batch; without the cache each would parse and reduce it again
+    fresh = fresh.select(*(columns or source.columns)).persist()
+    try:
+        store = read_store(spark, path, fresh.schema).where(F.col(PART) != batch).select(*keys)
+        known = store.join(fresh.select(*keys), list(keys), "left_semi")
+        fresh.join(known, list(keys), "left_anti").write.mode("overwrite").parquet(f"{path}/{PART}={batch}")
+    finally:
+        fresh.unpersist()
 
 
 def union_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
