@@ -27,7 +27,3 @@ def finite_or_zero(x) -> Column:
     c = _c(x).cast("double")
     broken = c.isNull() | F.isnan(c) | c.isin(float("inf"), float("-inf"))
     return F.when(broken, F.lit(0.0)).otherwise(c)
-
-
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -80,8 +80,6 @@ def for_user(parent: DataFrame, grants: DataFrame, user: str, column: str) -> Da
 
 def recent(parent: DataFrame, ts: str, now: datetime, window: str) -> DataFrame:
     """The relative-date child of a stored parent: rows of the last ``window`` before ``now``."""
-    from datetime import timedelta
-
     kind = parent.schema[ts].dataType.simpleString()
     start = now - timedelta(microseconds=span(window))
     return parent.where((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(now).cast(kind)))
@@ -98,8 +96,8 @@ def detail(df: DataFrame, required: Mapping[str, Sequence | None]) -> DataFrame:
     return df.where(keep)
 
 
-def drill(lines: DataFrame, catalogue: DataFrame, return_id: str) -> DataFrame:
-    """The line trail of one return in calculation order."""
+def drill(lines: DataFrame, catalogue: DataFrame, return_id) -> DataFrame:
+    """The line trail of one return, given by value or scalar subquery, in calculation order."""
     named = catalogue.select("tax_line_key", "tax_line_code", "line_sequence")
     picked = lines.where(F.col("return_id") == return_id).join(named, "tax_line_key")
     return picked.select("return_id", "line_sequence", "tax_line_code", "amount").orderBy("line_sequence")

@@ -86,6 +86,4 @@ def p06(t):
     """The trail of the last return by id; the id is found by the query itself."""
     lines = federal(t)
     last = lines.agg(F.max("return_id").alias("m")).scalar()
-    named = dim_tax_line(t.spark).select("tax_line_key", "tax_line_code", "line_sequence")
-    picked = lines.where(F.col("return_id") == last).join(named, "tax_line_key")
-    return picked.select("return_id", "line_sequence", "tax_line_code", "amount").orderBy("line_sequence")
+    return sem.drill(lines, dim_tax_line(t.spark), last)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import math
 import sys
 import time
