@@ -1,9 +1,10 @@
 """Exact duplicates by a content sort: equal texts become neighbours, and neighbours are compared in full.
 
-``repartitionByRange`` samples splitters over the normalised text and deals the rows out by range, the
+``repartitionByRange`` samples splitters over the beginning of the normalised text and its hash (so that
+the sample on the driver stays small however long the texts are) and deals the rows out by range, the
 sort inside each range spills to disk when it must, and the window over the sorted rows starts a new
-class wherever a text differs from the one before it. Range partitioning already satisfies the window,
-so that the text crosses the network once.
+class wherever a whole text differs from the one before it. Range partitioning already satisfies the
+window, so that the text crosses the network once.
 
 A text with more than ``rows_per_piece`` copies is cut into pieces by a hash of its id, so that its
 copies spread over many ranges; the pieces' winners are then compared by digest, without their texts.
@@ -22,6 +23,8 @@ from .common import query, stored, table, text_or_empty
 #: What normalisation deletes: space, tab, newline, vertical tab, form feed, carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 ROWS_PER_PIECE = 1000
+#: Characters of a text that splitters hold.
+HEAD = 64
 
 
 def _sorted_pieces(docs: DataFrame, payload: list[str], rows_per_piece: int) -> DataFrame:
@@ -43,9 +46,10 @@ def _sorted_pieces(docs: DataFrame, payload: list[str], rows_per_piece: int) ->
     spread = (
         base.join(large, "print", "left")
         .withColumn("piece", F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.col("pieces"))))
-        .repartitionByRange("body", "piece")
+        .withColumn("head", F.substring("body", 1, HEAD))
+        .repartitionByRange("head", "print", "piece")
     )
-    run = Window.partitionBy("body", "piece")
+    run = Window.partitionBy("head", "print", "piece", "body")
     ranked = run.orderBy(F.desc("cp"), F.asc_nulls_last("id"))
     return spread.select(
         "id",

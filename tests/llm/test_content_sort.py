@@ -66,4 +66,4 @@ def test_matches_sql(spark, small):
 def test_text_is_moved_once(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     plan = content_sort._sorted_pieces(docs, [], 1000)._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan and "hashpartitioning(body" not in plan and "Python" not in plan
+    assert "rangepartitioning" in plan and "hashpartitioning(head" not in plan and "Python" not in plan
