@@ -1,4 +1,4 @@
 """All queries of the training-data operators; importing this module registers them."""
 
-from . import bpe_lookup, content_sort, packing  # noqa: F401
+from . import bag_minhash, bpe_lookup, content_sort, packing  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
