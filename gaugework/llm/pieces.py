@@ -8,7 +8,7 @@ come back again and again, so that remembering their ids saves most of the work.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 _BLANK = "\t\n\v\f\r\x1c\x1d\x1e\x1f"
 _BESIDE_SPACE = [x for c in _BLANK for x in (c + " ", " " + c)] + ["  "]
@@ -28,7 +28,7 @@ def cut(text: str) -> list[str]:
 class Remembered(dict):
     """Piece -> what ``encode`` gives for it; forgets everything when ``most`` pieces are held."""
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = 300_000):
+    def __init__(self, encode: Callable[[str], bytes], most: int = 1_000_000):
         super().__init__()
         self.encode, self.most = encode, most
 
@@ -42,12 +42,46 @@ class Remembered(dict):
 
 
 class PieceEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers, from an encoder of single pieces."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers, from an encoder of single pieces.
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = 300_000):
+    ``many`` encodes a list of pieces at once; with it, ``batch`` learns all unseen pieces of a batch together.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], many: Callable[[list[str]], list[bytes]] | None = None, most: int = 1_000_000):
         self.first = Remembered(encode, most // 10)
         self.later = Remembered(lambda piece: encode(" " + piece), most)
+        self.many, self.most = many, most
 
     def __call__(self, text: str) -> bytes:
-        head, *rest = cut(text)
-        return self.first[head] + b"".join(map(self.later.__getitem__, rest))
+        return self._join(cut(text))
+
+    def _join(self, pieces: list[str]) -> bytes:
+        later = iter(pieces)
+        return self.first[next(later)] + b"".join(map(self.later.__getitem__, later))
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        seen = self.later
+        new = {p for pieces in texts for p in pieces if p not in seen and len(p) <= LONGEST_KEPT}
+        if len(seen) + len(new) > self.most:
+            seen.clear()
+            new = {p for pieces in texts for p in pieces if len(p) <= LONGEST_KEPT}
+        found = list(new)
+        for at in range(0, len(found), 5000):
+            part = found[at : at + 5000]
+            seen.update(zip(part, self.many([" " + p for p in part]), strict=True))
+
+    def batch(self, texts: Iterable[str], chars: int = 4_000_000) -> Iterator[bytes]:
+        """Ids of each text in turn, learned for about ``chars`` characters at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(cut(text))
+            size += len(text)
+            if size > chars:
+                yield from self._flush(held)
+                held, size = [], 0
+        yield from self._flush(held)
+
+    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
+        if self.many is not None:
+            self._learn(held)
+        return map(self._join, held)
