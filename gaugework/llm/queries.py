@@ -1,4 +1,4 @@
 """All queries of the training-data operators; importing this module registers them."""
 
-from . import bag_minhash, bpe_lookup, content_sort, language, packing, pivot_index  # noqa: F401
+from . import bag_minhash, bpe_lookup, chained_passages, content_sort, language, packing, pivot_index  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
