@@ -23,7 +23,7 @@ HEADLINE = (
     "d13_interval_stab d16_interval_issues e01_tumbling_features e03_percentile e12_ratio_of_sums e17_federal_summary e17_state_summary "
     "e18_effective_rates f01_latest_row f07_neighbour_rows f08_cumulative_curve g03_capped_sample j07_ranking_metrics m03_outcome_summary "
     "n02_duplicate_composite_keys n06_ownership n12_federal_state_lineage p01_metric_by_region a08_merge_insert_only h03_insert_only_merge "
-    "b18_telemetry c10_unpivot_state_lines"
+    "c10_unpivot_state_lines"
 ).split()
 
 

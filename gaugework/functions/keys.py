@@ -1,4 +1,4 @@
-"""Deterministic pseudo-random expressions for table generation. All stay in the JVM."""
+"""Keys, choices and instants that follow from a number."""
 
 from __future__ import annotations
 
@@ -6,20 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Seed and modulus of the published hash rule.
-SEED = 42
-MODULUS = 2_147_483_647
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def stable_hash(*parts, seed: int = SEED) -> Column:
-    """Non-negative 31-bit hash of the parts; equal on every run and every cluster layout."""
-    return F.pmod(F.xxhash64(*[_c(p) for p in parts], F.lit(seed)), F.lit(MODULUS))
-
-
 def bounded_key(h, n: int) -> Column:
     """Foreign key in 1..n."""
     if n < 1:
@@ -34,8 +24,3 @@ def pick(values: Sequence[str], h) -> Column:
 
 def moment_after(start_epoch: int, seconds) -> Column:
     return F.timestamp_seconds(F.lit(start_epoch) + _c(seconds).cast("long"))
-
-
-def hashed_moment(h, start_epoch: int, span_seconds: int) -> Column:
-    """An instant in [start, start + span)."""
-    return moment_after(start_epoch, F.pmod(_c(h), F.lit(span_seconds)))

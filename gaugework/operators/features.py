@@ -71,3 +71,14 @@ def tumbling_features(
         instant((F.col("_w") + 1) * w, kind).alias("window_end"),
         *aggs,
     )
+
+
+# The window before a failure in seconds, the load surge and how often it comes.
+DEGRADATION_SECONDS, SURGE, SURGE_EVERY = 259_200, 15.0, 3
+
+
+def degradation(seconds_to_failure: Column, sequence: Column) -> dict[str, Column]:
+    """``degradation``: how far the window before the next failure has passed, 0 without a failure ahead; ``surge`` of every third row."""
+    passed = F.coalesce(1.0 - seconds_to_failure / DEGRADATION_SECONDS, F.lit(0.0))
+    surges = (passed > 0) & (sequence % SURGE_EVERY == 0)
+    return {"degradation": passed, "surge": F.when(surges, passed * SURGE).otherwise(0.0)}

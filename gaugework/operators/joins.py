@@ -9,31 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 
-BROADCAST_ROWS = 200_000
-
-
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; counting stops soon after the limit."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``right`` only after counting that it is small; join by shuffle otherwise."""
-    return left.join(F.broadcast(right) if fits(right, rows) else right, on, how)
-
-
-def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "inner", salts: int = 16) -> DataFrame:
-    """Join to a lookup with unique keys so that the rows of a hot key go to ``salts`` tasks.
-
-    Each lookup row is repeated once per salt; a fact row meets exactly one of the copies. The salt
-    is a hash of ``spread_by``, so a task that runs again places its rows as before. For joins whose
-    result is grouped by the same keys, which adaptive execution does not split.
-    """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return fact.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
 @dataclass(frozen=True)
 class Dimension:
     """A lookup table with a unique key, joined to ``fact_key`` of the fact or of ``via``."""

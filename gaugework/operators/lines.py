@@ -22,8 +22,12 @@ def unpivot_lines(
 
 
 def pivot_lines(df: DataFrame, by: Sequence[str], code: str, value: str, names: Mapping[str, Sequence], kind: str = "decimal(18,2)") -> DataFrame:
-    """Conditional sums: output column ``name`` totals the rows whose code is listed for it."""
+    """Conditional sums: output column ``name`` totals the rows whose code is listed for it.
+
+    Only rows with a listed code are read; a group without any has no output row.
+    """
+    needed = sorted({c for codes in names.values() for c in codes})
     picked: list[Column] = [
         F.sum(F.when(F.col(code).isin(list(codes)), F.col(value))).cast(kind).alias(name) for name, codes in names.items()
     ]
-    return df.groupBy(*by).agg(*picked)
+    return df.where(F.col(code).isin(needed)).groupBy(*by).agg(*picked)

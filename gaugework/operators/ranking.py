@@ -9,28 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.num import ratio
+from ..session import cut
 
-RANGES = 64
 DEFAULT_THRESHOLD = 0.65  # fixed value used when there is nothing to choose from
 
 
-def score_curve(df: DataFrame, score: str, label: str, ranges: int = RANGES) -> DataFrame:
+def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: ``pos, neg`` at the score and cumulative ``tp, fp`` at or above it.
 
-    The range limits are approximate quantiles of the distinct scores (at most ``ranges`` numbers
-    on the driver). They balance the work and do not influence the result.
+    Distinct scores are range-partitioned, as many ranges as the session has shuffle partitions; the ranges
+    are cut with a checkpoint, so that their limits are the same wherever they are read.
     """
     per_score = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    cuts = sorted(set(per_score.approxQuantile("score", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
-    part = F.lit(0)
-    if cuts:
-        limits = F.array(*[F.lit(float(c)) for c in cuts])
-        part = F.array_size(F.filter(limits, lambda c: c <= F.col("score")))
-    placed = per_score.withColumn("_part", part.cast("int"))
+    placed = cut(per_score.repartitionByRange("score").withColumn("_part", F.spark_partition_id()))
     upto = Window.unboundedPreceding
     inside = Window.partitionBy("_part").orderBy(F.col("score").desc()).rowsBetween(upto, 0)
     above = Window.orderBy(F.col("_part").desc()).rowsBetween(upto, -1)

@@ -15,9 +15,11 @@ from ..functions.num import finite_or_zero
 from ..operators.latest import latest_per_key
 from ..operators.ranking import alert_metrics, ranking_metrics, threshold_by_f1
 from ..session import scratch_path
+from .snapshots import require_trainable
 
 # Settings of the published model that Spark ML also has.
 LEARNING_RATE, SUBSAMPLE, SEED = 0.05, 0.8, 42
+TREES, DEPTH, ROWS_PER_LEAF, FEATURES_PER_SPLIT = 600, 8, 5, "0.8"
 
 
 def clean(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -33,13 +35,14 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees: int = 20, depth: int = 4) -> PipelineModel:
-    """Boosted trees on the train split, stopped early on the validation split.
+def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH) -> PipelineModel:
+    """Boosted trees on the train split, stopped early on the validation split. Each split must hold both classes.
 
     The training rows are written once to the shared folder: every boosting round reads them
     again, and a written table survives the loss of executors.
     """
     spark = data.sparkSession
+    require_trainable(data, label)
     rows = clean(data, features).where(F.col(label).isNotNull() & F.col("dataset_split").isin("train", "validation"))
     path = scratch_path(spark, "training")
     rows.select(*features, F.col(label).cast("double").alias("label"), (F.col("dataset_split") == "validation").alias("held_out")).write.parquet(path)
@@ -57,6 +60,8 @@ def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees:
             maxDepth=depth,
             stepSize=LEARNING_RATE,
             subsamplingRate=SUBSAMPLE,
+            minInstancesPerNode=ROWS_PER_LEAF,
+            featureSubsetStrategy=FEATURES_PER_SPLIT,
             seed=SEED,
         ),
     ]

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.classes import freshness
 from ..functions.num import ratio
 from ..functions.when import hours, instant, micros, span, whole
-from ..operators.joins import salted_join
 from ..operators.latest import latest_per_key
 from ..operators.temporal import clip, covering_at
 
@@ -79,12 +78,14 @@ def state_hours(intervals: DataFrame, assets: DataFrame, lo: Column, hi: Column)
     begin = F.greatest(micros("service_start"), micros(lo))
     finish = F.least(F.coalesce(micros("service_end"), micros(hi)), micros(hi))
     eligible = service.select("asset_id", begin.alias("_b"), finish.alias("_e")).where("_e > _b")
-    # the sums below group by the join key again, so a hot asset is spread by a salt
-    in_period = salted_join(clip(intervals, "state_start", "state_end", lo, hi), eligible, ["asset_id"], ["state_start"])
-    us = F.least(micros("clipped_end"), F.col("_e")) - F.greatest(micros("clipped_start"), F.col("_b"))
-    per_state = [
-        F.sum(F.when(F.col("operating_state") == s, F.greatest(us, F.lit(0)))).alias(f"{s}_us") for s in ALL_STATES
-    ]
+    # the sums group by the join key again, which would keep a hot asset in one task; between join and sums
+    # the rows are rebalanced by size, so that adaptive execution may split the join and sums start partial
+    clipped = clip(intervals, "state_start", "state_end", lo, hi)
+    a, b = micros("clipped_start"), micros("clipped_end")
+    cells = clipped.select("asset_id", "operating_state", a.alias("_a"), b.alias("_z"))
+    inside = F.greatest(F.least(F.col("_z"), F.col("_e")) - F.greatest(F.col("_a"), F.col("_b")), F.lit(0))
+    in_period = cells.join(eligible, "asset_id").select("asset_id", "operating_state", inside.alias("_us")).hint("rebalance")
+    per_state = [F.sum(F.when(F.col("operating_state") == s, F.col("_us"))).alias(f"{s}_us") for s in ALL_STATES]
     observed = in_period.groupBy("asset_id").agg(*per_state)
     joined = eligible.select("asset_id", (F.col("_e") - F.col("_b")).alias("eligible_us")).join(observed, "asset_id", "left")
     zero = F.lit(0)
@@ -208,15 +209,21 @@ def failure_trend(failures: DataFrame, width: str = "24 hours", by: Sequence[str
     )
 
 
-def failure_breakdown(failures: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Failures, affected assets, repeat failures and recorded downtime; reduced to the asset first."""
-    per_asset = failures.groupBy(*by, "machine_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("downtime_minutes") >= 0, F.col("downtime_minutes"))).alias("m")
-    )
-    return per_asset.groupBy(*by).agg(
+def failure_breakdown(failures: DataFrame, by: Sequence[str] = (), register: DataFrame | None = None, register_by: Sequence[str] = ()) -> DataFrame:
+    """Failures, affected assets, repeat failures and recorded downtime, negative downtime left out.
+
+    ``by`` are columns of the failures, ``register_by`` of the asset register, which is joined after the
+    failures have been reduced to the asset.
+    """
+    known = F.when(F.col("downtime_minutes") >= 0, F.col("downtime_minutes"))
+    per_asset = failures.groupBy(*by, "machine_id").agg(F.count(F.lit(1)).alias("n"), F.sum(known).alias("m"))
+    if register is not None:
+        names = register.select(F.col("asset_id").alias("machine_id"), *register_by)
+        per_asset = per_asset.join(names, "machine_id", "left")
+    return per_asset.groupBy(*by, *register_by).agg(
         F.sum("n").alias("failures"),
-        F.count(F.lit(1)).alias("affected_assets"),
-        F.sum(F.col("n") - 1).alias("repeat_failures"),
+        F.count_distinct("machine_id").alias("affected_assets"),
+        (F.sum("n") - F.count_distinct("machine_id")).alias("repeat_failures"),
         (F.coalesce(F.sum("m"), F.lit(0.0)) / 60).alias("downtime_hours"),
     )
 

@@ -8,7 +8,7 @@ from ..functions.num import money
 from ..operators import quality as q
 from ..operators.temporal import interval_issues
 from .registry import query
-from .roles import components, details, failures, loose_states, meters, sql, usage, work_orders
+from .roles import assets, components, details, failures, loose_states, meters, sql, usage, work_orders
 
 
 @query("n01_null_keys", "SELECT count(*) FILTER (WHERE k IS NULL OR ts IS NULL) AS null_key_rows, count(*) AS row_count FROM (SELECT CASE WHEN value < 1 THEN NULL ELSE user_id END AS k, ts FROM events)")
@@ -73,6 +73,33 @@ def n06(t):
     )
 
 
+@query("n06_models_of_several_types", sql("assets", "SELECT asset_model_id, count(DISTINCT asset_type_name) AS types, count(*) AS assets FROM assets GROUP BY 1 HAVING count(DISTINCT asset_type_name) > 1"))
+def n06b(t):
+    """A model belongs to one type."""
+    per_type = assets(t).groupBy("asset_model_id", "asset_type_name").agg(F.count(F.lit(1)).alias("n"))
+    return per_type.groupBy("asset_model_id").agg(F.count("asset_type_name").alias("types"), F.sum("n").alias("assets")).where("types > 1")
+
+
+@query("n06_modes_of_several_types", sql("details assets", """SELECT failure_mode_id, count(DISTINCT asset_type_name) AS types, count(*) AS failures FROM details LEFT JOIN assets ON asset_id = machine_id
+    GROUP BY 1 HAVING count(DISTINCT asset_type_name) > 1"""))
+def n06c(t):
+    """A failure mode belongs to one type of asset."""
+    per_asset = details(t).groupBy("failure_mode_id", "machine_id").agg(F.count(F.lit(1)).alias("n"))
+    named = per_asset.join(assets(t).select(F.col("asset_id").alias("machine_id"), "asset_type_name"), "machine_id", "left")
+    per_type = named.groupBy("failure_mode_id", "asset_type_name").agg(F.sum("n").alias("n"))
+    return per_type.groupBy("failure_mode_id").agg(F.count("asset_type_name").alias("types"), F.sum("n").alias("failures")).where("types > 1")
+
+
+@query("n06_components_of_other_assets", sql("details components", """SELECT count(*) AS failures, count(*) FILTER (WHERE asset_id <> machine_id) AS other_asset, count(*) FILTER (WHERE asset_id IS NULL) AS unknown_component
+    FROM details LEFT JOIN components USING (asset_component_id)"""))
+def n06d(t):
+    """A failure names a component of the asset that failed."""
+    both = details(t).join(components(t).select("asset_component_id", "asset_id"), "asset_component_id", "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("failures"), F.count_if(F.col("asset_id") != F.col("machine_id")).alias("other_asset"), F.count_if(F.col("asset_id").isNull()).alias("unknown_component")
+    )
+
+
 @query("n07_constraints", """SELECT rule, violations FROM (SELECT count(*) FILTER (WHERE NOT (l_quantity > 0)) AS a, count(*) FILTER (WHERE NOT (l_discount > 0)) AS b, count(*) FILTER (WHERE l_shipdate IS NULL) AS c,
     (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS d, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS e FROM lineitem),
     LATERAL (VALUES ('quantity_positive', a), ('discount_positive', b), ('shipdate_present', c), ('order_exists', d), ('line_unique', e)) v(rule, violations)""")

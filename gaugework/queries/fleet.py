@@ -35,7 +35,7 @@ from .roles import (
     work_orders,
 )
 
-SPANS = snap.Spans("24 hours", "72 hours", "7 days")
+SPANS = snap.Spans()  # the published ones: 24 hours, 168 hours, 90 days
 DOUBLES = (
     "temperature_mean temperature_stddev temperature_min temperature_max temperature_slope cpu_mean cpu_p95 cpu_max "
     "latency_mean latency_p95 latency_max operating_hours hours_since_maintenance"
@@ -62,10 +62,10 @@ POINTS = """s AS (SELECT *, window_start + INTERVAL 24 HOURS AS feature_time FRO
 TIMED = """p AS (SELECT s.*,
     (SELECT arg_max(operating_hours, (reading_time, meter_reading_id)) FROM meters m WHERE m.asset_id = s.asset_id AND m.reading_time <= s.feature_time) AS operating_hours,
     (epoch_us(feature_time) - epoch_us((SELECT max(completed_at) FROM maintenance c WHERE c.asset_id = s.asset_id AND c.completed_at <= s.feature_time))) / 3600000000.0::DOUBLE AS hours_since_maintenance,
-    (SELECT count(DISTINCT failure_time) FROM failures f WHERE f.machine_id = s.asset_id AND f.failure_time < s.feature_time AND f.failure_time >= s.feature_time - INTERVAL 7 DAYS) AS failures_last_90d,
-    (SELECT min(failure_time) FROM failures f WHERE f.machine_id = s.asset_id AND f.failure_time > s.feature_time AND f.failure_time <= s.feature_time + INTERVAL 72 HOURS) AS label_failure_time
+    (SELECT count(DISTINCT failure_time) FROM failures f WHERE f.machine_id = s.asset_id AND f.failure_time < s.feature_time AND f.failure_time >= s.feature_time - INTERVAL 90 DAYS) AS failures_last_90d,
+    (SELECT min(failure_time) FROM failures f WHERE f.machine_id = s.asset_id AND f.failure_time > s.feature_time AND f.failure_time <= s.feature_time + INTERVAL 168 HOURS) AS label_failure_time
     FROM s)"""
-LABELLED = """l AS (SELECT p.*, CASE WHEN feature_time <= (SELECT greatest((SELECT max(event_time) FROM telemetry), (SELECT max(failure_time) FROM failures))) - INTERVAL 72 HOURS
+LABELLED = """l AS (SELECT p.*, CASE WHEN feature_time <= (SELECT greatest((SELECT max(event_time) FROM telemetry), (SELECT max(failure_time) FROM failures))) - INTERVAL 168 HOURS
     THEN CAST(label_failure_time IS NOT NULL AS INTEGER) END AS label_failure_within_horizon FROM p)""", """b AS (SELECT min(epoch(feature_time))::BIGINT AS lo, max(epoch(feature_time))::BIGINT AS hi FROM l WHERE label_failure_within_horizon IS NOT NULL)""", """x AS (SELECT l.*, CASE WHEN label_failure_within_horizon IS NULL THEN 'inference'
     WHEN epoch(feature_time)::BIGINT <= lo + CAST(floor((hi - lo) * 0.70::DOUBLE) AS BIGINT) THEN 'train'
     WHEN epoch(feature_time)::BIGINT <= lo + CAST(floor((hi - lo) * 0.85::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'test' END AS dataset_split FROM l, b)"""
@@ -74,7 +74,7 @@ SNAPSHOT_SQL = sql(
     "telemetry failures meters maintenance assets",
     f"""SELECT x.asset_id, feature_time, window_start, feature_time AS window_end, telemetry_count, {ROUNDED},
     temperature_spike_count, cpu_spike_count, latency_spike_count, failures_last_90d, hardware_configuration_id,
-    asset_type_id, asset_model_id, label_failure_time, label_failure_within_horizon, dataset_split, 72 AS forecast_horizon_hours,
+    asset_type_id, asset_model_id, label_failure_time, label_failure_within_horizon, dataset_split, 168 AS forecast_horizon_hours,
     sha256(CAST(x.asset_id AS VARCHAR) || '|' || strftime(feature_time, '%Y-%m-%d %H:%M:%S')) AS snapshot_id
     FROM x LEFT JOIN assets USING (asset_id)""",
     WINDOWS, POINTS, TIMED, *LABELLED,
@@ -253,18 +253,46 @@ def k16(t):
 
 
 @query("k16_failure_breakdown", sql("failures details assets", """SELECT asset_type_name, severity, count(*) AS failures, count(DISTINCT machine_id) AS affected_assets,
-    count(*) - count(DISTINCT machine_id) AS repeat_failures, round(coalesce(sum(downtime_minutes), 0) / 60, 6) AS downtime_hours
+    count(*) - count(DISTINCT machine_id) AS repeat_failures, round(coalesce(sum(downtime_minutes) FILTER (WHERE downtime_minutes >= 0), 0) / 60, 6) AS downtime_hours
     FROM fe LEFT JOIN assets ON asset_id = machine_id GROUP BY 1, 2""", *FAILURE_KEYS))
 def k16b(t):
     """Type is a property of the asset, so failures are reduced per asset before the register is joined."""
-    per_asset = events_of(t).groupBy("machine_id", "severity").agg(F.count(F.lit(1)).alias("n"), F.sum("downtime_minutes").alias("m"))
-    named = per_asset.join(assets(t).select("asset_id", "asset_type_name"), F.col("machine_id") == F.col("asset_id"), "left")
-    return named.groupBy("asset_type_name", "severity").agg(
-        F.sum("n").alias("failures"),
-        F.count(F.lit(1)).alias("affected_assets"),
-        F.sum(F.col("n") - 1).alias("repeat_failures"),
-        r6(F.coalesce(F.sum("m"), F.lit(0.0)) / 60).alias("downtime_hours"),
-    )
+    return rounded(rel.failure_breakdown(events_of(t), ["severity"], assets(t), ["asset_type_name"]), ["downtime_hours"])
+
+
+REGISTER = """reg AS (SELECT asset_id, asset_model_id, asset_type_name, n_name AS site_name, r_name AS customer_name FROM assets
+    LEFT JOIN nation ON n_nationkey = site_id LEFT JOIN region ON r_regionkey = n_regionkey)"""
+BROKEN_DOWN = """count(*) AS failures, count(DISTINCT machine_id) AS affected_assets, count(*) - count(DISTINCT machine_id) AS repeat_failures,
+    round(coalesce(sum(downtime_minutes) FILTER (WHERE downtime_minutes >= 0), 0) / 60, 6) AS downtime_hours"""
+
+
+def register(t):
+    named = assets(t).join(t.nation, F.col("site_id") == F.col("n_nationkey"), "left").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return named.select("asset_id", "asset_model_id", "asset_type_name", F.col("n_name").alias("site_name"), F.col("r_name").alias("customer_name"))
+
+
+def breakdown_sql(column, join="LEFT JOIN reg ON asset_id = machine_id"):
+    return sql("failures details assets", f"SELECT {column}, {BROKEN_DOWN} FROM fe {join} GROUP BY 1", *FAILURE_KEYS, REGISTER)
+
+
+@query("k16_failures_by_customer", breakdown_sql("customer_name"))
+def k16_customer(t):
+    return rounded(rel.failure_breakdown(events_of(t), [], register(t), ["customer_name"]), ["downtime_hours"])
+
+
+@query("k16_failures_by_site", breakdown_sql("site_name"))
+def k16_site(t):
+    return rounded(rel.failure_breakdown(events_of(t), [], register(t), ["site_name"]), ["downtime_hours"])
+
+
+@query("k16_failures_by_model", breakdown_sql("asset_model_id"))
+def k16_model(t):
+    return rounded(rel.failure_breakdown(events_of(t), [], register(t), ["asset_model_id"]), ["downtime_hours"])
+
+
+@query("k16_failures_by_mode", breakdown_sql("failure_mode_id", ""))
+def k16_mode(t):
+    return rounded(rel.failure_breakdown(events_of(t), ["failure_mode_id"]), ["downtime_hours"])
 
 
 @query("k17_enrichment_coverage", sql("failures details", "SELECT count(*) AS failures, count(*) FILTER (WHERE has_details) AS enriched, round(avg(CAST(has_details AS INTEGER)), 6) AS coverage FROM fe", *FAILURE_KEYS))
@@ -309,11 +337,36 @@ def k20(t):
     )
 
 
-@query("k21_part_attributed_failures", sql("failures details", """SELECT p_brand, count(*) AS failures, count(DISTINCT machine_id) AS affected_assets FROM fe JOIN part ON p_partkey = asset_component_id GROUP BY 1""", *FAILURE_KEYS))
+@query("k20_usage_by_type_and_month", sql("usage work_orders assets", """SELECT date_trunc('month', opened_at)::TIMESTAMP AS month_start, asset_type_name, CAST(sum(quantity) AS BIGINT) AS quantity,
+    CAST(sum(line_cost) AS DECIMAL(18,2)) AS known_cost, count(*) AS usage_lines FROM usage JOIN work_orders USING (work_order_id) LEFT JOIN assets USING (asset_id) GROUP BY 1, 2"""))
+def k20b(t):
+    month = F.date_trunc("month", "opened_at").cast("timestamp_ntz").alias("month_start")
+    return used_by_asset(t, month).join(assets(t).select("asset_id", "asset_type_name"), "asset_id", "left").groupBy("month_start", "asset_type_name").agg(
+        F.sum("quantity").alias("quantity"), money(F.sum("cost")).alias("known_cost"), F.sum("lines").alias("usage_lines")
+    )
+
+
+@query("k20_usage_by_customer", sql("usage work_orders assets", """SELECT customer_name, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(line_cost) AS DECIMAL(18,2)) AS known_cost, count(*) AS usage_lines
+    FROM usage JOIN work_orders USING (work_order_id) LEFT JOIN reg USING (asset_id) GROUP BY 1""", REGISTER))
+def k20c(t):
+    return used_by_asset(t).join(register(t).select("asset_id", "customer_name"), "asset_id", "left").groupBy("customer_name").agg(
+        F.sum("quantity").alias("quantity"), money(F.sum("cost")).alias("known_cost"), F.sum("lines").alias("usage_lines")
+    )
+
+
+def used_by_asset(t, *by):
+    """Parts used, by the asset of the order; lines are reduced to the order before they meet it."""
+    per_order = usage(t).groupBy("work_order_id").agg(F.sum("quantity").alias("q"), F.sum("line_cost").alias("c"), F.count(F.lit(1)).alias("n"))
+    joined = per_order.join(work_orders(t).select("work_order_id", "asset_id", "opened_at"), "work_order_id")
+    return joined.groupBy("asset_id", *by).agg(F.sum("q").alias("quantity"), F.sum("c").alias("cost"), F.sum("n").alias("lines"))
+
+
+@query("k21_part_attributed_failures", sql("failures details components", """SELECT p_brand, count(*) AS failures, count(DISTINCT machine_id) AS affected_assets FROM fe
+    JOIN components USING (asset_component_id) JOIN part ON p_partkey = part_id GROUP BY 1""", *FAILURE_KEYS))
 def k21(t):
-    """Only the failing component's own part counts; the component id names the part here."""
-    linked = events_of(t).where("asset_component_id IS NOT NULL")
-    return linked.join(t.part.select("p_partkey", "p_brand"), F.col("asset_component_id") == F.col("p_partkey")).groupBy("p_brand").agg(
+    """The failing component leads to the part that is installed as it; failures without a known component have no part."""
+    linked = events_of(t).where("asset_component_id IS NOT NULL").join(components(t).select("asset_component_id", "part_id"), "asset_component_id")
+    return linked.join(t.part.select("p_partkey", "p_brand"), F.col("part_id") == F.col("p_partkey")).groupBy("p_brand").agg(
         F.count(F.lit(1)).alias("failures"), F.count_distinct("machine_id").alias("affected_assets")
     )
 
@@ -359,6 +412,19 @@ def k25(t):
     )
 
 
+@query("k25_cost_by_asset", sql("work_orders", "SELECT asset_id, count(*) AS completed, CAST(sum(total_cost) AS DECIMAL(18,2)) AS cost FROM work_orders WHERE status = 'completed' GROUP BY 1"))
+def k25b(t):
+    return work_orders(t).where("status = 'completed'").groupBy("asset_id").agg(F.count(F.lit(1)).alias("completed"), money(F.sum("total_cost")).alias("cost"))
+
+
+@query("k25_cost_by_customer", sql("work_orders assets", "SELECT customer_name, count(*) AS completed, CAST(sum(total_cost) AS DECIMAL(18,2)) AS cost FROM work_orders LEFT JOIN reg USING (asset_id) WHERE status = 'completed' GROUP BY 1", REGISTER))
+def k25c(t):
+    per_asset = work_orders(t).where("status = 'completed'").groupBy("asset_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_cost").alias("c"))
+    return per_asset.join(register(t).select("asset_id", "customer_name"), "asset_id", "left").groupBy("customer_name").agg(
+        F.sum("n").alias("completed"), money(F.sum("c")).alias("cost")
+    )
+
+
 @query("k26_state_timeline", sql("states", f"""SELECT state_id, asset_id, operating_state, greatest(state_start, {LO}) AS clipped_start, least(coalesce(state_end, {HI}), {HI}) AS clipped_end,
     round((epoch_us(least(coalesce(state_end, {HI}), {HI})) - epoch_us(greatest(state_start, {LO}))) / 3600000000.0::DOUBLE, 6) AS hours FROM states
     WHERE least(coalesce(state_end, {HI}), {HI}) > greatest(state_start, {LO})"""))

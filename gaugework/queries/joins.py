@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.num import money, r6
 from ..functions.when import hours, micros
-from ..operators.joins import Dimension, ancestors, fan_out, having_any, having_none, join_small, star
+from ..operators.joins import Dimension, ancestors, fan_out, having_any, having_none, star
 from ..operators.temporal import as_of_latest, clip, count_in_window, first_after, interval_issues, stab, time_to_next
 from .registry import query
 from .roles import details, failures, loose_states, maintenance, meters, ntz, predictions, sql, telemetry
@@ -58,7 +58,7 @@ def d05(t):
 @query("d06_small_schedule_join", sql("failures", "SELECT e.event_id, e.user_id, s.failures, s.first_failure FROM events e LEFT JOIN (SELECT machine_id, count(*) AS failures, min(failure_time) AS first_failure FROM failures GROUP BY 1) s ON s.machine_id = e.user_id"))
 def d06(t):
     schedule = failures(t).groupBy("machine_id").agg(F.count(F.lit(1)).alias("failures"), F.min("failure_time").alias("first_failure"))
-    return join_small(t.events.select("event_id", "user_id"), schedule, F.col("user_id") == F.col("machine_id"), "left").drop("machine_id")
+    return t.events.select("event_id", "user_id").join(schedule, F.col("user_id") == F.col("machine_id"), "left").drop("machine_id")
 
 
 @query("d07_year_spine", "SELECT c_custkey AS employee_key, c_nationkey AS entity_key, CAST(y AS INTEGER) AS tax_year, CAST(y AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS return_id FROM customer, range(2021, 2026) r(y)")

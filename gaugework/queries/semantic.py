@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources.sinks import save_table
 from ..sources.tax_tables import dim_tax_line
 from .registry import query
-from .taxes import FED, FED_LINES, FED_SUMMARY, ST, ST_LINES, ST_SUMMARY, federal, state, w
+from .taxes import returns, FED, FED_LINES, FED_SUMMARY, ST, ST_LINES, ST_SUMMARY, federal, state, w
 
 
 def sales_view(t):
@@ -85,5 +85,5 @@ def p05(t):
 def p06(t):
     """The trail of the last return by id; the id is found by the query itself."""
     lines = federal(t)
-    last = lines.agg(F.max("return_id").alias("m")).scalar()
+    last = returns(t).agg(F.max("return_id").alias("m")).scalar()
     return sem.drill(lines, dim_tax_line(t.spark), last)

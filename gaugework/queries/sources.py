@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import having_none, join_small
+from ..operators.joins import having_none
 from ..session import scratch_path
 from ..sources import cursor, sinks, tables
 from .registry import query
@@ -28,7 +28,7 @@ PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED
 def a02(t):
     ranks = tables.literal_table(t.spark, PRIORITIES, "priority string, rank int")
     n = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
-    return join_small(n, ranks, F.col("o_orderpriority") == F.col("priority")).select("rank", "orders")
+    return n.join(ranks, F.col("o_orderpriority") == F.col("priority")).select("rank", "orders")
 
 
 @query("a03_table_scan", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
@@ -54,8 +54,8 @@ def a05(t):
 @query("a06_overwrite_table", "SELECT * FROM orders")
 def a06(t):
     path = scratch_path(t.spark, "a06")
-    sinks.overwrite_table(t.orders.where("o_orderstatus = 'F'"), path, 1)
-    return sinks.overwrite_table(t.orders, path, t.orders.count(), t.orders.columns)
+    sinks.overwrite_table(t.orders.where("o_orderstatus = 'F'"), path)
+    return sinks.overwrite_table(t.orders, path, t.orders.columns)
 
 
 @query("a07_save_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
@@ -71,13 +71,34 @@ MERGE_SQL = """SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT l_orderke
 @query("a08_merge_insert_only", MERGE_SQL)
 def a08(t):
     """Returned lines are stored first; merging all lines then adds only unknown keys, twice without effect."""
-    path = scratch_path(t.spark, "a08")
+    path, run = scratch_path(t.spark, "a08"), sinks.new_run()
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     keys = ["l_orderkey", "l_linenumber"]
     stored = [*keys, "l_partkey"]
-    sinks.merge_insert_only(path, rows.where("l_returnflag = 'R'"), keys, "0", ["l_partkey"], stored)
-    sinks.merge_insert_only(path, rows, keys, "1", ["l_partkey"], stored)
-    sinks.merge_insert_only(path, rows, keys, "2", ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows.where("l_returnflag = 'R'"), keys, run, 0, ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows, keys, run, 1, ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows, keys, run, 2, ["l_partkey"], stored)
+    return sinks.read_store(t.spark, path, rows.select(*stored).schema).select(*stored)
+
+
+FEEDS_SQL = """WITH k AS (SELECT l_orderkey, l_linenumber, max(CASE l_returnflag WHEN 'R' THEN 3 WHEN 'A' THEN 2 ELSE 1 END) AS feed FROM lineitem GROUP BY 1, 2)
+    SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey FROM lineitem JOIN k USING (l_orderkey, l_linenumber)
+    WHERE (feed = 3 AND l_returnflag = 'R') OR (feed = 2 AND l_returnflag = 'A') OR feed = 1 GROUP BY 1, 2"""
+
+
+@query("a08_second_feed_and_restart", FEEDS_SQL)
+def a08c(t):
+    """Two feeds and a restart of the first under a new run: stored lines stay as they are and none is lost."""
+    path = scratch_path(t.spark, "a08c")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    keys = ["l_orderkey", "l_linenumber"]
+    stored = [*keys, "l_partkey"]
+    first, again = sinks.new_run(), sinks.new_run()
+    sinks.merge_insert_only(path, rows.where("l_returnflag = 'R'"), keys, first, 0, ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows.where("l_returnflag = 'A'"), keys, sinks.new_run(), 0, ["l_partkey"], stored)
+    changed = rows.where("l_returnflag = 'R'").withColumn("l_partkey", F.col("l_partkey") + 1)
+    sinks.merge_insert_only(path, changed, keys, again, 0, ["l_partkey"], stored)
+    sinks.merge_insert_only(path, rows, keys, again, 1, ["l_partkey"], stored)
     return sinks.read_store(t.spark, path, rows.select(*stored).schema).select(*stored)
 
 
@@ -103,6 +124,42 @@ def a10(t):
 COUNTED = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+def catalog(t, label, schemas):
+    """A database of its own in the shared folder, with empty tables of the given schemas."""
+    path = scratch_path(t.spark, label)
+    database = "gaugework_" + path.rpartition("/")[2].replace("-", "_")
+    tables.create_tables(t.spark, database, schemas, location=path)
+    return database
+
+
+@query("a16_create_tables", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def a16(t):
+    """Created tables are filled; creating them again leaves what they hold."""
+    rows = t.customer.select("c_custkey", "c_name", "c_nationkey")
+    schemas = {"customer": rows.schema, "orders": t.orders.schema}
+    database = catalog(t, "a16", schemas)
+    rows.write.insertInto(f"{database}.customer")
+    tables.create_tables(t.spark, database, schemas)
+    tables.require_tables(t.spark, [f"{database}.{n}" for n in schemas])
+    return t.spark.table(f"{database}.customer")
+
+
+@query("a11_schema_drift", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def a11(t):
+    """A table that lacks a column is refused, made anew and filled; then its columns are the expected ones."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    name = catalog(t, "a11", {"orders": rows.drop("o_totalprice").schema}) + ".orders"
+    try:
+        tables.ensure_schema(t.spark, name, rows.schema)
+    except ValueError:
+        tables.ensure_schema(t.spark, name, rows.schema, recreate=True)
+        rows.write.insertInto(name)
+    else:
+        raise RuntimeError("drift was not seen")
+    tables.ensure_schema(t.spark, name, rows.schema)
+    return t.spark.table(name)
+
+
 @query("a12_row_count_report", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED))
 def a12(t):
     return tables.row_counts({n: getattr(t, n) for n in COUNTED})
@@ -111,7 +168,7 @@ def a12(t):
 @query("a13_cluster_layout", "SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate FROM lineitem")
 def a13(t):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
-    return sinks.save_table(sinks.cluster_layout(rows, ["l_shipdate", "l_partkey"], 8), scratch_path(t.spark, "a13"))
+    return sinks.save_table(sinks.cluster_layout(rows, ["l_shipdate", "l_partkey"]), scratch_path(t.spark, "a13"))
 
 
 @query("a13_interleaved_layout", "SELECT l_partkey, l_suppkey, l_quantity FROM lineitem")
@@ -119,7 +176,7 @@ def a13b(t):
     """Rows near in both keys share a file."""
     rows = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity")
     keyed = rows.withColumn("z", sinks.interleaved(F.col("l_partkey"), F.col("l_suppkey")))
-    return sinks.save_table(sinks.cluster_layout(keyed, ["z"], 8), scratch_path(t.spark, "a13z")).drop("z")
+    return sinks.save_table(sinks.cluster_layout(keyed, ["z"]), scratch_path(t.spark, "a13z")).drop("z")
 
 
 STATS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
@@ -133,7 +190,7 @@ def a14(t):
 @query("a15_repartitioned_write", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS tax_year FROM orders")
 def a15(t):
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("tax_year"))
-    return sinks.save_table(sinks.spread(rows, 8, "tax_year"), scratch_path(t.spark, "a15"))
+    return sinks.save_table(sinks.spread(rows, "tax_year"), scratch_path(t.spark, "a15"))
 
 
 LAST, NOW = datetime(2024, 1, 20), datetime(2024, 1, 28)

@@ -102,6 +102,20 @@ def h03(t):
     return feed.take().select("record_id", "glucose_mgdl")
 
 
+@query("h03_second_feed_and_new_checkpoint", f"WITH {LINES} SELECT record_id, v AS glucose_mgdl FROM d WHERE v IS NOT NULL")
+def h03b(t):
+    """Two landing folders feed one store, and the first is read again with a new checkpoint: nothing is lost or changed."""
+    feed, other = Feed(t, "h03b"), Feed(t, "h03b-other")
+    other.store = feed.store
+    feed.drop(FIRST, 0, "user")
+    feed.take()
+    other.drop(FIRST, 0)
+    other.take()
+    feed.drop(SECOND, 1000)
+    feed.checkpoint += "-new"
+    return feed.take().select("record_id", "glucose_mgdl")
+
+
 @query("a09_stream_merge_newest_in_batch", f"WITH {LINES} SELECT record_id, v + 1000 AS glucose_mgdl FROM d WHERE v IS NOT NULL")
 def a09(t):
     """Two fetches in one batch: the newer one wins."""
@@ -125,28 +139,31 @@ def k30(t):
     return readings.summary(feed.take()).select("readings", ntz("first_reading"), ntz("last_reading"))
 
 
-def event_stream(t, folder=None):
+def event_stream(t, folder=None, **limit):
     # as a glob, the path may be one file or a folder of parts
     path = folder or f"{t.folder}/events.parque[t]"
-    stream = t.spark.readStream.schema(t.events.schema).parquet(path)
+    stream = t.spark.readStream.schema(t.events.schema).options(**(limit or {"maxBytesPerTrigger": ingest.BATCH_BYTES})).parquet(path)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("h05_late_dedupe", "SELECT event_id, user_id, ts, event_type, value FROM events")
 def h05(t):
-    """A fetch that overlaps the one before brings every error twice; each event is kept once."""
+    """Fetches that overlap, taken one file at a time and the newest part of the feed first: each event is kept once, late ones too."""
     base = scratch_path(t.spark, "h05")
-    t.events.write.parquet(f"{base}/in/first")
-    t.events.where("event_type = 'error'").write.parquet(f"{base}/in/again")
-    once = ingest.dedupe_late(event_stream(t, f"{base}/in/*"), "event_id", "ts", "6 hours")
-    ingest.append_table(once, f"{base}/out", f"{base}/checkpoint")
-    return t.spark.read.parquet(f"{base}/out").select("event_id", "user_id", ntz("ts"), "event_type", "value")
+    late = t.events.where("event_id % 3 <> 0")
+    t.events.where("event_id % 3 = 0").coalesce(1).write.parquet(f"{base}/in/first")
+    ingest.keep_first(event_stream(t, f"{base}/in/*"), f"{base}/out", f"{base}/checkpoint", ["event_id"])
+    late.repartition(4, "user_id").write.parquet(f"{base}/in/late")
+    t.events.where("event_type = 'error'").coalesce(1).write.parquet(f"{base}/in/again")
+    ingest.keep_first(event_stream(t, f"{base}/in/*", maxFilesPerTrigger=1), f"{base}/out", f"{base}/checkpoint", ["event_id"])
+    out = read_store(t.spark, f"{base}/out", event_stream(t).schema)
+    return out.select("event_id", "user_id", ntz("ts"), "event_type", "value")
 
 
 @query("h06_streaming_windows", """SELECT user_id, time_bucket(INTERVAL '24 hours', ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS n, round(avg(value), 6) AS mean_value, max(value) AS max_value FROM events WHERE event_type <> 'error' GROUP BY 1, 2
     HAVING time_bucket(INTERVAL '24 hours', ts, TIMESTAMP '1970-01-01') + INTERVAL 24 HOURS <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 6 HOURS""".replace("HAVING time_bucket(INTERVAL '24 hours', ts, TIMESTAMP '1970-01-01') +", "HAVING window_start +"))
 def h06(t):
-    """Windows the watermark has closed; the batch features of the same windows are equal."""
+    """Windows the watermark has closed, open ones are left to the next run; the batch features of the same windows are equal."""
     base = scratch_path(t.spark, "h06")
     aggs = {"n": F.count(F.lit(1)), "mean_value": F.avg("value"), "max_value": F.max("value")}
     out = ingest.windowed_features(event_stream(t).where("event_type <> 'error'"), ["user_id"], "ts", aggs)

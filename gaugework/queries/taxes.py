@@ -197,7 +197,8 @@ def n09(t):
     FROM (SELECT DISTINCT return_id, state_key, federal_agi_ref FROM sl) b LEFT JOIN (SELECT return_id, amount FROM fl WHERE tax_line_key = 7) a USING (return_id)"""))
 def n12(t):
     agi = federal(t).where("tax_line_key = 7").select("return_id", F.col("amount").alias("agi"))
-    filed = state(t).select("return_id", "state_key", "federal_agi_ref").distinct()
+    # every filing has one line of the first code, so no distinct is needed
+    filed = state(t).where(F.col("tax_line_key") == tax.STATE_LINES[0][0]).select("return_id", "state_key", "federal_agi_ref")
     return filed.join(agi, "return_id", "left").agg(
         F.count(F.lit(1)).alias("state_filings"), F.count_if(F.col("agi").isNull()).alias("without_federal"), F.count_if(F.col("agi") != F.col("federal_agi_ref")).alias("different")
     )

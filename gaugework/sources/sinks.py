@@ -1,8 +1,9 @@
 """Writing tables: overwrite, append, insert-only merge, cache replacement and layout.
 
 Parquet has no MERGE. A store is a folder of parquet parts in which a merge only ever adds a
-part; each part is written under the name of its batch and a replay overwrites that part alone,
-so a job that is lost and run again leaves the same content.
+part. A part is named by the run and the batch that wrote it: a batch that is replayed within its run
+rewrites its own part alone, and no other run, restart or feed can touch it. Within a part rows lie in
+buckets of their key, so that a merge reads only the buckets its batch falls into.
 """
 
 from __future__ import annotations
@@ -12,24 +13,21 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.latest import latest_per_key
 from .tables import check_columns
 
 ROWS_PER_FILE = 250_000  # fixed value of the published sizing rule
-PART = "batch"
+PART, BUCKET = "batch", "key_bucket"
+STORE_BUCKETS = 32  # of a store whose creator names no other number
 
 
-def file_count(rows: int, most: int = 200, rows_per_file: int = ROWS_PER_FILE) -> int:
-    return max(1, min(most, -(-rows // rows_per_file)))
-
-
-def overwrite_table(df: DataFrame, path: str, rows: int, expected: Sequence[str] | None = None, most_files: int = 200) -> DataFrame:
-    """Replace the folder with files of about 250k rows after a column check."""
+def overwrite_table(df: DataFrame, path: str, expected: Sequence[str] | None = None) -> DataFrame:
+    """Replace the folder with files of at most 250k rows after a column check; tasks are balanced by size."""
     if expected is not None:
         check_columns(df, expected, path)
-    df.repartition(file_count(rows, most_files)).write.mode("overwrite").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -59,9 +57,9 @@ def append_batches(make: Callable[[int, int], DataFrame], total: int, batch: int
     return done
 
 
-def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_store(spark: SparkSession, path: str, schema, buckets: bool = False) -> DataFrame:
     """All parts of a store with the part name as column ``batch``; empty when nothing was written."""
-    whole = StructType([*schema.fields, StructField(PART, StringType())])
+    whole = StructType([*schema.fields, StructField(PART, StringType()), *([StructField(BUCKET, IntegerType())] if buckets else [])])
     try:
         return spark.read.schema(whole).parquet(path)
     except AnalysisException as e:
@@ -70,21 +68,45 @@ def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], whole)
 
 
+def store_buckets(spark: SparkSession, path: str, wanted: int | None = None) -> int:
+    """Number of buckets of a store; it is fixed and noted beside the parts when the store is created."""
+    note = f"{path}/_buckets"
+    try:
+        return int(spark.read.text(note).first()["value"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    n = wanted or STORE_BUCKETS
+    spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.text(note)
+    return n
+
+
+def new_run() -> str:
+    """A name for a run of merges that no other run has."""
+    return uuid.uuid4().hex
+
+
 def merge_insert_only(
     path: str,
     source: DataFrame,
     keys: Sequence[str],
-    batch: str,
+    run: str,
+    batch: int | str,
     newest_by: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     null_keys: str = "drop",
+    buckets: int | None = None,
 ) -> None:
     """Insert the source rows whose key the store does not hold yet; never update.
 
-    Within the source the newest row of a key wins; ``columns`` are the ones stored. Rows with a null key can never match and would
-    be inserted again by every batch: they are dropped, or refused with ``null_keys="error"``.
-    The store is only probed: the keys of the batch filter it by semi join, and what is found
-    filters the batch by anti join. When the batch fits a broadcast, the store is never shuffled.
+    ``run`` names the run (``new_run``, or the id that a stream keeps in its checkpoint) and ``batch`` the
+    batch within it. Only a replay of the same batch of the same run rewrites its part; all other parts
+    count as known. Within the source the newest row of a key wins; ``columns`` are the ones stored. Rows
+    with a null key can never match and would be inserted again by every batch: they are dropped, or
+    refused with ``null_keys="error"``.
+    The keys of the batch filter its buckets of the store by semi join, and what is found filters the
+    batch by anti join. Two runs that merge at the same time may both insert a key: feeds of one store
+    take turns.
     """
     spark = source.sparkSession
     missing = F.lit(False)
@@ -92,15 +114,19 @@ def merge_insert_only(
         missing = missing | F.col(k).isNull()
     if null_keys == "error" and not source.where(missing).isEmpty():
         raise ValueError("null key in the source")
+    part, n = f"{run}-{batch}", store_buckets(spark, path, buckets)
     wanted = list(dict.fromkeys([*newest_by, *(columns or source.columns)]))
     usable = source.where(~missing)
     fresh = latest_per_key(usable, keys, newest_by, wanted) if newest_by else usable.dropDuplicates(list(keys))
-    # both joins read the reduced batch; without the cache each would parse and reduce it again
+    # the joins and the bucket list read the reduced batch; without the cache each would parse and reduce it again
     fresh = fresh.select(*(columns or source.columns)).persist()
     try:
-        store = read_store(spark, path, fresh.schema).where(F.col(PART) != batch).select(*keys)
-        known = store.join(fresh.select(*keys), list(keys), "left_semi")
-        fresh.join(known, list(keys), "left_anti").write.mode("overwrite").parquet(f"{path}/{PART}={batch}")
+        placed = fresh.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
+        touched = [r[BUCKET] for r in placed.select(BUCKET).distinct().collect()]  # at most the buckets of the store
+        held = read_store(spark, path, fresh.schema, buckets=True).where(F.col(BUCKET).isin(touched) & (F.col(PART) != part))
+        known = held.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
+        new = placed.join(known, list(keys), "left_anti").hint("rebalance", BUCKET)
+        new.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{PART}={part}")
     finally:
         fresh.unpersist()
 
@@ -135,26 +161,29 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(spark.read.text(f"{path}/current").first()["value"])
 
 
-def cluster_layout(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
+def cluster_layout(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Range-partition and sort on 1 to 4 keys, so that files hold narrow key ranges for skipping.
 
-    Range limits are sampled over all keys together: a hot first key is split by the next ones.
+    Range limits are sampled over all keys together: a hot first key is split by the next ones. The number
+    of ranges is the session's, lessened to full ones by adaptive execution.
     """
     if not 1 <= len(keys) <= 4:
         raise ValueError("cluster on one to four keys")
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def interleaved(a, b, bits: int = 16):
-    """Bit-interleaved key of two non-negative integers below 2**bits, for layouts on two columns."""
+def interleaved(a, b, bits: int = 31):
+    """Bit-interleaved key of two integers from 0 to 2**bits - 1, for layouts on two columns; others are an error."""
+    top = F.lit((1 << bits) - 1)
     out = F.lit(0).cast("long")
     for i in range(bits):
         for shift, c in ((2 * i, a), (2 * i + 1, b)):
             bit = F.shiftright(c.cast("long"), i).bitwiseAND(F.lit(1).cast("long"))
             out = out.bitwiseOR(F.shiftleft(bit, shift))
-    return out
+    outside = (a < 0) | (b < 0) | (a > top) | (b > top)
+    return F.when(outside, F.raise_error(F.lit(f"keys beyond {bits} bits")).cast("long")).otherwise(out)
 
 
-def spread(df: DataFrame, n: int, column: str, salts: int = 16) -> DataFrame:
-    """Repartition on a low-cardinality column before a write, a hot value over several tasks."""
-    return df.repartition(n, F.col(column), F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """Bring the rows of a value together before a write; large values are split by size, small ones joined."""
+    return df.hint("rebalance", column)

@@ -40,9 +40,9 @@ def table_scan(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def row_ids(spark: SparkSession, n: int, rows_per_task: int = 100_000, most_tasks: int = 4_000) -> DataFrame:
+def row_ids(spark: SparkSession, n: int, rows_per_task: int = 1_000_000) -> DataFrame:
     """Distributed ids 0..n-1; the number of tasks follows the number of rows."""
-    return spark.range(0, n, 1, max(1, min(most_tasks, -(-n // rows_per_task))))
+    return spark.range(0, n, 1, max(1, -(-n // rows_per_task)))
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
@@ -101,9 +101,9 @@ def analyze(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
-def create_tables(spark: SparkSession, database: str, schemas: dict[str, object], replace: bool = False) -> None:
-    """Empty parquet tables with declared schemas; existing ones stay unless ``replace``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark: SparkSession, database: str, schemas: dict[str, object], replace: bool = False, location: str | None = None) -> None:
+    """Empty parquet tables with declared schemas; existing ones stay unless ``replace``. A new database goes to ``location``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, schema in schemas.items():
         full = f"{database}.{name}"
         if replace:

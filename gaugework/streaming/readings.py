@@ -48,7 +48,7 @@ def ingest(spark: SparkSession, landing: str, store: str, checkpoint: str, glob:
         return rows.withColumn("ingested_at", F.current_timestamp()) if stamp else rows
 
     columns = [*COLUMNS, "ingested_at"] if stamp else COLUMNS
-    sink = insert_only_sink(store, ["record_id"], ["fetched_at"], shape, columns)
+    sink = insert_only_sink(store, checkpoint, ["record_id"], ["fetched_at"], shape, columns)
     catch_up(json_file_stream(spark, landing, glob, DOCUMENT, multi_line), sink, checkpoint)
 
 
