@@ -2,14 +2,17 @@
 
 Every point-in-time operator asks the same thing: what do the rows up to an instant amount to?
 A window partitioned by the key alone would answer it with the whole history of a hot key in one
-task. Here time is cut into cells of fixed width instead:
+task. Here time is cut twice instead, into cells and each cell into ``FAN`` slots:
 
 1. rows of one (key, instant) are merged first, with map-side combine;
-2. a window per (key, cell) runs over the distinct instants of that cell;
-3. one summary row per (key, cell) carries the state into later cells. The window over the
-   summary has at most (time span / cell width) rows per key, however many rows the key has.
-
-The results do not depend on the cell width; it only balances the tasks.
+2. a window per (key, slot) runs over the distinct instants of that slot;
+3. one summary row per (key, slot) carries the state on within the cell, in a window of at most
+   ``FAN`` rows;
+4. one summary row per (key, cell) carries it on into later cells, in a window of at most
+   (time span / cell width) rows per key.
+
+So a burst of one key within minutes is spread over many tasks, however many rows it has. The
+results do not depend on the widths; they only balance the tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +24,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.when import whole
 
-AT, CELL, PROBE = "_at", "_cell", "_probe"
+AT, SLOT, CELL, PROBE = "_at", "_slot", "_cell", "_probe"
+FAN = 1024  # slots of a cell
+
+
+def slot_of(at: Column, cell: int) -> Column:
+    """Number of the slot that holds an instant, for cells of ``cell`` microseconds."""
+    return whole(at, max(1, cell // FAN))
+
+
+def cell_of(slot: Column) -> Column:
+    return whole(slot, FAN)
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -54,46 +67,37 @@ def prefix_scan(
     asks = probes.where(known).select(*keys, order.alias(AT), F.lit(True).alias(PROBE))
     merged = (
         rows.unionByName(asks, allowMissingColumns=True)
-        .withColumn(CELL, whole(F.col(AT), cell))
-        .groupBy(*keys, CELL, AT)
-        .agg(F.max(PROBE).alias(PROBE), *[F.max(c).alias(c) for c in tops], *[F.sum(c).alias(c) for c in sums])
+        .withColumn(SLOT, slot_of(F.col(AT), cell))
+        .groupBy(*keys, SLOT, AT)
+        .agg(F.max(PROBE).alias(PROBE), *_summary(tops, sums))
     )
 
-    upto = Window.unboundedPreceding
-    inside = Window.partitionBy(*keys, CELL).orderBy(AT).rowsBetween(upto, -1 if strict else 0)
-    local = merged.select(
-        *keys,
-        CELL,
-        AT,
-        PROBE,
-        *[F.max(c).over(inside).alias(c) for c in tops],
-        *[F.sum(c).over(inside).alias(c) for c in sums],
-    ).where(PROBE)
-
-    earlier = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(upto, -1)
-    carried = (
-        merged.groupBy(*keys, CELL)
-        .agg(F.max(PROBE).alias(PROBE), *[F.max(c).alias(c) for c in tops], *[F.sum(c).alias(c) for c in sums])
-        .select(
-            *keys,
-            CELL,
-            PROBE,
-            *[F.max(c).over(earlier).alias(f"_in_{c}") for c in tops],
-            *[F.sum(c).over(earlier).alias(f"_in_{c}") for c in sums],
-        )
-        .where(PROBE)
-        .drop(PROBE)
-    )
+    def upto(rows: DataFrame, part: Sequence[str], by: str, last: int, prefix: str, *kept: str) -> DataFrame:
+        """State up to each row of its part; only rows with a probe are wanted further on."""
+        w = Window.partitionBy(*keys, *part).orderBy(by).rowsBetween(Window.unboundedPreceding, last)
+        state = [F.max(c).over(w).alias(prefix + c) for c in tops] + [F.sum(c).over(w).alias(prefix + c) for c in sums]
+        return rows.select(*keys, *kept, PROBE, *state).where(PROBE).drop(PROBE)
+
+    slots = merged.groupBy(*keys, SLOT).agg(F.max(PROBE).alias(PROBE), *_summary(tops, sums)).withColumn(CELL, cell_of(F.col(SLOT)))
+    cells = slots.groupBy(*keys, CELL).agg(F.max(PROBE).alias(PROBE), *_summary(tops, sums))
+    local = upto(merged, [SLOT], AT, -1 if strict else 0, "", SLOT, AT)
+    within = upto(slots, [CELL], SLOT, -1, "_in_", SLOT, CELL)
+    across = upto(cells, [], CELL, -1, "_over_", CELL)
     at = -F.col(AT) if backward else F.col(AT)
-    # every cell with a probe has its summary row; a left join keeps the two branches on one exchange
-    return local.join(carried, [*keys, CELL], "left").select(
+    # every slot and cell with a probe has its summary row; left joins keep the branches on their exchanges
+    carried = within.join(across, [*keys, CELL], "left").drop(CELL)
+    return local.join(carried, [*keys, SLOT], "left").select(
         *keys,
         at.alias(AT),
-        *[F.greatest(c, f"_in_{c}").alias(c) for c in tops],
-        *[_plus(F.col(c), F.col(f"_in_{c}")).alias(c) for c in sums],
+        *[F.greatest(c, f"_in_{c}", f"_over_{c}").alias(c) for c in tops],
+        *[_plus(F.col(c), _plus(F.col(f"_in_{c}"), F.col(f"_over_{c}"))).alias(c) for c in sums],
     )
 
 
+def _summary(tops: Sequence[str], sums: Sequence[str]) -> list[Column]:
+    return [F.max(c).alias(c) for c in tops] + [F.sum(c).alias(c) for c in sums]
+
+
 def key_pairs(on) -> list[tuple[str, str]]:
     """``"k"``, ``["k", ("left_k", "right_k")]`` -> pairs of column names."""
     on = [on] if isinstance(on, (str, tuple)) else list(on)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.when import hours, instant, micros, span, whole
-from .scan import AT, attach, key_pairs, keyed, prefix_scan, scan_keys
+from .scan import AT, attach, cell_of, key_pairs, keyed, prefix_scan, scan_keys, slot_of
 
 OPEN_END = 9_223_372_036_854_775_807  # an interval without an end outlasts every instant
 
@@ -164,7 +164,7 @@ def stab(
     tie: Sequence[str] = (),
     default: Mapping[str, str] | None = None,
     covering: str | None = None,
-    cell: str = "30 days",
+    cell: str = "1 day",
 ) -> DataFrame:
     """The interval ``[start, end)`` that covers each left instant; a null end is open.
 
@@ -250,26 +250,26 @@ def with_neighbours(
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     reach: Mapping[str, Column] | None = None,
-    cell: str = "30 days",
+    cell: str = "1 day",
 ) -> DataFrame:
     """Columns of the previous and next row of the same key in the order (``ts``, ``order``).
 
-    ``reach`` adds running maxima over all earlier rows. Windows run per (key, time cell); the
-    first and last rows of the other cells come from one summary row per cell. ``order`` must
-    make the rows of an instant distinct.
+    ``reach`` adds running maxima over all earlier rows. Windows run per (key, slot of a time cell); what
+    lies before and after comes from one summary row per slot within the cell and one per cell. ``order``
+    must make the rows of an instant distinct.
     """
     keys, previous, following, reach = list(keys), dict(previous or {}), dict(following or {}), dict(reach or {})
     spot = F.struct(micros(ts).alias("us"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
     wanted = {**{f"p{i}": c for i, c in enumerate(previous.values())}, **{f"f{i}": c for i, c in enumerate(following.values())}}
     base = df.withColumns(
         {
-            "_cell": whole(micros(ts), span(cell)),
+            "_slot": slot_of(micros(ts), span(cell)),
             "_spot": spot,
             "_row": F.struct(spot.alias("spot"), *[F.col(c).alias(n) for n, c in wanted.items()]),
             **{f"_r{i}": c for i, c in enumerate(reach.values())},
         }
     )
-    inside = Window.partitionBy(*keys, "_cell").orderBy("_spot")
+    inside = Window.partitionBy(*keys, "_slot").orderBy("_spot")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     reaches = range(len(reach))
     local = base.withColumns(
@@ -279,28 +279,37 @@ def with_neighbours(
             **{f"_m{i}": F.max(f"_r{i}").over(before) for i in reaches},
         }
     )
-    cells = base.groupBy(*keys, "_cell").agg(
-        F.min("_row").alias("_first"), F.max("_row").alias("_last"), *[F.max(f"_r{i}").alias(f"_r{i}") for i in reaches]
-    )
-    across = Window.partitionBy(*keys).orderBy("_cell")
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = cells.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_cell").alias("_c_cell"),
-        F.lag("_last").over(across).alias("_c_prev"),
-        F.lead("_first").over(across).alias("_c_next"),
-        *[F.max(f"_r{i}").over(earlier).alias(f"_c_m{i}") for i in reaches],
-    )
-    match = F.col("_cell") == F.col("_c_cell")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-    out = local.join(carried, match, "left")
-    prev, nxt = F.coalesce("_prev", "_c_prev"), F.coalesce("_next", "_c_next")
+    edges = [F.min("_first").alias("_first"), F.max("_last").alias("_last"), *[F.max(f"_r{i}").alias(f"_r{i}") for i in reaches]]
+    slots = base.withColumns({"_first": F.col("_row"), "_last": F.col("_row")}).groupBy(*keys, "_slot").agg(*edges).withColumn("_cell", cell_of(F.col("_slot")))
+    cells = slots.groupBy(*keys, "_cell").agg(*edges)
+
+    def carried(rows: DataFrame, part: Sequence[str], by: str, tag: str, *kept: str) -> DataFrame:
+        """What lies before and after each summary row of its part."""
+        w = Window.partitionBy(*keys, *part).orderBy(by)
+        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(
+            *[F.col(k).alias(f"{tag}_{k}") for k in keys],
+            *[F.col(k).alias(f"{tag}{k}") for k in kept],
+            F.lag("_last").over(w).alias(f"{tag}_prev"),
+            F.lead("_first").over(w).alias(f"{tag}_next"),
+            *[F.max(f"_r{i}").over(earlier).alias(f"{tag}_m{i}") for i in reaches],
+        )
+
+    def same(left: str, right: str, column: str, other: str) -> Column:
+        match = F.col(column) == F.col(other)
+        for k in keys:
+            match = match & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}_{k}"))
+        return match
+
+    within, across = carried(slots, ["_cell"], "_slot", "_s", "_slot", "_cell"), carried(cells, [], "_cell", "_c", "_cell")
+    both = within.join(across, same("_s_", "_c", "_s_cell", "_c_cell"), "left")
+    out = local.join(both, same("", "_s", "_slot", "_s_slot"), "left")
+    prev, nxt = F.coalesce("_prev", "_s_prev", "_c_prev"), F.coalesce("_next", "_s_next", "_c_next")
     return out.select(
         *[F.col(c) for c in df.columns],
         *[prev.getField(f"p{i}").alias(n) for i, n in enumerate(previous)],
         *[nxt.getField(f"f{i}").alias(n) for i, n in enumerate(following)],
-        *[F.greatest(f"_m{i}", f"_c_m{i}").alias(n) for i, n in enumerate(reach)],
+        *[F.greatest(f"_m{i}", f"_s_m{i}", f"_c_m{i}").alias(n) for i, n in enumerate(reach)],
     )
 
 

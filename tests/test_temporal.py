@@ -120,6 +120,24 @@ def test_neighbours_across_cells_with_null_key(spark):
     assert {r["i"]: (r["p"], r["n"]) for r in out.collect()} == {1: (None, 2), 2: (1, None), 3: (None, 4), 4: (3, None)}
 
 
+def test_a_burst_of_one_key_is_spread_over_tasks(spark):
+    """A third of all rows on one key in one hour: the busiest slot holds few of them, and the results stay."""
+    from gaugework.functions.when import micros, span
+    from gaugework.operators.scan import FAN, slot_of
+
+    burst = [(0, T + timedelta(milliseconds=1800 * i), i) for i in range(2000)]
+    others = [(1 + i % 40, T + timedelta(minutes=11 * i), 2000 + i) for i in range(4000)]
+    df = spark.createDataFrame(burst + others, "k int, t timestamp, i int")
+    top = df.groupBy("k", slot_of(micros("t"), span("1 day"))).count().agg(F.max("count")).first()[0]
+    assert top <= 2 * len(burst) / (3600 / (86_400 / FAN)) and top < 0.02 * df.count()
+    out = {r["i"]: (r["p"], r["n"]) for r in with_neighbours(df, ["k"], "t", ["i"], {"p": "i"}, {"n": "i"}).where("k = 0").collect()}
+    assert out == {i: (i - 1 if i else None, i + 1 if i < 1999 else None) for i in range(2000)}
+    probes = spark.createDataFrame([(i, 0, T + timedelta(minutes=i)) for i in range(61)], LEFT)
+    counts = column(count_in_window(probes, df.select("k", F.col("t").alias("u"), F.col("i").alias("v")), "k", "t", "u", "10 minutes"), "events_in_window")
+    want = [sum(T + timedelta(minutes=m - 10) <= u < T + timedelta(minutes=m) for _, u, _ in burst) for m in range(61)]
+    assert counts == want
+
+
 def test_latest_row_and_conflicts(spark):
     df = spark.createDataFrame([(1, T, "a"), (1, T, "a"), (2, T, "x"), (2, T, "y"), (2, T - H, "z"), (3, None, "n")], "k int, t timestamp, s string")
     assert {(r["k"], r["s"]) for r in latest_per_key(df, ["k"], ["t"]).collect()} == {(1, "a"), (2, "y"), (3, "n")}
