@@ -203,7 +203,8 @@ def grid_label_bounds(telemetry: DataFrame, cutoff: DataFrame, spans: Spans = Sp
 
 def chronological_split(df: DataFrame, bounds: DataFrame, ts: str = "feature_time", label: str = LABEL) -> DataFrame:
     """train / validation / test by position in the labelled time span; unlabelled rows are for inference."""
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    both = bounds.select(F.struct("lo", "hi").alias("b")).scalar()  # one subquery for both ends
+    lo, hi = both.getField("lo"), both.getField("hi")
     sec = F.unix_seconds(F.col(ts).cast("timestamp"))
 
     def limit(share: float):

@@ -13,7 +13,7 @@ from ..operators.quality import rule_report
 from ..operators.ranking import alert_metrics, ranking_metrics, threshold_by_f1
 from ..operators.temporal import with_neighbours
 from ..plans import model, monitoring as mon, snapshots as snap
-from .fleet import SPANS, fleet_inputs
+from .fleet import LABELLED, POINTS, SPANS, TIMED, WINDOWS, fleet_inputs
 from .registry import query
 from .roles import THRESHOLD, failures, ntz, predictions, sql
 
@@ -141,6 +141,26 @@ def j05(t):
     return model.evaluate(data, fitted, FEATURES, snap.LABEL)
 
 
+SPLIT = WINDOWS, POINTS, TIMED, *LABELLED
+
+
+@query("j03_scored_assets", sql("telemetry failures meters maintenance", "SELECT asset_id, max(feature_time) AS feature_time, true AS in_range FROM x GROUP BY 1", *SPLIT))
+def j03c(t):
+    """Every asset gets one score, at its newest snapshot."""
+    data = snapshot_rows(t)
+    scored = model.score_latest(data, model.fit_classifier(data, FEATURES, snap.LABEL), FEATURES)
+    return scored.select("asset_id", "feature_time", F.col("failure_probability").between(0, 1).alias("in_range"))
+
+
+@query("j05_evaluated_rows", sql("telemetry failures meters maintenance", """SELECT count(*) FILTER (WHERE dataset_split = 'test') AS test_rows,
+    count(*) FILTER (WHERE dataset_split = 'test' AND label_failure_within_horizon = 1) AS positives FROM x""", *SPLIT))
+def j05c(t):
+    """The confusion counts cover the test split, no more and no less."""
+    data = snapshot_rows(t)
+    out = model.evaluate(data, model.fit_classifier(data, FEATURES, snap.LABEL), FEATURES, snap.LABEL)
+    return out.select((F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("test_rows"), (F.col("tp") + F.col("fn")).alias("positives"))
+
+
 @query("j05_class_weight", "SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS positives, round((count(*) - count(*) FILTER (WHERE event_type = 'error')) / greatest(1, count(*) FILTER (WHERE event_type = 'error')), 6) AS positive_weight FROM events")
 def j05b(t):
     y = (F.col("event_type") == "error").cast("int")
