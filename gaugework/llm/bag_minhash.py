@@ -250,7 +250,21 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     return docs.join(gone, same, "left_anti")
 
 
-@query("op6_bag_minhash")
+@query(
+    "op6_bag_minhash",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+    s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+    c AS (SELECT doc_id, g, count(*) AS n FROM s GROUP BY 1, 2),
+    t AS (SELECT doc_id, sum(n) AS total FROM c GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS m FROM c a JOIN c b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b WHERE m / (x.total + y.total - m) >= 0.8),
+    r(id, root) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, r.root FROM r JOIN l ON r.id = l.a),
+    k AS (SELECT doc_id, coalesce(min(root), doc_id) AS class_id FROM documents LEFT JOIN r ON id = doc_id GROUP BY doc_id)
+    SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM k
+    """,
+)
 def op6_bag_minhash(spark, folder):
     """Near-duplicate classes of all documents."""
     return near_classes(table(spark, folder, "documents").select("doc_id", "text"))

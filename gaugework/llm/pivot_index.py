@@ -176,7 +176,20 @@ def near_vectors(
     )
 
 
-@query("op3_pivot_permutation")
+@query(
+    "op3_pivot_permutation",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    g AS (SELECT vec_id, e, len(e) AS d FROM v
+        WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+    r(id, root) AS (SELECT DISTINCT a, a FROM l UNION SELECT l.b, r.root FROM r JOIN l ON r.id = l.a),
+    c AS (SELECT id, min(root) AS root FROM r GROUP BY 1),
+    n AS (SELECT a AS id, count(*) AS n FROM l GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+    FROM v LEFT JOIN c ON c.id = vec_id LEFT JOIN n ON n.id = vec_id
+    """,
+)
 def op3_pivot_permutation(spark, folder):
     """Links and components of all vectors at cosine 0.95."""
     return near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
