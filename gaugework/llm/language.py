@@ -110,45 +110,59 @@ def learn(docs: DataFrame, word_share: float = WORD_SHARE, gram_share: float = G
     return Model(langs, tables)
 
 
-class Scorer:
-    """Labels texts by a model; remembers words, at most ``most`` of them."""
+class _Rows(dict):
+    """Word -> row of its log frequencies; words are looked up in the model when they first come."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+        self.values = np.zeros((1024, max(1, len(model.langs))), dtype=np.float32)
+
+    def __missing__(self, word: str) -> int:
+        at = len(self)
+        if at == len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        known = self.model.tables[0].get(word)
+        self.values[at] = self.model.unseen(word) if known is None else known
+        self[word] = at
+        return at
 
-    def __init__(self, model: Model, most: int = 500_000):
-        self.model, self.most = model, most
-        self._forget()
 
-    def _forget(self) -> None:
-        self.rows, self.index = np.zeros((1024, max(1, len(self.model.langs))), dtype=np.float32), {}
+class Scorer:
+    """Labels texts by a model; forgets the words it has seen when they are more than ``most``."""
 
-    def _learn(self, word: str) -> int:
-        at = len(self.index)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        known = self.model.tables[0].get(word)
-        self.rows[at] = self.model.unseen(word) if known is None else known
-        self.index[word] = at
-        return at
+    def __init__(self, model: Model, most: int = 1_000_000):
+        self.model, self.most, self.rows = model, most, _Rows(model)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall((text or "").lower())
         if not words or not self.model.langs:
             return "und", 0.0
-        if len(self.index) > self.most:
-            self._forget()
-        index = self.index
-        at = np.fromiter((index[w] if w in index else self._learn(w) for w in words), dtype=np.int64, count=len(words))
-        mean = self.rows[at].mean(axis=0, dtype=np.float64)
+        if len(self.rows) > self.most:
+            self.rows = _Rows(self.model)
+        at = np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
+        mean = self.rows.values[at].mean(axis=0, dtype=np.float64)
         best = int(np.argmax(mean))  # the first of equals; languages are in alphabetical order
         odds = np.exp((mean - mean[best]) * min(len(words), EVIDENCE))
         return self.model.langs[best], float(1 / odds.sum())
 
 
+_SCORERS: dict[int, Scorer] = {}
+
+
+def _scorer(shared) -> Scorer:
+    """One scorer per Python worker and broadcast model."""
+    if shared.value is not getattr(_SCORERS.get(0), "model", None):
+        _SCORERS[0] = Scorer(shared.value)
+    return _SCORERS[0]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs`` (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value)
+        score = _scorer(shared)
         for batch in batches:
             found = [score(text.as_py()) for text in batch.column(2)]
             labels, scores = pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())
@@ -163,7 +177,7 @@ def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFra
     shared, at, lang = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value)
+        score = _scorer(shared)
         for batch in batches:
             found = [score(text.as_py()) for text in batch.column(at)]
             stays = pa.array([s >= min_score for _, s in found], pa.bool_())
