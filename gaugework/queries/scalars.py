@@ -101,11 +101,28 @@ def c15(t):
     )
 
 
-@query("c15_hash_functions", "SELECT c_custkey, sha256(c_name) AS digest, abs(CAST(c_acctbal AS BIGINT)) AS magnitude, true AS hashes_in_range FROM (SELECT c_custkey, c_name, floor(c_acctbal) AS c_acctbal FROM customer)")
+# 32-bit murmur of a non-negative long below 2**31 with seed 42, step by step in unsigned 64-bit numbers
+MURMUR = """a AS (SELECT c_custkey, c_name, c_acctbal, (c_custkey::UBIGINT * 3432918353) & 4294967295 AS k FROM customer),
+    b AS (SELECT *, ((((k << 15) & 4294967295) | (k >> 17)) * 461845907) & 4294967295 AS m FROM a),
+    c AS (SELECT *, xor(42::UBIGINT, m) AS h FROM b),
+    d AS (SELECT *, ((((h << 13) & 4294967295) | (h >> 19)) * 5 + 3864292196) & 4294967295 AS i FROM c),
+    e AS (SELECT *, ((((i << 13) & 4294967295) | (i >> 19)) * 5 + 3864292196) & 4294967295 AS j FROM d),
+    f AS (SELECT *, xor(j, 8::UBIGINT) AS n FROM e),
+    g AS (SELECT *, (xor(n, n >> 16) * 2246822507) & 4294967295 AS o FROM f),
+    h AS (SELECT *, (xor(o, o >> 13) * 3266489909) & 4294967295 AS p FROM g),
+    z AS (SELECT *, xor(p, p >> 16)::BIGINT AS u FROM h)"""
+
+
+@query("c15_hash_functions", f"""WITH {MURMUR} SELECT c_custkey, sha256(c_name) AS digest, abs(CAST(floor(c_acctbal) AS BIGINT)) AS magnitude,
+    CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS murmur, true AS wide_known FROM z""")
 def c15b(t):
-    murmur, wide = F.hash("c_custkey").cast("long"), F.xxhash64("c_custkey")
-    ok = (F.abs(murmur) <= 2_147_483_648) & wide.isNotNull()
-    return t.customer.select("c_custkey", F.sha2("c_name", 256).alias("digest"), F.abs(F.floor("c_acctbal")).alias("magnitude"), ok.alias("hashes_in_range"))
+    return t.customer.select(
+        "c_custkey",
+        F.sha2("c_name", 256).alias("digest"),
+        F.abs(F.floor("c_acctbal")).alias("magnitude"),
+        F.hash(F.col("c_custkey").cast("long")).cast("long").alias("murmur"),
+        F.xxhash64("c_custkey").isNotNull().alias("wide_known"),
+    )
 
 
 @query("c15_date_functions", """SELECT o_orderkey, CAST(o_orderdate AS DATE) + 730 AS warranty_end, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(quarter(o_orderdate) AS INTEGER) AS q, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d,
@@ -172,9 +189,17 @@ def c15f(t):
     )
 
 
-@query("c15_seeded_random", "SELECT count(*) AS row_count, true AS in_range, true AS repeatable FROM events")
+@query("c15_seeded_random", "SELECT count(*) AS row_count, true AS in_range, true AS repeatable, true AS other_seed_differs, true AS even FROM events")
 def c15g(t):
-    """Values of ``rand(seed)`` lie in [0, 1) and repeat for the same seed and partitioning."""
-    r = t.events.select("event_id", F.rand(42).alias("r"), F.rand(42).alias("again"))
-    n = F.count(F.lit(1))
-    return r.agg(n.alias("row_count"), (F.count_if((F.col("r") >= 0) & (F.col("r") < 1)) == n).alias("in_range"), (F.count_if(F.col("r") == F.col("again")) == n).alias("repeatable"))
+    """Two readings of the table draw the same values for the same seed, others for another; they fill [0, 1) evenly."""
+    one = t.events.select("event_id", F.rand(42).alias("r"), F.rand(43).alias("other"))
+    two = t.spark.read.parquet(f"{t.folder}/events.parquet").select(F.col("event_id").alias("id"), F.rand(42).alias("again"))
+    both, n = one.join(two, F.col("event_id") == F.col("id")), F.count(F.lit(1))
+    r = F.col("r")
+    return both.agg(
+        n.alias("row_count"),
+        (F.count_if((r >= 0) & (r < 1)) == n).alias("in_range"),
+        (F.count_if(r == F.col("again")) == n).alias("repeatable"),
+        (F.count_if(r == F.col("other")) < n / 100).alias("other_seed_differs"),
+        F.avg(r).between(0.45, 0.55).alias("even"),
+    )
