@@ -5,7 +5,7 @@ import re
 import corpus_pipeline
 from gaugework.llm import secret_forest
 
-from test_bag_minhash import brute
+from .test_bag_minhash import brute
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
 
