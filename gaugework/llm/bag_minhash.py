@@ -12,9 +12,10 @@ similarity of 0.8 the chance to miss a pair is (1 - 0.8 ** rows) ** bands = 3e-4
 
 Candidates are verified with their full multisets. Exact copies are first merged by digest. Groups of
 candidates are not expanded into all pairs: in each of ``stars`` rounds every member of a bucket that
-isn't yet linked to the bucket's largest component is compared with one leader of it. Then every such
-member is compared with all others of its bucket that are still in another component, so that no link
-between components is lost: pairs within one component can't change the result.
+isn't yet linked to the bucket's largest component is compared with one leader of it. In the buckets that
+still hold several components, members of different components are then compared within tasks, in blocks
+of ``BLOCK`` members and pairs of blocks, until they are joined; a task returns a spanning forest. So no
+link between components is lost, and pairs within one component, which can't change the result, cost nothing.
 
 Defined results: a null text, an empty one and one without words have no shingles and stand alone, each
 row for itself; a text of fewer than ``shingle`` words is one shingle; repeated rows are copies; a null id
@@ -32,13 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import query, stored, table
+from .common import lookup, query, stored, table
 from .components import components
 from .words import HASHES, SHINGLE, bag, mix, shingles
 
 BANDS, ROWS = 20, 5
 THRESHOLD = 0.8
-STARS = 3
+STARS = 2
+#: Members of a bucket that one group of the last comparison takes from either side.
+BLOCK = 256
 #: Pairs of one text that one part of the verification holds.
 PAIRS_A_PART = 200
 _LEVEL = np.uint64(0x9FB21C651E98DF25)
@@ -143,7 +146,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int
     counted = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_PART).alias("parts"))
     dealt = pairs.join(counted, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
     heads = dealt.select("a", F.lit(None).cast("binary").alias("b"), "part").distinct()
-    rows = heads.unionByName(dealt).withColumn("node", F.coalesce("b", "a")).join(texts, "node").drop("node")
+    rows = stored(heads.unionByName(dealt).withColumn("node", F.coalesce("b", "a")), "pairs-to-verify")
+    rows = texts.join(lookup(rows), "node").drop("node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
@@ -165,7 +169,75 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int
     return ordered.select("a", "b", "text").mapInArrow(compare, "a binary, b binary, linked boolean")
 
 
-def near_components(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, stars: int = STARS) -> DataFrame | None:
+def _placed(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``buckets`` with each node's root so far."""
+    if found is None:
+        return buckets.withColumn("root", F.col("node"))
+    return buckets.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _unsettled(placed: DataFrame, turn: int) -> DataFrame:
+    """Members of the buckets with several roots, with the largest component (top), a leader of it and the bucket's size."""
+    sizes = placed.groupBy("key", "root").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("leader"))).alias("first"),
+    )
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root", "first.leader")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"))
+    several = largest.where("roots > 1").select("key", F.col("top.root").alias("top"), F.col("top.leader").alias("leader"), "n")
+    return stored(placed.join(several, "key"), "unsettled")
+
+
+def joined_in_buckets(members: DataFrame, texts: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """a, b: links that join components within buckets; ``members`` has key, node, root and n, the bucket's size."""
+    dealt = members.select("key", "node", "root", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = F.expr("explode(transform(sequence(0, blocks - 1), o -> named_struct('low', least(own, o), 'high', greatest(own, o))))")
+    groups = stored(dealt.select("key", "own", "node", "root", pairs.alias("pair")).select("key", "pair.*", "own", "node", "root"), "bucket-blocks")
+    rows = texts.join(lookup(groups), "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "own", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+        for batch in batches:
+            found: list[tuple] = []
+            for r in batch.to_pylist():
+                key = r["key"], r["low"], r["high"]
+                if key != at:
+                    found += _join_group(group, threshold)
+                    at, group = key, []
+                group.append((r["own"] == r["low"], r["own"] == r["high"], r["node"], r["root"], bag(r["text"])))
+            yield links(found)
+        yield links(_join_group(group, threshold))
+
+    def links(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.select("key", "low", "high", "own", "node", "root", "text").mapInArrow(run, "a binary, b binary")
+
+
+def _join_group(group: list[tuple], threshold: float) -> list[tuple]:
+    """Compare members of different components of one group, low block against high block, until they are joined."""
+    parent = {root: root for _, _, _, root, _ in group}
+
+    def find(x: bytes) -> bytes:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, (low, _, node, root, own) in enumerate(group):
+        if not low:
+            continue
+        for j, (also_low, high, other, other_root, others) in enumerate(group):
+            if not high or (also_low and j <= i):
+                continue
+            a, b = find(root), find(other_root)
+            if a != b and overlap(own, others) >= threshold:
+                parent[a] = b
+                out.append((node, other))
+    return out
+
+
+def near_components(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, stars: int = STARS, block: int = BLOCK) -> DataFrame | None:
     """node, root for all nodes that are linked with others, None if no two texts share a band.
 
     ``nodes`` has node, bands and the doc_id and print of one of its texts, ``docs`` doc_id, text and print.
@@ -175,35 +247,25 @@ def near_components(nodes: DataFrame, docs: DataFrame, threshold: float = THRESH
     buckets = stored(spread.join(shared, "key"), "buckets")
     if buckets.isEmpty():
         return None
-    wanted = nodes.select("node", "doc_id", "print").join(buckets.select("node").distinct(), "node")
+    wanted = lookup(stored(nodes.select("node", "doc_id", "print").join(buckets.select("node").distinct(), "node"), "bucket-nodes"))
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["print"] == wanted["print"])
     texts = stored(docs.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "node-texts")
     found = tested = links = None
     for turn in range(stars + 1):
-        placed = buckets.withColumn("root", F.col("node")) if found is None else buckets.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = placed.groupBy("key", "root").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("leader"))).alias("first"),
-        )
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root", "first.leader")).alias("top"), F.count(F.lit(1)).alias("roots"))
-        unsettled = largest.where("roots > 1").select("key", F.col("top.root").alias("top"), F.col("top.leader").alias("leader"))
-        buckets_now = stored(placed.join(unsettled, "key"), "unsettled")
-        outside = buckets_now.where("root <> top")
+        members = _unsettled(_placed(buckets, found), turn)
         if turn < stars:
-            pairs = outside.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+            pairs = members.where("root <> top").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            seen = stored(verified(stored(pairs, "candidates"), texts, threshold), "verified")
+            both = seen.select("a", "b").unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            tested = both if tested is None else tested.unionByName(both)
+            fresh = seen.where("linked").select("a", "b")
         else:
-            others = buckets_now.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-            pairs = outside.select("key", F.col("node").alias("a"), "root").join(others, "key").where("root <> other")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        seen = stored(verified(stored(pairs, "candidates"), texts, threshold), "verified")
-        both = seen.select("a", "b").unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tested = both if tested is None else tested.unionByName(both)
-        fresh = seen.where("linked").select("a", "b")
+            fresh = stored(joined_in_buckets(members, texts, threshold, block), "joined")
         links = fresh if links is None else links.unionByName(fresh)
         found = components(links)
-        buckets = buckets_now.select("node", "key")
+        buckets = members.select("node", "key")
         if buckets.isEmpty():
             break
     return found
@@ -245,7 +307,7 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 
     Rows that repeat one id and text share its decision.
     """
-    gone = _classes(docs, threshold).where("not kept").select("doc_id", "print").distinct()
+    gone = lookup(stored(_classes(docs, threshold).where("not kept").select("doc_id", "print").distinct(), "near-copies"))
     same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["print"])
     return docs.join(gone, same, "left_anti")
 

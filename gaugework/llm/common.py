@@ -35,5 +35,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Narrow rows (ids and hashes) that a broadcast may hold: some tens of MB.
+BROADCAST_ROWS = 500_000
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """A stored table of narrow rows, to be broadcast if it has been counted to be small; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

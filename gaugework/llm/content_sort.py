@@ -36,9 +36,10 @@ def _sorted_pieces(docs: DataFrame, payload: list[str], rows_per_piece: int) ->
     base = docs.select(
         F.col("doc_id").alias("id"),
         F.regexp_replace(text, BLANKS, "").alias("body"),
-        F.length(text).alias("cp"),
-        *([F.struct(*[F.col(f"`{c}`") for c in payload]).alias("payload")] if payload else []),
-    ).withColumn("print", F.xxhash64("body"))
+        F.struct(*[F.col(f"`{c}`") for c in payload or ["text"]]).alias("payload"),
+    )
+    # only the text as it is crosses the network; the normalised one is made again on the other side
+    base = base.select("id", "payload", F.substring("body", 1, HEAD).alias("head"), F.xxhash64("body").alias("print"))
     counted = docs.select(F.xxhash64(F.regexp_replace(text, BLANKS, "")).alias("print")).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
     large = stored(
         counted.where(F.col("n") > rows_per_piece).select("print", F.ceil(F.col("n") / rows_per_piece).alias("pieces")), "large-texts"
@@ -46,9 +47,10 @@ def _sorted_pieces(docs: DataFrame, payload: list[str], rows_per_piece: int) ->
     spread = (
         base.join(large, "print", "left")
         .withColumn("piece", F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.col("pieces"))))
-        .withColumn("head", F.substring("body", 1, HEAD))
         .repartitionByRange("head", "print", "piece")
     )
+    text = F.coalesce(F.col("payload.text"), F.lit(""))
+    spread = spread.withColumns({"body": F.regexp_replace(text, BLANKS, ""), "cp": F.length(text)})
     run = Window.partitionBy("head", "print", "piece", "body")
     ranked = run.orderBy(F.desc("cp"), F.asc_nulls_last("id"))
     return spread.select(

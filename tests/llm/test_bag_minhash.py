@@ -89,6 +89,14 @@ def test_classes_equal_all_pairs(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(set(want.values()))
 
 
+def test_last_comparison_alone_finds_all_links(spark, monkeypatch):
+    """Without stars and with small blocks, everything is left to the comparison within buckets."""
+    monkeypatch.setattr(bag_minhash.near_components, "__defaults__", (0.8, 0, 3))
+    rows = [r for r in corpus() if r[0] >= 100 and r[0] < 400]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], DDL)
+    assert {r.doc_id: r.class_id for r in bag_minhash.near_classes(docs).collect()} == brute(rows)
+
+
 def test_awkward_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d e f", "x"), (5, "a b c d e f", None), (5, "a b c d e f", None), (None, None, None)], DDL)
     got = bag_minhash.near_classes(docs).collect()
