@@ -99,7 +99,9 @@ def training_rows(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     known = templates(spark)
     triples = known.select(F.explode("grams").alias("g")).where("g & 1 = 1").distinct()
     marks = sorted(r["g"] for r in triples.collect())
-    sample = paragraphs(docs).where(F.length(F.trim("body")) > 0).select("body").orderBy(F.xxhash64("body"), "body").limit(negatives)
+    bodies = paragraphs(docs).where(F.length(F.trim("body")) > 0).select("body", F.xxhash64("body").alias("h"))
+    last = bodies.select("h").orderBy("h").limit(negatives).agg(F.max("h").alias("h")).scalar()  # only hashes are gathered
+    sample = bodies.where(F.col("h") <= last).select("body").dropDuplicates()
     sample = sample.select(words(F.col("body")).alias("w")).where(F.size("w") > 0)
     sample = sample.withColumn("like", F.size(F.array_intersect(F.expr(GRAMS), F.lit(marks))))
     plain = stored(sample.where("like = 0").select("w"), "licence-negatives")
