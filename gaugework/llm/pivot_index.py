@@ -2,10 +2,11 @@
 
 Reference points (pivots) are drawn from the vectors themselves: those with the smallest hashes of their
 contents, about ``per_root`` x sqrt(vectors) of them, at most ``most_pivots`` (the bound of what is
-broadcast). Every vector is described by its ``prefix`` nearest pivots. The inverted list of a pivot
-holds the vectors that have it in their description; two vectors are compared when they share at
-least ``shared`` pivots, in the list of the first pivot that they share, so that each pair is verified
-once, by cosine in double precision.
+broadcast). Of pivots within 1.5 times the threshold's angle of each other only the first stays, so that a dense
+group has one pivot, not a share of them among which its members would scatter. Every vector is described by
+its ``prefix`` nearest pivots. The inverted list of a pivot holds the vectors that have it in their
+description; two vectors are compared when they share their nearest pivot or at least ``shared`` pivots, in
+the list of the first pivot that they share, so that each pair is verified once, by cosine in double precision.
 
 A list is cut into blocks of at most ``block`` vectors, and every pair of blocks is one group of work, so
 that no task holds a list of any length. A group returns sums and a spanning forest, never pairs: for each
@@ -59,14 +60,24 @@ def _unit(batch: list[list[float]]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(nodes: DataFrame, n: int, per_root: float = PER_ROOT, most: int = MOST_PIVOTS) -> dict[int, np.ndarray]:
-    """Pivots by vector length: a bounded number of vectors with the smallest hashes."""
+def _apart(units: np.ndarray, threshold: float) -> np.ndarray:
+    """The rows that are further than 1.5 times the threshold's angle from all rows kept before them."""
+    limit = math.cos(min(math.pi, 1.5 * math.acos(max(-1.0, min(1.0, threshold)))))
+    near, gone = units @ units.T >= limit, np.zeros(len(units), dtype=bool)
+    for i in range(len(units)):
+        if not gone[i]:
+            gone[i + 1 :] |= near[i, i + 1 :]
+    return units[~gone]
+
+
+def choose_pivots(nodes: DataFrame, n: int, per_root: float = PER_ROOT, most: int = MOST_PIVOTS, threshold: float = THRESHOLD) -> dict[int, np.ndarray]:
+    """Pivots by vector length: a bounded number of vectors with the smallest hashes, none near another."""
     wanted = min(most, max(16, math.ceil(per_root * math.sqrt(n))))
     rows = nodes.orderBy(F.xxhash64("node"), "node").limit(wanted).select("v").collect()
     by_size: dict[int, list] = {}
     for r in rows:
         by_size.setdefault(len(r["v"]), []).append(r["v"])
-    return {k: _unit(v) for k, v in by_size.items()}
+    return {k: _apart(_unit(v), threshold) for k, v in by_size.items()}
 
 
 def described(nodes: DataFrame, pivots: dict[int, np.ndarray], prefix: int = PREFIX) -> DataFrame:
@@ -111,7 +122,9 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, pivot: int, th
     """Links between two blocks of one list: node, links, root of the spanning forest."""
     (a, b), first = _sets([left, right], pivot)
     least = min(shared, *(len(x) for x in left["near"]), *(len(x) for x in right["near"]))
-    candidates = (a @ b.T >= least) & (a[:, :first] @ b[:, :first].T == 0)  # others belong to an earlier pivot's list
+    nearest = [np.array([x[0] for x in part["near"]]) for part in (left, right)]
+    candidates = (a @ b.T >= least) | (nearest[0][:, None] == nearest[1])
+    candidates &= a[:, :first] @ b[:, :first].T == 0  # others belong to an earlier pivot's list
     if same:
         candidates = np.triu(candidates, 1)
     i, j = np.nonzero(candidates & (np.stack(left["unit"]) @ np.stack(right["unit"]).T >= threshold))
@@ -160,7 +173,7 @@ def near_vectors(
     """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding)."""
     rows, nodes = _distinct(vectors)
     nodes = stored(nodes, "distinct-vectors")
-    known = stored(described(nodes, choose_pivots(nodes, nodes.count(), per_root, most_pivots), prefix), "described-vectors")
+    known = stored(described(nodes, choose_pivots(nodes, nodes.count(), per_root, most_pivots, threshold), prefix), "described-vectors")
     found = stored(found_links(known, threshold, shared), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

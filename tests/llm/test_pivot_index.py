@@ -66,6 +66,17 @@ def test_hot_lists_are_cut_into_blocks(spark, block):
     assert total >= 0.98 * (sum(links) - copies) and total <= sum(links) - copies
 
 
+def test_dense_group_of_different_vectors(spark):
+    draw = np.random.default_rng(5)
+    centre = draw.normal(size=64)
+    for spread in (0.15, 0.27):  # pair cosines around 0.98, and on both sides of the threshold
+        rows = [[float(np.float32(x)) for x in v] for v in [*(centre + spread * draw.normal(size=(1000, 64))), *draw.normal(size=(2000, 64))]]
+        links, root = brute(rows)
+        got = sorted(pivot_index.near_vectors(spark.createDataFrame([(i, v, None) for i, v in enumerate(rows)], DDL)).collect())
+        assert 0.99 * sum(links) <= sum(r.n_links for r in got) <= sum(links)
+        assert np.mean([r.component_id == root[i] for i, r in enumerate(got)]) > 0.995
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [None, [], [0.0, 0.0], [1.0, nan], [1.0, inf], [1.0, None], [1.0, 2.0], [1.0, 2.0], [2.0, 4.0], [1.0, 2.0, 3.0], [-1.0, -2.0], [-0.0, 1.0], [0.0, 1.0]]
