@@ -44,7 +44,7 @@ PATTERN = re.compile(
     re.X | re.A,
 )
 #: Texts without any of these hold nothing that PATTERN matches.
-MAYBE = re.compile(r"\d{3}|@|\d[-/.]\d")
+MAYBE = re.compile(r"@|\+\d|\d[ -]?\d[ -]?\d|\d[-/.]\d|[A-Z]{2}\d{2}", re.A)
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 #: Country codes of one and two digits; all others have three.
 SHORT_CODES = frozenset("7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())

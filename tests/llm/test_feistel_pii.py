@@ -57,6 +57,19 @@ def test_ssn(area, group, serial):
     assert new is None or pii.ssn(F, new, back=True) == text
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.from_regex(pii.PATTERN, fullmatch=True))
+def test_prefilter_passes_all_that_the_pattern_matches(text):
+    assert pii.MAYBE.search(text)
+
+
+def test_numbers_written_in_pairs():
+    for text in ("+33 1 23 45 67 89", "+45 12 34 56 78", "4 5 3 2 0 1 5 1 1 2 8 3 0 3 6 6"):
+        assert pii.MAYBE.search(text)
+        new = pii.replaced(F, f"call {text} now")[0]
+        assert new != f"call {text} now" and pii.replaced(F, f"123 or call {text} now")[0].endswith(new.removeprefix("call "))
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (None, TEXT, None), (3, "1 " * 50_000, "x"), (4, "4532015112830366 " * 2000, "x"), (5, TEXT, "x"), (5, TEXT, "x"), (6, "no numbers", "x")]
     docs = spark.createDataFrame(rows, DDL)
