@@ -13,6 +13,10 @@ ipv4 (private, loopback and other reserved addresses are left alone), date (from
 month first as written, impossible dates are left alone) and email (the local part's letters and digits,
 each in its own alphabet, and the domain stays).
 
+A match that isn't valid as a whole is cut at its separators: printed layouts of cards and the country's length of
+an IBAN come first, then all shorter spans, and the search goes on just after its start. Where digits stand
+beside a value, another span may turn valid by chance under a pseudonym; inversion of such texts needs the items.
+
 Defined results: null texts stay null and empty ones empty, both without items; repeated rows give the same
 text; null ids are kept; an empty table gives an empty result; other columns are ignored by ``found_items``
 and carried by ``pseudonymised``.
@@ -33,16 +37,28 @@ from pyspark.sql import DataFrame, functions as F
 from .common import query, table
 
 ROUNDS = 8
-PATTERN = re.compile(
-    r"""(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,})
-    |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))
-    |(?P<ipv4>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d))
-    |(?P<date>(?<![\d/.-])(?:\d{4}(?P<m>[-/.])\d{1,2}(?P=m)\d{1,2}|\d{1,2}(?P<n>[-/.])\d{1,2}(?P=n)\d{4})(?![\d]|[/.-]\d))
-    |(?P<phone>(?<![\w])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\w])\+[2-9]\d{0,2}[ .-]?(?:\d[ .-]?){6,11}\d(?!\d))
-    |(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
-    |(?P<card>(?<![\d])\d(?:[ -]?\d){12,18}(?!\d))""",
-    re.X | re.A,
-)
+FORMS = {
+    "email": r"""(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,})""",
+    "iban": r"""(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))""",
+    "ipv4": r"""(?P<ipv4>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d))""",
+    "date": r"""(?P<date>(?<![\d/.-])(?:\d{4}(?P<m>[-/.])\d{1,2}(?P=m)\d{1,2}|\d{1,2}(?P<n>[-/.])\d{1,2}(?P=n)\d{4})(?![\d]|[/.-]\d))""",
+    "phone": r"""(?P<phone>(?<![\w])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\w])\+[2-9]\d{0,2}[ .-]?(?:\d[ .-]?){6,11}\d(?!\d))""",
+    "ssn": r"""(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))""",
+    "card": r"""(?P<card>(?<![\d])\d(?:[ -]?\d){12,18}(?!\d))""",
+}
+PATTERN = re.compile("|".join(FORMS.values()), re.X | re.A)
+SINGLE = {kind: re.compile(form, re.X | re.A) for kind, form in FORMS.items()}
+#: Cards as they are printed: in one piece, in fours, or as 4, 6 and 5 digits.
+PRINTED = re.compile(r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{5})(?!\d)", re.A)
+#: Characters of an IBAN by country.
+IBAN_SIZES = {
+    k[:2]: int(k[2:])
+    for k in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 "
+        "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 "
+        "PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 #: Texts without any of these hold nothing that PATTERN matches.
 MAYBE = re.compile(r"@|\+\d|\d[ -]?\d[ -]?\d|\d[-/.]\d|[A-Z]{2}\d{2}", re.A)
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -103,7 +119,7 @@ def _fill(form: str, digits: str) -> str:
 
 def card(f: Feistel, value: str, back: bool = False) -> str | None:
     d = re.sub(r"\D", "", value)
-    if luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
+    if len(set(d)) == 1 or luhn_digit(d[:-1]) != d[-1]:
         return None
     payload = d[0] + f.digits("card" + d[0], d[1:-1], back)
     new = payload + luhn_digit(payload)
@@ -215,17 +231,55 @@ def email(f: Feistel, value: str, back: bool = False) -> str | None:
 KINDS: dict[str, Callable[..., str | None]] = {"email": email, "iban": iban, "ipv4": ipv4, "date": date, "phone": phone, "ssn": ssn, "card": card}
 
 
+def _candidates(kind: str, text: str, m: re.Match, end: int) -> Iterator[tuple[int, int]]:
+    """Spans within a match that may be the value, the likeliest first: a match takes in what stands beside a value."""
+    start, stop = m.span()
+    if kind == "card":
+        at = start
+        while (printed := PRINTED.search(text, at, min(end, stop + 24))) and printed.start() < stop:
+            yield printed.span()
+            at = printed.start() + 1
+    elif kind == "iban" and (size := IBAN_SIZES.get(text[start : start + 2])):
+        at = start
+        while at < stop and size:
+            size -= text[at] != " "
+            at += 1
+        if not size and not text[at : at + 1].isalnum():
+            yield start, at
+    yield start, stop
+    if kind == "card" or kind == "iban" and text[start : start + 2] not in IBAN_SIZES:
+        for at in range(stop - 1, start + 12, -1):
+            if text[at] in " -" and sum(c not in " -" for c in text[start:at]) >= (13 if kind == "card" else 15):
+                yield start, at
+
+
+def _found(f: Feistel, text: str, start: int, end: int, back: bool) -> Iterator[tuple[str, int, int, str]]:
+    """kind, start, stop and pseudonym of the values in a part of ``text``, in order."""
+    while m := PATTERN.search(text, start, end):
+        kinds, hit = list(KINDS), None
+        for kind in kinds[kinds.index(m.lastgroup) :]:  # what one kind refuses may be a value of another
+            own = m if kind == m.lastgroup else SINGLE[kind].match(text, m.start(), end)
+            spans = _candidates(kind, text, own, end) if own else ()
+            hit = next(((kind, a, b, new) for a, b in spans if (new := KINDS[kind](f, text[a:b], back)) is not None), None)
+            if hit:
+                break
+        start = m.start() + 1
+        if hit:
+            if hit[1] > start:
+                yield from _found(f, text, start, hit[1], back)
+            yield hit
+            start = hit[2]
+
+
 def replaced(f: Feistel, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """``text`` with pseudonyms, and (kind, start, stop) of the values in the original."""
     if MAYBE.search(text) is None:
         return text, []
     out, items, last = [], [], 0
-    for m in PATTERN.finditer(text):
-        new = KINDS[m.lastgroup](f, m[0], back)
-        if new is not None:
-            out += [text[last : m.start()], new]
-            last = m.end()
-            items.append((m.lastgroup, m.start(), m.end()))
+    for kind, start, stop, new in _found(f, text, 0, len(text), back):
+        out += [text[last:start], new]
+        last = stop
+        items.append((kind, start, stop))
     return "".join([*out, text[last:]]), items
 
 

@@ -57,6 +57,27 @@ def test_ssn(area, group, serial):
     assert new is None or pii.ssn(F, new, back=True) == text
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("card 4532015112830366 12/26", "4532015112830366"),
+        ("4532015112830366 123", "4532015112830366"),
+        ("row 2 4532 0151 1283 0366", "4532 0151 1283 0366"),
+        ("12345 4532 0151 1283 0366 99", "4532 0151 1283 0366"),
+        ("9 99 45 32015112830366 1", "45 32015112830366"),
+        ("DE89370400440532013000 BIC COBADEFFXXX", "DE89370400440532013000"),
+        ("GB82 WEST 1234 5698 7654 32 GBP 100", "GB82 WEST 1234 5698 7654 32"),
+        ("AB12 GB82 WEST 1234 5698 7654 32 GBP", "GB82 WEST 1234 5698 7654 32"),
+        ("9999 123-45-6789 x", "123-45-6789"),
+    ],
+)
+def test_values_beside_other_digits_and_capitals(text, value):
+    new, items = pii.replaced(F, text)
+    at = text.index(value)
+    assert (at, at + len(value)) in [(a, b) for _, a, b in items] and value not in new
+    assert new == text.replace(value, pii.replaced(F, value)[0])
+
+
 @settings(max_examples=500, deadline=None)
 @given(st.from_regex(pii.PATTERN, fullmatch=True))
 def test_prefilter_passes_all_that_the_pattern_matches(text):
