@@ -8,7 +8,9 @@ of the largest product. Every row is in one leaf of each tree.
 A query walks all trees with one priority queue: the next branch is the one whose cell is nearest, by the sum of
 squared distances to the planes that were crossed on the way, whichever tree it is of. Pairs of a query and a leaf
 meet in groups of at most ``block`` rows and as many queries; each group returns the ``k + 1`` best rows of a query by
-exact products (one more, since the query itself is among the rows), and the best over all leaves are kept.
+exact products (one more, since the query itself is among the rows), and the best over all leaves are kept. The
+first leaves of a query, as many as the root of their number, are searched before the others: the last of the
+``k + 1`` best found there is a floor, and of the other leaves only rows that reach it are returned.
 
 How many leaves a query takes isn't a constant, but measured: ``calibrated`` compares ``probes`` queries with all
 rows, block by block, and takes the smallest number of leaves at which the share ``recall`` of their true neighbours
@@ -135,15 +137,19 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumsum(a * b, axis=1)[:, -1]
 
 
-def best(q: np.ndarray, v: np.ndarray, ids: np.ndarray, missing: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row of ``q`` the k rows of ``v`` with the largest products, ties to smaller ids: (q row, v row, score)."""
+def best(
+    q: np.ndarray, v: np.ndarray, ids: np.ndarray, missing: np.ndarray, k: int, floor: np.ndarray | float = -math.inf
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of ``q`` the k rows of ``v`` with the largest products, ties to smaller ids: (q row, v row, score).
+
+    Rows below the ``floor`` of their query may be left out.
+    """
     rough = q @ v.T
+    least = np.full(len(q), floor)
     if v.shape[0] > k:
-        least = np.partition(rough, -k, axis=1)[:, -k]
-        slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()  # matrix products round otherwise
-        i, j = np.nonzero(~(rough < (least - slack)[:, None]))
-    else:
-        i, j = (x.ravel() for x in np.indices(rough.shape))
+        least = np.maximum(least, np.partition(rough, -k, axis=1)[:, -k])
+    slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()  # matrix products round otherwise
+    i, j = np.nonzero(~(rough < (least - slack)[:, None]))
     score = np.concatenate([products(q[i[x : x + PAIRS]], v[j[x : x + PAIRS]]) for x in range(0, max(1, len(i)), PAIRS)])
     order = np.lexsort((ids[j], missing[j], -score, i))
     i, j, score = i[order], j[order], score[order]
@@ -263,7 +269,7 @@ def calibrated(rows: DataFrame, queries: DataFrame, forests: dict[int, Forest],
 
 
 def routed(queries: DataFrame, forests: dict[int, Forest], k: int) -> DataFrame:
-    """size, leaf, node, v for every query and each leaf that it takes."""
+    """size, node, v for every query and the leaves that it takes, in their order."""
     shared = queries.sparkSession.sparkContext.broadcast(forests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,12 +290,14 @@ def routed(queries: DataFrame, forests: dict[int, Forest], k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], names=[*batch.schema.names, "leaves"])
 
     kind = queries.schema["v"].dataType.simpleString()
-    found = queries.select("node", "v", "size").mapInArrow(run, f"node binary, v {kind}, size int, leaves array<bigint>")
-    return found.select("size", F.explode("leaves").alias("leaf"), "node", "v")
+    return queries.select("node", "v", "size").mapInArrow(run, f"node binary, v {kind}, size int, leaves array<bigint>")
 
 
 def searched(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """query (node), vec_id, score: of every group the k + 1 best rows of each query."""
+    """query (node), vec_id, score: of every group the k + 1 best rows of each query (size, leaf, node, v, floor).
+
+    What lies below a query's floor is left out.
+    """
     key = ["size", "leaf"]
     leaves = rows.select("size", F.explode("leaves").alias("leaf"), "node", "vec_id", "v")
     parts = leaves.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("row_parts"))
@@ -298,7 +306,7 @@ def searched(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) ->
     own = F.pmod(F.xxhash64("node", "vec_id"), F.col("row_parts")).cast("int")
     left = leaves.join(parts, key).select(*key, own.alias("row_part"), F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"), "vec_id", "v")
     own = F.pmod(F.xxhash64("node"), F.col("query_parts")).cast("int")
-    right = queries.join(parts, key).select(*key, F.explode(F.sequence(F.lit(0), F.col("row_parts") - 1)).alias("row_part"), own.alias("query_part"), "node", "v")
+    right = queries.join(parts, key).select(*key, F.explode(F.sequence(F.lit(0), F.col("row_parts") - 1)).alias("row_part"), own.alias("query_part"), "node", "v", "floor")
     key += ["row_part", "query_part"]
 
     def work(some: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -307,13 +315,20 @@ def searched(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) ->
         missing = some["vec_id"].isna().to_numpy()
         ids = some["vec_id"].fillna(0).to_numpy(dtype=np.int64)
         q, v = (np.stack(x["v"].to_list()).astype(np.float64) for x in (asked, some))
-        i, j, score = best(q, v, ids, missing, k + 1)
+        i, j, score = best(q, v, ids, missing, k + 1, asked["floor"].fillna(-math.inf).to_numpy(dtype=np.float64))
         found = pd.Series(ids[j], dtype="Int64").mask(missing[j])
         return pd.DataFrame({"node": asked["node"].to_numpy()[i], "vec_id": found, "score": score})
 
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(work, "node binary, vec_id bigint, score double")
 
 
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k + 1 best rows of each query with their ``place`` from 1."""
+    found = found.groupBy("node", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("node").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+
+
 def nearest(
     vectors: DataFrame, every: int = 20, k: int = NEAREST, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, recall: float = RECALL, block: int = BLOCK
 ) -> DataFrame:
@@ -324,10 +339,13 @@ def nearest(
     forests = fit(index, trees, leaf, sample)
     placed = stored(dealt(index, forests), "search-leaves")
     forests = calibrated(placed, queries, forests, k, recall=recall)
-    taken = stored(routed(queries, forests, k), "search-routes")
-    found = searched(placed, taken, k, block).groupBy("node", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("node").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
-    found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+    routes = stored(routed(queries, forests, k), "search-routes")
+    few = F.ceil(F.sqrt(F.size("leaves"))).cast("int")
+    first = routes.select("size", "node", "v", F.explode(F.slice("leaves", F.lit(1), few)).alias("leaf"), F.lit(None).cast("double").alias("floor"))
+    found = stored(ranked(searched(placed, first, k, block), k), "search-first")
+    floor = found.where(F.col("place") == k + 1).select("node", F.col("score").alias("floor"))
+    rest = routes.join(floor, "node", "left").select("size", "node", "v", F.explode(F.slice("leaves", few + 1, F.size("leaves"))).alias("leaf"), "floor")
+    found = ranked(found.drop("place").unionByName(searched(placed, rest, k, block)), k)
     lists = found.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
     own = asked.select(F.col("vec_id").alias("query_id"), "node").join(lists, "node")
     others = F.slice(F.filter("near", lambda x: ~x["vec_id"].eqNullSafe(F.col("query_id"))), 1, k)
