@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ WORD_SHARE, GRAM_SHARE = 1e-5, 1e-4
 #: Words that count as independent evidence in the reported score.
 EVIDENCE = 10
 MIN_SCORE = 0.5
-_HELD = 500_000
+#: Words that a task counts before it passes them on, rows that it passes on at once, and words that a worker remembers.
+_HELD, _PASSED, _REMEMBERED = 150_000, 10_000, 250_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -47,17 +49,16 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 held.setdefault(lang.as_py(), Counter()).update(WORD.findall(text.as_py().lower()))
                 if sum(map(len, held.values())) > _HELD:
-                    yield flush(held)
-        if held:
-            yield flush(held)
-
-    def flush(held: dict[str, Counter]) -> pa.RecordBatch:
-        rows = [(lang, word, n) for lang, words in held.items() for word, n in words.items()]
+                    yield from flush(held)
+        yield from flush(held)
+
+    def flush(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, words in held.items():
+            left = iter(words.items())
+            while some := list(islice(left, _PASSED)):
+                columns = [pa.array([lang] * len(some), pa.string()), pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
         held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())],
-            names=["lang", "word", "n"],
-        )
 
     counted = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(run, "lang string, word string, n bigint")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -131,7 +132,7 @@ class _Rows(dict):
 class Scorer:
     """Labels texts by a model; forgets the words it has seen when they are more than ``most``."""
 
-    def __init__(self, model: Model, most: int = 1_000_000):
+    def __init__(self, model: Model, most: int = _REMEMBERED):
         self.model, self.most, self.rows = model, most, _Rows(model)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
@@ -173,19 +174,25 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is told with at least ``min_score``; a null lang is filled in."""
-    shared, at, lang = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text"), docs.columns.index("lang")
+    """The rows of ``docs`` whose language is told with at least ``min_score``; a null lang is filled in.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(shared)
-        for batch in batches:
-            found = [score(text.as_py()) for text in batch.column(at)]
-            stays = pa.array([s >= min_score for _, s in found], pa.bool_())
-            labels = [old if old is not None else new for old, (new, _) in zip(batch.column(lang).to_pylist(), found, strict=True)]
-            yield batch.set_column(lang, docs_names[lang], pa.array(labels, pa.string())).filter(stays)
+    Only the texts go through Python.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    docs_names = docs.columns
-    return docs.mapInArrow(run, docs.schema)
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def told(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        score = _scorer(shared)
+        for batch in texts:
+            found = [score(text.as_py()) for text in batch]
+            columns = [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+            yield pa.StructArray.from_arrays(columns, names=["lang", "score"])
+
+    # else the filter would be moved below the projection and the texts be told twice
+    rows = docs.select(F.struct(*docs.columns).alias("row"), told.asNondeterministic()("text").alias("told")).where(F.col("told.score") >= min_score)
+    kind = docs.schema["lang"].dataType
+    filled = F.coalesce("row.lang", F.col("told.lang").cast(kind)).alias("lang")
+    return rows.select(*[filled if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def learnt_from(docs: DataFrame) -> DataFrame:
