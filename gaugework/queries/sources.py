@@ -48,7 +48,8 @@ def a05(t):
 
     sinks.append_batches(piece, top + 1, top // 4 + 1, path)
     stored = sinks.read_store(t.spark, path, piece(0, 1).schema)
-    return stored.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    number = F.substring_index("batch", "-", -1).alias("batch")
+    return stored.groupBy(number).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query("a06_overwrite_table", "SELECT * FROM orders")
@@ -81,6 +82,46 @@ def a08(t):
     return sinks.read_store(t.spark, path, rows.select(*stored).schema).select(*stored)
 
 
+@query("a05_second_append", "SELECT event_type, 2 * count(*) AS n FROM events GROUP BY 1")
+def a05b(t):
+    """Appending to the same folder again adds rows; a slice of the first run that is repeated does not."""
+    path, run = scratch_path(t.spark, "a05b"), sinks.new_run()
+    top = t.events.agg(F.max("event_id").alias("m")).first()["m"]  # one number sets the slices
+
+    def piece(first: int, rows: int):
+        return t.events.where(F.col("event_id").between(first, first + rows - 1)).select("event_id", "event_type")
+
+    for name in (run, run, None):
+        sinks.append_batches(piece, top + 1, top // 2 + 1, path, name)
+    return sinks.read_store(t.spark, path, piece(0, 1).schema).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+SLICES = 8
+SLICES_SQL = f"""WITH e AS (SELECT event_id, (SELECT max(event_id) + 1 FROM events) AS top FROM events),
+    s AS (SELECT CAST(event_id * {SLICES} // top AS INTEGER) AS slice, event_id FROM e),
+    first AS (SELECT slice, count(DISTINCT event_id) AS inserted FROM s GROUP BY 1),
+    again AS (SELECT slice + 1 AS slice, count(DISTINCT event_id) AS repeated FROM s WHERE event_id % 5 = 0 AND slice < {SLICES - 1} GROUP BY 1)
+    SELECT slice, inserted, inserted + coalesce(repeated, 0) AS keys, true AS few_parts FROM first LEFT JOIN again USING (slice)"""
+
+
+@query("a08_parts_read_per_batch", SLICES_SQL)
+def a08d(t):
+    """Batches that repeat a fifth of the one before, with keys in no order: the parts read don't grow with the store.
+
+    Seven filters let some ten of a hundred thousand unknown keys through; a batch needs the part before it and may
+    be sent to a few others in vain.
+    """
+    path, run, out = scratch_path(t.spark, "a08d"), sinks.new_run(), []
+    top = t.events.agg(F.max("event_id").alias("m")).first()["m"] + 1  # one number sets the slices
+    number = (F.col("event_id") * SLICES / top).cast("int")
+    rows = t.events.select(F.sha1(F.col("event_id").cast("string")).alias("key"), "event_id", number.alias("slice"))
+    for k in range(SLICES):
+        batch = rows.where((F.col("slice") == k) | ((F.col("slice") == k - 1) & (F.col("event_id") % 5 == 0)))
+        did = sinks.merge_insert_only(path, batch, ["key"], run, k, ["event_id"])
+        out.append((k, did.inserted, did.keys, did.parts_read <= 1 + did.keys // 1000))
+    return t.spark.createDataFrame(out, "slice int, inserted long, keys long, few_parts boolean")
+
+
 FEEDS_SQL = """WITH k AS (SELECT l_orderkey, l_linenumber, max(CASE l_returnflag WHEN 'R' THEN 3 WHEN 'A' THEN 2 ELSE 1 END) AS feed FROM lineitem GROUP BY 1, 2)
     SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey FROM lineitem JOIN k USING (l_orderkey, l_linenumber)
     WHERE (feed = 3 AND l_returnflag = 'R') OR (feed = 2 AND l_returnflag = 'A') OR feed = 1 GROUP BY 1, 2"""

@@ -2,25 +2,31 @@
 
 Parquet has no MERGE. A store is a folder of parquet parts in which a merge only ever adds a
 part. A part is named by the run and the batch that wrote it: a batch that is replayed within its run
-rewrites its own part alone, and no other run, restart or feed can touch it. Within a part rows lie in
-buckets of their key, so that a merge reads only the buckets its batch falls into.
+rewrites its own part alone, and no other run, restart or feed can touch it. Beside the parts lie their key
+filters and key bounds (``filters``). A merge tests the keys of its batch against them, and reads only those
+buckets of those parts in which a key seems to be, to check it exactly: what a batch reads follows the batch and
+its overlap with the store, not the number of parts. A filter is written before its part, so that no part is ever
+without one; a filter whose part was never finished costs nothing but the test.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.latest import latest_per_key
+from . import filters
 from .tables import check_columns
 
 ROWS_PER_FILE = 250_000  # fixed value of the published sizing rule
 PART, BUCKET = "batch", "key_bucket"
-STORE_BUCKETS = 32  # of a store whose creator names no other number
+STORE_BUCKETS = 32  # at most, of one part; a store's creator may name another number
+FILTERS = "_filters"
 
 
 def overwrite_table(df: DataFrame, path: str, expected: Sequence[str] | None = None) -> DataFrame:
@@ -45,14 +51,15 @@ def save_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_
     return df.sparkSession.read.parquet(path)
 
 
-def append_batches(make: Callable[[int, int], DataFrame], total: int, batch: int, path: str) -> int:
+def append_batches(make: Callable[[int, int], DataFrame], total: int, batch: int, path: str, run: str | None = None) -> int:
     """Append ``make(first, rows)`` for consecutive slices; returns the number of batches.
 
-    A slice is written to its own part, so repeating a lost slice does not duplicate it.
+    A slice is written to its own part, named by the run and its number: repeating a lost slice of the same
+    ``run`` does not duplicate it, and another call adds its rows to what is there.
     """
-    done = 0
+    run, done = run or new_run(), 0
     for number, first in enumerate(range(0, total, batch)):
-        make(first, min(batch, total - first)).write.mode("overwrite").parquet(f"{path}/{PART}={number}")
+        make(first, min(batch, total - first)).write.mode("overwrite").parquet(f"{path}/{PART}={run}-{number}")
         done += 1
     return done
 
@@ -69,7 +76,7 @@ def read_store(spark: SparkSession, path: str, schema, buckets: bool = False) ->
 
 
 def store_buckets(spark: SparkSession, path: str, wanted: int | None = None) -> int:
-    """Number of buckets of a store; it is fixed and noted beside the parts when the store is created."""
+    """The most buckets that a part of a store has; noted beside the parts when the store is created."""
     note = f"{path}/_buckets"
     try:
         return int(spark.read.text(note).first()["value"])
@@ -81,11 +88,32 @@ def store_buckets(spark: SparkSession, path: str, wanted: int | None = None) ->
     return n
 
 
+def read_filters(spark: SparkSession, path: str, key) -> DataFrame:
+    """Key filters of all parts, with the part's name; ``key`` is the type of the first key."""
+    schema = StructType([*filters.filter_schema(key).fields, StructField(PART, StringType())])
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{FILTERS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def new_run() -> str:
     """A name for a run of merges that no other run has."""
     return uuid.uuid4().hex
 
 
+@dataclass(frozen=True)
+class Merged:
+    """What a merge did: distinct keys of its batch, rows inserted, and the buckets and parts of the store it read."""
+
+    keys: int
+    inserted: int
+    buckets_read: int
+    parts_read: int
+
+
 def merge_insert_only(
     path: str,
     source: DataFrame,
@@ -96,7 +124,7 @@ def merge_insert_only(
     columns: Sequence[str] | None = None,
     null_keys: str = "drop",
     buckets: int | None = None,
-) -> None:
+) -> Merged:
     """Insert the source rows whose key the store does not hold yet; never update.
 
     ``run`` names the run (``new_run``, or the id that a stream keeps in its checkpoint) and ``batch`` the
@@ -104,9 +132,9 @@ def merge_insert_only(
     count as known. Within the source the newest row of a key wins; ``columns`` are the ones stored. Rows
     with a null key can never match and would be inserted again by every batch: they are dropped, or
     refused with ``null_keys="error"``.
-    The keys of the batch filter its buckets of the store by semi join, and what is found filters the
-    batch by anti join. Two runs that merge at the same time may both insert a key: feeds of one store
-    take turns.
+    Keys that a part's filter and bounds let through are looked up in their bucket of that part; the others are
+    new without reading the store. Two runs that merge at the same time may both insert a key: feeds of one
+    store take turns.
     """
     spark = source.sparkSession
     missing = F.lit(False)
@@ -114,21 +142,39 @@ def merge_insert_only(
         missing = missing | F.col(k).isNull()
     if null_keys == "error" and not source.where(missing).isEmpty():
         raise ValueError("null key in the source")
-    part, n = f"{run}-{batch}", store_buckets(spark, path, buckets)
-    wanted = list(dict.fromkeys([*newest_by, *(columns or source.columns)]))
+    part, most, names = f"{run}-{batch}", store_buckets(spark, path, buckets), list(columns or source.columns)
     usable = source.where(~missing)
-    fresh = latest_per_key(usable, keys, newest_by, wanted) if newest_by else usable.dropDuplicates(list(keys))
-    # the joins and the bucket list read the reduced batch; without the cache each would parse and reduce it again
-    fresh = fresh.select(*(columns or source.columns)).persist()
+    fresh = latest_per_key(usable, keys, newest_by, list(dict.fromkeys([*newest_by, *names]))) if newest_by else usable.dropDuplicates(list(keys))
+    # the tests and joins read the reduced batch; without the cache each would parse and reduce it again
+    fresh = fresh.select(*names).persist()
+    cached = [fresh]
     try:
-        placed = fresh.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
-        touched = [r[BUCKET] for r in placed.select(BUCKET).distinct().collect()]  # at most the buckets of the store
-        held = read_store(spark, path, fresh.schema, buckets=True).where(F.col(BUCKET).isin(touched) & (F.col(PART) != part))
-        known = held.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
-        new = placed.join(known, list(keys), "left_anti").hint("rebalance", BUCKET)
-        new.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{PART}={part}")
+        n, low, high = fresh.agg(F.count(F.lit(1)), F.min(keys[0]), F.max(keys[0])).first()
+        stored = read_filters(spark, path, fresh.schema[keys[0]].dataType)
+        others = stored.where((F.col(PART) != part) & (F.col(filters.HIGH) >= F.lit(low)) & (F.col(filters.LOW) <= F.lit(high)))
+        sizes = [r[0] for r in others.select(filters.BLOCKS).distinct().collect()] if n else []
+        new, places = fresh, []
+        if sizes:
+            suspects = filters.seeming_known(fresh, keys, others, sizes)
+            suspects = suspects.select(*keys, PART, F.pmod(filters.BLOCK, filters.BUCKETS).cast("int").alias(BUCKET)).persist()
+            cached.append(suspects)
+            places = [tuple(r) for r in suspects.select(PART, BUCKET).distinct().collect()]  # at most the files of the store
+        if places:
+            wanted = F.concat_ws("/", PART, BUCKET).isin([f"{p}/{b}" for p, b in places])
+            held = read_store(spark, path, fresh.schema, buckets=True).where(wanted)
+            known = held.select(*keys).join(suspects.select(*keys), list(keys), "left_semi")
+            new = fresh.join(known, list(keys), "left_anti").persist()
+            cached.append(new)
+        inserted = new.count() if places else n
+        if inserted or not stored.where(F.col(PART) == part).isEmpty():
+            blocks, split = filters.block_count(inserted), min(most, max(1, -(-inserted // ROWS_PER_FILE)))
+            filters.key_filter(new, keys, blocks, split).write.mode("overwrite").parquet(f"{path}/{FILTERS}/{PART}={part}")
+            placed = new.withColumn(BUCKET, F.pmod(filters.block_of(keys, F.lit(blocks)), F.lit(split)).cast("int"))
+            placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{PART}={part}")
+        return Merged(n, inserted, len(places), len({p for p, _ in places}))
     finally:
-        fresh.unpersist()
+        for frame in cached:
+            frame.unpersist()
 
 
 def union_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
