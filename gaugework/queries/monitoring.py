@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -12,10 +13,13 @@ from ..functions.when import hours, micros
 from ..operators.quality import rule_report
 from ..operators.ranking import alert_metrics, ranking_metrics, threshold_by_f1
 from ..operators.temporal import with_neighbours
+from ..session import scratch_path
+from ..streaming import ingest, outcomes as live
 from ..plans import model, monitoring as mon, snapshots as snap
 from .fleet import LABELLED, POINTS, SPANS, TIMED, WINDOWS, fleet_inputs
 from .registry import query
 from .roles import THRESHOLD, failures, ntz, predictions, sql
+from .streams import event_stream
 
 NOW = datetime(2024, 1, 29)
 EVALUATED = "evaluated AS (SELECT event_id AS prediction_id FROM events WHERE event_type = 'view' AND value > 120)"
@@ -47,6 +51,18 @@ def m02(t):
     return outcomes(t).withColumn("lead_time_hours", r6("lead_time_hours"))
 
 
+@query("m02_outcomes_as_they_fall_due", sql("predictions failures", "SELECT prediction_id, horizon_end, a IS NOT NULL AS failure_observed, CASE WHEN a IS NOT NULL THEN asset_id END AS actual_machine_id, a AS actual_failure_time, round(lead, 6) AS lead_time_hours, outcome_class FROM o", EVALUATED, DUE, OUT))
+def m02b(t):
+    """The same rows from two drained streams: predictions are joined with failures that come before or after them."""
+    base = scratch_path(t.spark, "m02b")
+    predicted = predictions(SimpleNamespace(events=event_stream(t))).withColumns({c: F.col(c).cast("timestamp") for c in ("prediction_time", "feature_time")})
+    failed = failures(SimpleNamespace(events=event_stream(t)))
+    ingest.append_table(live.matches(predicted, failed, "72 hours"), f"{base}/out", f"{base}/checkpoint")
+    found = live.closed(t.spark.read.parquet(f"{base}/out"), F.lit(NOW).cast("timestamp")).join(evaluated(t), "prediction_id", "left_anti")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("horizon_end", "actual_failure_time")}
+    return found.withColumns({**times, "lead_time_hours": r6("lead_time_hours")})
+
+
 @query("m03_outcome_summary", sql("predictions failures", """SELECT count(*) AS evaluated, count(*) FILTER (WHERE outcome_class = 'true_positive') AS tp, count(*) FILTER (WHERE outcome_class = 'false_positive') AS fp,
     count(*) FILTER (WHERE outcome_class = 'false_negative') AS fn, count(*) FILTER (WHERE outcome_class = 'true_negative') AS tn, round(avg(lead) FILTER (WHERE outcome_class = 'true_positive'), 6) AS mean_lead_hours,
     round(count(*) FILTER (WHERE outcome_class = 'true_positive') / nullif(count(*) FILTER (WHERE failure_probability >= threshold_used), 0), 6) AS precision,

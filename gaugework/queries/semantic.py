@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..plans import semantic as sem, taxes as tax
+from ..plans import semantic as sem, summaries as sums, taxes as tax
 from ..session import scratch_path
 from ..sources.sinks import save_table
 from ..sources.tax_tables import dim_tax_line
@@ -87,3 +88,52 @@ def p06(t):
     lines = federal(t)
     last = returns(t).agg(F.max("return_id").alias("m")).scalar()
     return sem.drill(lines, dim_tax_line(t.spark), last)
+
+
+def sales(t, orders=None):
+    view = sales_view(t)
+    if orders is not None:
+        view = replace(view, source=orders)
+    price = "cast(source.o_totalprice AS decimal(18,2))"
+    partials = {
+        "n": sums.Partial("count(1)"),
+        "value": sums.Partial(f"cast(sum({price}) AS decimal(28,2))"),
+        "large": sums.Partial(f"count_if({price} > 300000)"),
+        "highest": sums.Partial(f"max({price})", "max"),
+        "buyers": sums.Partial("count(distinct source.o_custkey)", None),
+    }
+    formulas = {"orders": "n", "revenue": "cast(value AS decimal(18,2))", "large_share": "round(large / n, 6)", "highest_price": "highest", "customers": "buyers"}
+    return sums.Definition(view, partials, formulas)
+
+
+KEPT = "FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P' AND NOT (o_orderkey % 5 = 2 AND o_orderstatus = 'F')"
+
+
+@query("p02_summary_kept_by_deltas", f"SELECT c_mktsegment AS segment, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue, round(count(*) FILTER (WHERE CAST(o_totalprice AS DECIMAL(18,2)) > 300000) / count(*), 6) AS large_share {KEPT} GROUP BY 1, 2")
+def p02c(t):
+    """A summary of some orders, a fifth of them with wrong prices, then new orders, corrections and removals, one of these repeated."""
+    fifth = F.col("o_orderkey") % 5
+    wrong = t.orders.where(fifth == 0).withColumn("o_totalprice", F.col("o_totalprice") + 100_000)
+    first = sales(t, wrong.unionByName(t.orders.where(fifth.isin(1, 2))))
+    kept = sums.store(first, scratch_path(t.spark, "p02c"), ["segment", "order_year"], ["n", "value", "large"], "order_year")
+    sums.apply_delta(first, kept, sums.delta(first, kept, added=t.orders.where(fifth == 3)), "new")
+    sums.apply_delta(first, kept, sums.delta(first, kept, t.orders.where(fifth == 0), wrong), "corrected")
+    last = sums.delta(first, kept, t.orders.where(fifth == 4), t.orders.where((fifth == 2) & (F.col("o_orderstatus") == "F")))
+    for _ in range(2):
+        sums.apply_delta(first, kept, last, "removed")
+    return sums.answer(t.spark, first, {kept: 1}, ["segment", "order_year"], ["orders", "revenue", "large_share"])
+
+
+NAVIGATED = """SELECT r_name AS region, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue, max(CAST(o_totalprice AS DECIMAL(18,2))) AS highest_price FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE o_orderstatus <> 'P' AND year(o_orderdate) IN (1995, 1996) GROUP BY 1"""
+
+
+@query("p01_answered_from_a_summary", NAVIGATED)
+def p01d(t):
+    """Two grains are stored; the one without the filtered year can't answer, the other one does, without the orders."""
+    definition, partials = sales(t), ["n", "value", "large", "highest"]
+    base = scratch_path(t.spark, "p01d")
+    fine = sums.store(definition, f"{base}/fine", ["region", "segment", "order_year"], partials, "order_year")
+    coarse = sums.store(definition, f"{base}/coarse", ["region", "status"], partials, "region")
+    stores = {s: s.read(t.spark).count() for s in (fine, coarse)}
+    return sums.answer(t.spark, definition, stores, ["region"], ["orders", "revenue", "highest_price"], {"order_year": [1995, 1996]})

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.num import r6
+from ..functions.when import micros
 from ..session import scratch_path
 from ..sources.sinks import read_store
-from ..streaming import ingest, readings
+from ..streaming import ingest, readings, snapshots as live
+from .fleet import POINTS, TIMED, WINDOWS
 from .registry import query
+from .roles import BASE_US, sql
 
 LINES = """x AS (SELECT conv_id, turn, role, i - 1 AS n, l[i] AS line FROM (SELECT conv_id, turn, role, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM conversations)),
     d AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS record_id, CAST(conv_id AS VARCHAR) AS user_id, role, turn, n, CASE WHEN length(line) > 0 THEN CAST(length(line) AS INTEGER) END AS v FROM x)"""
@@ -177,3 +180,36 @@ def h07(t):
     base = scratch_path(t.spark, "h07")
     ingest.append_table(event_stream(t), f"{base}/out", f"{base}/checkpoint")
     return t.spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lowest"), F.max("event_id").alias("highest"))
+
+
+LIVE = "value_mean value_stddev value_min value_max value_slope operating_hours hours_since_maintenance".split()
+LIVE_SQL = sql(
+    "telemetry failures meters maintenance",
+    """SELECT asset_id, feature_time, telemetry_count, round(temperature_mean, 6) + 0 AS value_mean, round(temperature_stddev, 6) + 0 AS value_stddev, round(temperature_min, 6) + 0 AS value_min,
+    round(temperature_max, 6) + 0 AS value_max, round(temperature_slope, 6) + 0 AS value_slope, temperature_spike_count AS value_spike_count, round(operating_hours, 6) + 0 AS operating_hours,
+    round(hours_since_maintenance, 6) + 0 AS hours_since_maintenance, failures_last_90d, CASE WHEN feature_time + INTERVAL 168 HOURS <= top THEN label_failure_time END AS label_failure_time,
+    CASE WHEN feature_time + INTERVAL 168 HOURS <= top THEN CAST(label_failure_time IS NOT NULL AS INTEGER) END AS label_failure_within_horizon
+    FROM p, (SELECT max(ts) - INTERVAL 6 HOURS AS top FROM events) WHERE feature_time <= top""",
+    WINDOWS, POINTS, TIMED,
+)
+
+
+def fleet_rows(events):
+    """Rows of all sources of a snapshot, told apart by kind."""
+    kind = F.create_map(*[F.lit(x) for x in ("error", live.FAILURE, "signup", live.METER, "purchase", live.UPKEEP)])
+    rows = events.select(F.col("user_id").alias("asset_id"), F.col("ts").alias("event_time"), F.col("event_id").alias("id"), "value", "event_type")
+    hours = (micros("event_time") - F.lit(BASE_US)) / F.lit(3_600_000_000.0) + F.col("value")
+    # every row but a failure is telemetry, and those that the map names are something else besides
+    kinds = F.when(F.col("event_type") == "error", F.array(F.lit(live.FAILURE))).otherwise(F.array_compact(F.array(F.lit(live.TELEMETRY), kind[F.col("event_type")])))
+    rows = rows.select("asset_id", "event_time", "id", "value", hours.alias("hours"), F.explode(kinds).alias("kind"))
+    return rows.select("asset_id", "event_time", "kind", "id", F.when(F.col("kind") == live.METER, F.col("hours")).otherwise(F.col("value")).alias("value"))
+
+
+@query("h06_point_in_time_stream", LIVE_SQL)
+def h06b(t):
+    """Features and labels from a drained stream: those of the batch for all windows and horizons that the watermark has passed."""
+    base = scratch_path(t.spark, "h06b")
+    with live.large_state(t.spark):
+        ingest.append_table(live.point_in_time(fleet_rows(event_stream(t)), live.Shape.of()), f"{base}/out", f"{base}/checkpoint")
+    found = live.labelled(t.spark.read.parquet(f"{base}/out"))
+    return found.withColumns({c: r6(c) for c in LIVE})
