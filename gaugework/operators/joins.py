@@ -101,20 +101,44 @@ def fan_out(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     )
 
 
-def ancestors(df: DataFrame, ident: str, parent: str, max_depth: int = 64) -> DataFrame:
-    """(node, ancestor, depth) for every ancestor of every node.
+def ancestors(df: DataFrame, ident: str, parent: str, max_depth: int | None = None) -> DataFrame:
+    """(node, ancestor, depth) for every ancestor of every node, by pointer doubling.
 
-    Level by level: each step moves the frontier one parent up. The frontier is cut with a
-    checkpoint so that the plan does not grow with the depth. A cycle ends in an error.
+    After k rounds all ancestors up to a distance of 2**k are known, and every node points 2**k up; a round joins
+    these pointers with what is known, so a hierarchy of depth n takes log2(n) rounds, each cut with a checkpoint.
+    A cycle ends in an error as soon as one of its nodes reaches itself, and so does a depth beyond ``max_depth``.
     """
-    up = df.where(F.col(parent).isNotNull()).select(F.col(ident).alias("_id"), F.col(parent).alias("_up"))
-    level = up.select(F.col("_id").alias("node"), F.col("_up").alias("ancestor"), F.lit(1).alias("depth"))
-    found = level
-    for _ in range(max_depth):
-        level = cut(
-            level.join(up, F.col("ancestor") == F.col("_id")).select("node", F.col("_up").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        )
-        if level.isEmpty():
+    up = df.where(F.col(parent).isNotNull()).select(F.col(ident).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
+    found = longer = cut(up)
+    step = 1
+    while True:
+        if (circular := longer.where("node = ancestor").first()) is not None:
+            raise ValueError(f"{circular['node']} is its own ancestor, {circular['depth']} levels up")
+        pointers = longer.where(F.col("depth") == step).select("node", F.col("ancestor").alias("_at"))
+        known = found.select(F.col("node").alias("_at"), "ancestor", "depth")
+        longer = cut(pointers.join(known, "_at").select("node", "ancestor", (F.col("depth") + step).alias("depth")))
+        if longer.isEmpty():
             return found
-        found = found.unionByName(level)
-    raise ValueError(f"hierarchy deeper than {max_depth} levels, or a cycle")
+        if max_depth is not None and not longer.where(F.col("depth") > max_depth).isEmpty():
+            raise ValueError(f"hierarchy deeper than {max_depth} levels")
+        found = found.unionByName(longer)
+        step *= 2
+
+
+def roots(df: DataFrame, ident: str, parent: str) -> DataFrame:
+    """(node, root, depth) for every node: its topmost ancestor and how far up it is, itself at 0.
+
+    The same doubling with one pointer per node, for hierarchies whose pairs would be too many to list.
+    """
+    known = F.col(parent).isNotNull()
+    rows = cut(df.select(F.col(ident).alias("node"), F.when(known, F.col(parent)).otherwise(F.col(ident)).alias("root"), known.cast("long").alias("depth")))
+    n, total = rows.agg(F.count(F.lit(1)), F.sum("depth")).first()
+    while True:
+        above = rows.select(F.col("node").alias("_at"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
+        joined = rows.join(above, F.col("root") == F.col("_at"), "left")
+        rows = cut(joined.select("node", F.coalesce("_root", "root").alias("root"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+        if (circular := rows.where(F.col("depth") > n).first()) is not None:  # further up than there are nodes
+            raise ValueError(f"a cycle above {circular['node']}")
+        before, total = total, rows.agg(F.sum("depth")).first()[0]
+        if total == before:
+            return rows

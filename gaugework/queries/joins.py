@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.num import money, r6
 from ..functions.when import hours, micros
-from ..operators.joins import Dimension, ancestors, fan_out, having_any, having_none, star
+from ..operators.joins import Dimension, ancestors, fan_out, having_any, having_none, roots, star
 from ..operators.temporal import as_of_latest, clip, count_in_window, first_after, interval_issues, stab, time_to_next
 from .registry import query
 from .roles import details, failures, loose_states, maintenance, meters, ntz, predictions, sql, telemetry
@@ -136,6 +136,15 @@ def d15(t):
     return ancestors(tree, "id", "parent")
 
 
+@query("d15_roots", """WITH RECURSIVE up AS (SELECT c_custkey AS id, CASE WHEN c_custkey > 0 THEN CAST(floor(c_custkey / 3) AS BIGINT) END AS parent FROM customer),
+    a AS (SELECT id AS node, id AS root, CAST(0 AS BIGINT) AS depth FROM up UNION ALL SELECT node, parent, depth + 1 FROM a JOIN up ON root = id WHERE parent IS NOT NULL)
+    SELECT node, arg_max(root, depth) AS root, max(depth) AS depth FROM a GROUP BY 1""")
+def d15c(t):
+    """The topmost asset above each one, and its distance."""
+    tree = t.customer.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") > 0, F.floor(F.col("c_custkey") / 3)).alias("parent"))
+    return roots(tree, "id", "parent")
+
+
 @query("d15_children", """SELECT CAST(floor(c_custkey / 10) AS BIGINT) AS parent_asset_id, count(*) AS children, CAST(sum(coalesce(n, 0)) AS BIGINT) AS child_orders FROM customer
     LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE c_custkey > 0 GROUP BY 1""")
 def d15b(t):
