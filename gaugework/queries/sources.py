@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
 from ..operators.joins import having_none
 from ..session import scratch_path
-from ..sources import cursor, sinks, tables
+from ..sources import cursor, layout, sinks, statistics, tables
 from .registry import query
 from .roles import ntz, predictions, sql
 
@@ -220,6 +222,29 @@ def a13b(t):
     return sinks.save_table(sinks.cluster_layout(keyed, ["z"]), scratch_path(t.spark, "a13z")).drop("z")
 
 
+BOXES = {"part_and_supplier": ("l_partkey", "l_suppkey"), "part": ("l_partkey",), "supplier": ("l_suppkey",)}
+BOX_SQL = "l AS (SELECT *, max(l_partkey) OVER () AS tp, max(l_suppkey) OVER () AS ts FROM lineitem)"
+IN_BOX = {"l_partkey": "l_partkey BETWEEN tp * 3 // 10 AND tp * 4 // 10", "l_suppkey": "l_suppkey BETWEEN ts * 3 // 10 AND ts * 4 // 10"}
+
+
+@query("a13_files_for_a_box", f"WITH {BOX_SQL} " + " UNION ALL ".join(f"SELECT '{n}' AS box, count(*) FILTER (WHERE {' AND '.join(IN_BOX[k] for k in ks)}) AS rows, true AS few_files FROM l" for n, ks in BOXES.items()))
+def a13c(t):
+    """Of 64 files along a Hilbert curve, a tenth of both keys' ranges needs at most a sixth, a tenth of either key's range two fifths.
+
+    An order by the first key alone would need all of them for the second key.
+    """
+    keys = ["l_partkey", "l_suppkey"]
+    rows = t.lineitem.select(*keys, "l_orderkey", "l_linenumber")
+    stored = sinks.save_table(layout.hilbert_layout(rows, keys, 64), scratch_path(t.spark, "a13h"))
+    tops = rows.agg(*[F.max(k).alias(k) for k in keys]).first()  # two numbers place the boxes
+    boxes = {n: {k: (tops[k] * 3 // 10, tops[k] * 4 // 10) for k in ks} for n, ks in BOXES.items()}
+    need = layout.files_needed(layout.file_bounds(stored, keys), boxes)
+    inside = {n: F.count_if(reduce(and_, [F.col(k).between(*ends) for k, ends in box.items()])) for n, box in boxes.items()}
+    counts = stored.agg(F.array(*[F.struct(F.lit(n).alias("box"), c.alias("rows")) for n, c in inside.items()]).alias("all")).select(F.inline("all"))
+    most = F.when(F.col("box") == "part_and_supplier", 1 / 6).otherwise(2 / 5)
+    return counts.join(need, "box").select("box", "rows", (F.col("share") <= most).alias("few_files"))
+
+
 STATS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
@@ -228,6 +253,46 @@ def a14(t):
     return tables.column_statistics(t.orders, STATS)
 
 
+SKETCHED = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+def exact_columns(c: str) -> str:
+    number = c != "o_orderpriority"
+    bounds = f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high" if number else "CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high"
+    return f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, {bounds}, count(DISTINCT {c}) AS exact_distinct, true AS distinct_is_near, {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS median_is_near FROM orders"
+
+
+@query("a14_combined_sketches", " UNION ALL ".join(map(exact_columns, SKETCHED)))
+def a14b(t):
+    """Sketches of four batches, one of them repeated, put together; estimates are held against exact answers."""
+    path = scratch_path(t.spark, "a14b")
+    year = F.pmod(F.year("o_orderdate"), F.lit(4))
+    for k in (0, 1, 2, 3, 1):
+        statistics.add_batch(t.orders.where(year == k), SKETCHED, path, str(k))
+    found = statistics.combined(t.spark, path)
+    exact = tables.column_statistics(t.orders, SKETCHED).select("column_name", F.col("distinct_values").alias("exact_distinct"))
+    both = found.join(exact, "column_name")
+    # the share of rows below the estimated median and up to it has to span one half, but for the sketch's error
+    one = found.where("low IS NOT NULL").select("column_name", F.col("quantiles")[1].alias("median"))
+    values = t.orders.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in SKETCHED if c != "o_orderpriority"])).alias("x")).select("x.*")
+    ranks = values.join(F.broadcast(one), "column_name").groupBy("column_name").agg(
+        F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("median")).cast("double")).alias("upto")
+    )
+    near = (F.col("below") - statistics.RANK_ERROR <= 0.5) & (F.col("upto") + statistics.RANK_ERROR >= 0.5)
+    close = F.abs(F.col("distinct_values") - F.col("exact_distinct")) <= statistics.DISTINCT_ERROR * F.col("exact_distinct")
+    return both.join(ranks, "column_name", "left").select("column_name", "rows", "nulls", "low", "high", "exact_distinct", close.alias("distinct_is_near"), near.alias("median_is_near"))
+
+
+@query("a14_frequent_values", "SELECT o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1")
+def a14c(t):
+    """Counts of the frequent values of a column with few values, from combined sketches: exact there."""
+    path = scratch_path(t.spark, "a14c")
+    for k in range(3):
+        statistics.add_batch(t.orders.where(F.col("o_orderkey") % 3 == k), ["o_orderpriority"], path, str(k))
+    found = statistics.combined(t.spark, path).select(F.inline("frequent"))
+    return found.select(F.col("item").alias("value"), F.col("count").alias("n"))
+
+
 @query("a15_repartitioned_write", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS tax_year FROM orders")
 def a15(t):
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("tax_year"))
