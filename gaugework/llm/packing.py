@@ -19,6 +19,7 @@ are read.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,33 +32,45 @@ from .common import query, stored, table, text_or_empty
 from .pieces import PieceEncoder
 
 CAPACITY = 1024
-ROWS_PER_PART = 10_000
-_ENCODERS: dict[bytes, PieceEncoder] = {}
+ROWS_PER_PART = 1_000
+_ENCODERS: dict[bytes, TextEncoder] = {}
 
 
-def _encoder(description: bytes) -> PieceEncoder:
-    """One tokenizer per Python worker and vocabulary."""
-    key = hashlib.sha256(description).digest()
-    if key not in _ENCODERS:
+class TextEncoder:
+    """Ids of whole texts by a tokenizer. Texts that hold the string of an added token are given to it whole."""
+
+    def __init__(self, description: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(description.decode())
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        sizes = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
-        for token, i in tokenizer.get_vocab().items():
-            sizes[i] = len(token)  # one character of a byte-level token stands for one byte
+        self.tokenizer = Tokenizer.from_str(description)
+        self.added = [x["content"] for x in json.loads(description).get("added_tokens", [])]
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(token)  # one character of a byte-level token stands for one byte
+        self.pieces = PieceEncoder(lambda piece: self.whole(piece).tobytes(), self.many)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-        def ids(text: str) -> np.ndarray:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def many(self, pieces: list[str]) -> list[bytes]:
+        """Pieces are tokenized apart wherever they stand, so that one call does for all."""
+        found = self.whole("".join(pieces))
+        ends = np.searchsorted(np.cumsum(self.sizes[found]), np.cumsum([len(p.encode()) for p in pieces])) + 1
+        raw = found.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
 
-        def many(pieces: list[str]) -> list[bytes]:
-            """Pieces are tokenized apart wherever they stand, so that one call does for all."""
-            found = ids("".join(pieces))
-            ends = np.searchsorted(np.cumsum(sizes[found]), np.cumsum([len(p.encode()) for p in pieces])) + 1
-            raw = found.tobytes()
-            return [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
+        odd = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
+        found = self.pieces.batch("" if i in odd else text for i, text in enumerate(texts))
+        for i, ids in enumerate(found):
+            yield self.whole(texts[i]).tobytes() if i in odd else ids
 
-        _ENCODERS[key] = PieceEncoder(lambda piece: ids(piece).tobytes(), many)
+
+def _encoder(description: bytes) -> TextEncoder:
+    """One tokenizer per Python worker and vocabulary."""
+    key = hashlib.sha256(description).digest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(description.decode())
     return _ENCODERS[key]
 
 
@@ -74,7 +87,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
         encoder = _encoder(description.value)
         for batch in batches:
             rows, piece, start, length, crc, kept = [], [], [], [], [], []
-            for row, found in enumerate(encoder.batch(t.as_py() for t in batch.column(1))):
+            for row, found in enumerate(encoder.batch(batch.column(1).to_pylist())):
                 found += end
                 n = len(found) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)]

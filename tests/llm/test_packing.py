@@ -18,9 +18,7 @@ DDL = "doc_id long, text string, length string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(FILE)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(FILE)  # as it is: the string of an added token in a text is that token
 
 
 def check(rows, texts, tokenizer, capacity):
@@ -55,6 +53,13 @@ def test_query(spark, small, tokenizer):
     assert n <= 1.05 * -(-total // 1024) + 1
 
 
+def test_strings_of_added_tokens(spark, tokenizer):
+    texts = dict(enumerate(["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b", " <|endoftext|>  x ", "<|endoftext|", "one two", "<|endoftext |>"]))
+    rows = packing.token_pieces(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), FILE, 2, ids=True).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
+    assert len({r.doc_id: r.ids for r in rows}[0]) == 5
+
+
 def test_awkward_rows(spark, tokenizer):
     texts = {1: None, 2: "", 3: "tie", 4: "tie", 5: "long text, " * 9000, 6: "x" * 50_000, None: "no id", 7: "<|endoftext|> é"}
     docs = spark.createDataFrame([(i, t, "clash") for i, t in texts.items()], DDL)
