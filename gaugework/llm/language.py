@@ -33,7 +33,7 @@ WORD_SHARE, GRAM_SHARE = 1e-5, 1e-4
 EVIDENCE = 10
 MIN_SCORE = 0.5
 #: Words that a task counts before it passes them on, rows that it passes on at once, and words that a worker remembers.
-_HELD, _PASSED, _REMEMBERED = 150_000, 10_000, 250_000
+_HELD, _PASSED, _REMEMBERED = 150_000, 10_000, 500_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
