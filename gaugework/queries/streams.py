@@ -154,10 +154,10 @@ def h05(t):
     """Fetches that overlap, taken one file at a time and the newest part of the feed first: each event is kept once, late ones too."""
     base = scratch_path(t.spark, "h05")
     late = t.events.where("event_id % 3 <> 0")
-    t.events.where("event_id % 3 = 0").coalesce(1).write.parquet(f"{base}/in/first")
+    t.events.where("event_id % 3 = 0").write.parquet(f"{base}/in/first")
     ingest.keep_first(event_stream(t, f"{base}/in/*"), f"{base}/out", f"{base}/checkpoint", ["event_id"])
-    late.repartition(4, "user_id").write.parquet(f"{base}/in/late")
-    t.events.where("event_type = 'error'").coalesce(1).write.parquet(f"{base}/in/again")
+    late.write.parquet(f"{base}/in/late")
+    t.events.where("event_type = 'error'").write.parquet(f"{base}/in/again")
     ingest.keep_first(event_stream(t, f"{base}/in/*", maxFilesPerTrigger=1), f"{base}/out", f"{base}/checkpoint", ["event_id"])
     out = read_store(t.spark, f"{base}/out", event_stream(t).schema)
     return out.select("event_id", "user_id", ntz("ts"), "event_type", "value")
