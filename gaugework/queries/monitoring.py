@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import recommended_action, risk_level
 from ..functions.num import finite_or_zero, r6
 from ..functions.when import hours, micros
+from ..operators.isotonic import calibrated, isotonic_curve
 from ..operators.quality import rule_report
 from ..operators.ranking import alert_metrics, ranking_metrics, threshold_by_f1
 from ..operators.temporal import with_neighbours
@@ -79,6 +80,36 @@ def m04(t):
     return out.withColumns({c: r6(c) for c in ("mean_predicted_probability", "observed_failure_rate")})
 
 
+RATES = "r AS (SELECT failure_probability AS score, count(a) AS pos, count(*) AS n FROM o GROUP BY 1)"
+UPTO = "u AS (SELECT score, row_number() OVER (ORDER BY score) AS i, sum(pos) OVER (ORDER BY score) AS p, sum(n) OVER (ORDER BY score) AS c, pos, n FROM r)"
+LOWEST = """l AS (SELECT j.i AS j, k.i AS k, min((k.p - j.p + j.pos) / (k.c - j.c + j.n)::DOUBLE) OVER (PARTITION BY j.i ORDER BY k.i DESC) AS lowest FROM u j JOIN u k ON k.i >= j.i)"""
+HIGHEST = """f AS (SELECT k AS i, max(lowest) AS fitted FROM l GROUP BY 1), g AS (SELECT score, pos, n, fitted FROM u JOIN f USING (i))"""
+ISOTONIC = EVALUATED, DUE, OUT, RATES, UPTO, LOWEST, HIGHEST
+
+
+@query("m04_isotonic_curve", sql("predictions failures", "SELECT score, n AS evaluated, pos AS failures, round(fitted, 6) AS calibrated_probability FROM g", *ISOTONIC))
+def m04b(t):
+    """Observed rate by predicted probability, pooled until it no longer falls anywhere."""
+    curve = isotonic_curve(judged(t), "failure_probability", "observed")
+    return curve.select("score", F.col("n").alias("evaluated"), F.col("pos").alias("failures"), r6("fitted").alias("calibrated_probability"))
+
+
+@query("m04_calibrated_risk", sql("predictions failures", """SELECT risk_level, count(*) AS evaluated_predictions, round(avg(failure_probability), 6) AS mean_predicted_probability, round(avg(fitted), 6) AS mean_calibrated_probability,
+    round(avg((failure_probability - (a IS NOT NULL)::INTEGER) ** 2), 6) AS brier_score, round(avg((fitted - (a IS NOT NULL)::INTEGER) ** 2), 6) AS calibrated_brier_score FROM o JOIN g ON failure_probability = score GROUP BY 1""", *ISOTONIC))
+def m04c(t):
+    """Predicted and calibrated probabilities of each risk level, with the squared error of both."""
+    rows = judged(t)
+    both = calibrated(rows, "failure_probability", isotonic_curve(rows, "failure_probability", "observed"))
+    p, c, y = F.col("failure_probability"), F.col("calibrated"), F.col("observed")
+    means = {"mean_predicted_probability": p, "mean_calibrated_probability": c, "brier_score": (p - y) * (p - y), "calibrated_brier_score": (c - y) * (c - y)}
+    return both.groupBy("risk_level").agg(F.count(F.lit(1)).alias("evaluated_predictions"), *[r6(F.avg(x)).alias(k) for k, x in means.items()])
+
+
+def judged(t):
+    seen = outcomes(t).select("prediction_id", F.col("failure_observed").cast("int").alias("observed"))
+    return predictions(t).select("prediction_id", "risk_level", "failure_probability").join(seen, "prediction_id")
+
+
 @query("m05_eligible_latest", sql("predictions", """SELECT prediction_id, asset_id, feature_time, prediction_time, failure_probability, risk_level, TIMESTAMP '2024-01-29' < feature_time + INTERVAL 72 HOURS AS fresh FROM predictions
     WHERE model_version = 'v1' AND model_name = 'failure_model' AND forecast_horizon_hours = 72 AND feature_time <= TIMESTAMP '2024-01-29' AND prediction_time <= TIMESTAMP '2024-01-29' AND coalesce(scored_at, prediction_time) <= TIMESTAMP '2024-01-29'
     QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY feature_time DESC, coalesce(scored_at, prediction_time) DESC, prediction_time DESC, prediction_id DESC) = 1"""))
