@@ -16,6 +16,7 @@ repeated rows count as often as they come; other columns are ignored by ``predic
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -26,7 +27,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import query, stored, table
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Characters that regular expressions take for parts of words, but that are numbers (fractions, Roman numerals, circled digits).
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 ORDERS = (4, 3, 2, 1)
 WORD_SHARE, GRAM_SHARE = 1e-5, 1e-4
 #: Words that count as independent evidence in the reported score.

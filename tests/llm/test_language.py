@@ -61,3 +61,11 @@ def test_nothing_learnt(spark):
     assert [(r.lang_pred, r.score) for r in language.predict(docs, model).collect()] == [("und", 0.0)]
     assert language.predict(docs.limit(0), model).count() == 0
     assert re.match("und", language.Scorer(model)("x")[0])
+
+
+def test_numbers_are_no_letters(spark):
+    model = language.learn(spark.createDataFrame([("en", "one two three"), ("fr", "un deux trois")], "lang string, text string"))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["½ ² Ⅷ ①", "Ⅷ 12 _", "a½b", "一"])], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
+    assert got[0] == got[1] == ("und", 0.0) and got[2][0] != "und" and got[3][0] != "und"
+    assert all(language.WORD.fullmatch(c) is None for c in "½²Ⅷ①५٣_") and all(language.WORD.fullmatch(c) for c in "aßé一あب")
