@@ -1,11 +1,12 @@
 """Secret scan: candidates by form, a random forest for the removal of false positives.
 
 Candidates are strings of 16 characters or more from the alphabet of keys (letters, digits, ``+ / _ -`` and
-closing ``=``), all values of 8 characters or more assigned to a credential word, and private key blocks. Each is described by
+closing ``=``), all values of 8 characters or more assigned to a credential word or given as the password of an
+address, and private key blocks. Each is described by
 its length, its characters, how likely its character transitions are in the corpus's words, the share that
 dictionary words cover, the document's path and the neighbouring words. The dictionary and the
-transitions come from the word counts of all documents; a word enters the dictionary with a share of 1e-5 of
-all words (at most 100,000 words).
+transitions come from the word counts of all documents: transitions between Latin letters from all words, while
+a word of 3 to 32 letters enters the dictionary with a share of 1e-5 of all words (at most 100,000 words).
 
 The forest is trained on labelled findings: by the caller's (``labelled``: doc_id, start, label), or else by
 the ones whose form decides: published key formats, hex values assigned to a credential word, and key blocks
@@ -23,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -34,16 +35,23 @@ from .language import WORD
 
 TOKEN = re.compile(r"\S{16,}")
 CORE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
-KEYED = re.compile(r"(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)s?[\"']?\s*(?:=|:=?)\s*[\"']?((?:(?!&\w+=)[^\s\"'<>,;]){8,})", re.I)
+#: Credential words of other languages.
+FOREIGN = "contraseña|mot de passe|passwort|kennwort|senha|wachtwoord|hasło|пароль|密码|密钥|パスワード|비밀번호"
+KEYED = re.compile(rf"(?:{FOREIGN}|password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)s?[\"']?\s*(?:=|:=?|：)\s*[\"']?((?:(?!&\w+=)[^\s\"'<>,;]){{8,}})", re.I)
+ADDRESS = re.compile(r"://[^\s:/@]*:([^\s/@]{8,})@")
 BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?!-----BEGIN ).)+?-----END [A-Z ]{0,30}PRIVATE KEY-----", re.S)
-CREDENTIAL = re.compile(r"passw|passphrase|pwd|secret|token|api|key|auth|credential|bearer", re.I)
+CREDENTIAL = re.compile(rf"{FOREIGN}|passw|passphrase|pwd|secret|token|api|key|auth|credential|bearer", re.I)
 SAMPLE_PATH = re.compile(r"test|example|sample|fixture|mock|demo|doc", re.I)
 #: Published key formats.
 FORMATS = re.compile(r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}|glpat-[A-Za-z0-9_\-]{20,}")
 HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 DICTIONARY_SHARE = 1e-5
+#: Letters of a dictionary word; longer strings of letters aren't words.
+LONGEST_WORD = 32
 MOST_LABELLED = 20_000
 TREES, DEPTH = 60, 8
+#: Letters beyond a to z whose transitions count.
+LATIN = "\u00df-\u024f"
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 #: Buckets of hashed neighbouring words and path endings.
@@ -58,10 +66,9 @@ def candidates_of(text: str) -> Iterator[tuple[int, int]]:
         spans += [m.span() for m in BLOCK.finditer(text)]
     for token in TOKEN.finditer(text):
         for core in CORE.finditer(token[0]):
-            start, stop = token.start() + core.start(), token.start() + core.end()
-            if not (text[start - 1 : start].isalnum() or text[stop : stop + 1].isalnum()):
-                spans.append((start, stop))
-    if "=" in text or ":" in text:
+            spans.append((token.start() + core.start(), token.start() + core.end()))
+    spans += [m.span(1) for m in ADDRESS.finditer(text)]
+    if "=" in text or ":" in text or "：" in text:
         # a published key within a longer value is a candidate of its own
         spans += [m.span(1) for m in KEYED.finditer(text) if FORMATS.fullmatch(m[1]) or not FORMATS.search(m[1])]
     last = 0
@@ -94,16 +101,14 @@ def form_label(value: str, before: str) -> float | None:
 
 
 class Corpus:
-    """Dictionary words and log frequencies of character transitions in them."""
+    """Dictionary words, and log frequencies of the transitions between two characters."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.words = {w for w in counts if len(w) > 2}
+    def __init__(self, words: Iterable[str], pairs: dict[tuple[str, str], int]):
+        self.words = {w for w in words if 2 < len(w) <= LONGEST_WORD}
         self.longest = max(map(len, self.words), default=0)
-        pairs, firsts = Counter(), Counter()
-        for word, n in counts.items():
-            for a, b in zip(word, word[1:], strict=False):
-                pairs[a, b] += n
-                firsts[a] += n
+        firsts: Counter = Counter()
+        for (a, _), n in pairs.items():
+            firsts[a] += n
         self.log = {(a, b): math.log((n + 0.5) / (firsts[a] + 18)) for (a, b), n in pairs.items()}
         self.unseen = math.log(1 / 36)  # no better than any character after any other
 
@@ -128,9 +133,7 @@ def _bucket(word: str) -> int:
 
 def features(value: str, before: str, after: str, path: str, corpus: Corpus) -> list[float]:
     n = len(value)
-    sample = value[:256]  # of key blocks the beginning tells enough
-    counts = Counter(sample)
-    share = [v / len(sample) for v in counts.values()]
+    share = [v / n for v in Counter(value).values()]
     words = before.split()
     near = [*words[-3:], *after.split()[:1]]
     place = [0.0] * (2 * BUCKETS)
@@ -139,13 +142,13 @@ def features(value: str, before: str, after: str, path: str, corpus: Corpus) ->
     place[BUCKETS + _bucket(path.rpartition(".")[2])] = 1.0
     return [
         math.log(n),
-        sum(c.isdigit() for c in sample) / len(sample),
-        sum(c.isupper() for c in sample) / len(sample),
-        sum(c in "+/=_-" for c in sample) / len(sample),
-        sum(a.isdigit() != b.isdigit() for a, b in zip(sample, sample[1:], strict=False)) / len(sample),
+        sum(c.isdigit() for c in value) / n,
+        sum(c.isupper() for c in value) / n,
+        sum(c in "+/=_-" for c in value) / n,
+        sum(a.isdigit() != b.isdigit() for a, b in zip(value, value[1:], strict=False)) / n,
         -sum(p * math.log2(p) for p in share),
-        corpus.transitions(sample),
-        corpus.coverage(sample),
+        corpus.transitions(value),
+        corpus.coverage(value),
         float(before.rstrip("\"' ")[-1:] in ("=", ":")),
         float(before[-1:] in ("\"", "'")),
         float(any(CREDENTIAL.search(w) for w in near)),
@@ -171,7 +174,16 @@ def learn_corpus(docs: DataFrame, share: float = DICTIONARY_SHARE) -> Corpus:
 
     counts = stored(docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "dictionary")
     least = max(2.0, share * (counts.agg(F.sum("n")).first()[0] or 0))
-    return Corpus({r["word"]: r["n"] for r in counts.where(F.col("n") >= least).collect()})
+    words = [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+    return Corpus(words, {tuple(r["pair"]): r["n"] for r in _pairs(counts).collect()})
+
+
+def _pairs(counts: DataFrame) -> DataFrame:
+    """pair, n: neighbouring Latin letters in all words; some hundred letters squared at most."""
+    letters = counts.where(F.length("word") > 1).select(F.split("word", "").alias("c"), "n")  # places of an array are found at once, those of a text by counting
+    spread = F.expr("explode(transform(sequence(1, size(c) - 1), i -> concat(c[i - 1], c[i])))")
+    pairs = letters.select(spread.alias("pair"), "n").where(F.col("pair").rlike(f"^[a-z{LATIN}]{{2}}$"))
+    return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def candidates(docs: DataFrame, corpus: Corpus, path: str = "source") -> DataFrame:
@@ -235,12 +247,14 @@ def redact(docs: DataFrame, threshold: float = THRESHOLD, mask: str = MASK, path
     found = scan(docs, path=path).where(F.col("score") >= threshold)
     spans = stored(found.groupBy("doc_id", "print").agg(F.sort_array(F.collect_set(F.struct("start", "stop")), asc=False).alias("spans")), "secret-spans")
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_print")), "left")
-    cut = F.expr("aggregate(_spans, text, (t, s) -> concat(substring(t, 1, s.start), '" + mask.replace("'", "\\'") + "', substring(t, s.stop + 1)))")
-    clean = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(cut)
-    out = {c: docs[f"`{c}`"] for c in docs.columns} | {"text": clean}
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    text = F.col("row")["text"]
+    joined = rows.join(spans, F.col("row")["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_print")), "left")
+    cut = F.expr("aggregate(_spans, row.text, (t, s) -> concat(substring(t, 1, s.start), '" + mask.replace("'", "\\'") + "', substring(t, s.stop + 1)))")
+    clean = F.when(F.col("_spans").isNull(), text).otherwise(cut)
+    out = {c: F.col("row")[c] for c in docs.columns} | {"text": clean}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
+        out["n_chars"] = F.when(F.col("_spans").isNull(), out["n_chars"]).otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
     return joined.select(*[x.alias(c) for c, x in out.items()])
 
 

@@ -105,3 +105,37 @@ def test_query(spark):
     want = {(i, m[0]) for i, t in texts.items() for m in strict.finditer(t or "")}
     got = {(r.doc_id, r.finding) for r in QUERIES["op1_secret_forest"](spark, folder).collect()}
     assert want <= got and len(got - want) <= 0.05 * len(want) + 1
+
+
+def test_keys_between_letters_of_other_scripts():
+    key = "AKIA" + "Q2" * 8
+    for text, value in (
+        (f"密钥{key}。", key),
+        (f"é{key}ü", key),
+        ("postgres://app:v9$Kq!2mZx@db.example.com/x", "v9$Kq!2mZx"),
+        ("Passwort: v9$Kq!2m end", "v9$Kq!2m"),
+        ("пароль：v9$Kq!2m", "v9$Kq!2m"),
+    ):
+        assert value in {text[a:b] for a, b in sf.candidates_of(text)}, text
+
+
+def test_features_read_whole_values():
+    corpus = sf.Corpus(["path", "some"], {("p", "a"): 5, ("a", "t"): 5, ("t", "h"): 5})
+    long = "some/path/" * 40
+    plain, keyed = (sf.features(long + tail, "", "", "", corpus) for tail in ("some/path/" * 8, "9fQ2xZ7bK1" * 8))
+    assert plain[:1] == keyed[:1] and plain[1] < keyed[1] and plain[5] < keyed[5] and plain[6] > keyed[6] and plain[7] > keyed[7]
+
+
+def test_transitions_come_from_all_words(spark):
+    rows = [("aa " * 300_000 + " zyzzyva étude",)]
+    corpus = sf.learn_corpus(spark.createDataFrame(rows, "text string"))
+    assert "zyzzyva" not in corpus.words and ("z", "y") in corpus.log and ("é", "t") in corpus.log
+
+
+def test_any_other_column_may_clash(spark):
+    key = "AKIA" + "Q2" * 8
+    ddl = "doc_id long, text string, _id long, _print string, _spans string, row string, a string"
+    docs = spark.createDataFrame([(1, f"a {key}", 7, "p", "s", "r", "x"), (2, "nothing", 8, None, None, None, None)], ddl)
+    got = sf.redact(docs)
+    assert got.schema == docs.schema
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a [SECRET]", 7, "p", "s", "r", "x"), (2, "nothing", 8, None, None, None, None)]
