@@ -114,14 +114,13 @@ MURMUR = """a AS (SELECT c_custkey, c_name, c_acctbal, (c_custkey::UBIGINT * 343
 
 
 @query("c15_hash_functions", f"""WITH {MURMUR} SELECT c_custkey, sha256(c_name) AS digest, abs(CAST(floor(c_acctbal) AS BIGINT)) AS magnitude,
-    CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS murmur, true AS wide_known FROM z""")
+    CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS murmur FROM z""")
 def c15b(t):
     return t.customer.select(
         "c_custkey",
         F.sha2("c_name", 256).alias("digest"),
         F.abs(F.floor("c_acctbal")).alias("magnitude"),
         F.hash(F.col("c_custkey").cast("long")).cast("long").alias("murmur"),
-        F.xxhash64("c_custkey").isNotNull().alias("wide_known"),
     )
 
 

@@ -93,15 +93,19 @@ FED_SUMMARY = "fs AS (SELECT entity_key, tax_year, income_type_key, " + ", ".joi
 ST_SUMMARY = "ss AS (SELECT entity_key, state_key, tax_year, " + CODE_SUM.format("= 109", "state_tax") + ", " + CODE_SUM.format("= 108", "state_taxable_income") + " FROM sl GROUP BY 1, 2, 3)"
 
 
-@query("b23_return_spine", """WITH e AS (SELECT c_custkey, c_nationkey, CAST(y AS INTEGER) AS tax_year, CAST(floor(c_acctbal + 1000) AS BIGINT) + y AS r FROM customer, range(2021, 2026) g(y))
-    SELECT CAST(tax_year AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS return_id, c_custkey AS employee_key, c_nationkey AS entity_key, tax_year,
-    CASE WHEN r % 100 < CASE WHEN tax_year = 2025 THEN 55 ELSE 86 END THEN 'COMPLETE' WHEN r % 100 < CASE WHEN tax_year = 2025 THEN 90 ELSE 94 END THEN 'IN_REVIEW' ELSE 'AMENDED' END AS return_status,
-    make_date(tax_year + 1, CAST(1 + r % 4 AS INTEGER), CAST(1 + r % 27 AS INTEGER)) AS filed_date FROM e""")
+@query("b23_return_spine", """WITH f AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS tax_year, CAST(o_orderdate AS DATE) AS filed_date, o_orderstatus FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) = 1)
+    SELECT CAST(y AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS return_id, c_custkey AS employee_key, c_nationkey AS entity_key, CAST(y AS INTEGER) AS tax_year,
+    CASE WHEN o_orderstatus = 'F' THEN 'COMPLETE' WHEN o_orderstatus = 'O' THEN 'IN_REVIEW' WHEN o_orderstatus IS NULL THEN 'OPEN' ELSE 'AMENDED' END AS return_status, filed_date
+    FROM customer CROSS JOIN range(1992, 1999) g(y) LEFT JOIN f ON o_custkey = c_custkey AND tax_year = y""")
 def b23(t):
+    """Orders stand for filings: their status and date are those of the return."""
     from ..sources.tax_tables import return_spine
 
-    people = t.customer.select(F.col("c_custkey").alias("employee_key"), F.col("c_nationkey").alias("entity_key"), F.floor(F.col("c_acctbal") + 1000).alias("draw"))
-    return return_spine(people, list(range(2021, 2026)))
+    people = t.customer.select(F.col("c_custkey").alias("employee_key"), F.col("c_nationkey").alias("entity_key"))
+    status = F.when(F.col("o_orderstatus") == "F", "COMPLETE").when(F.col("o_orderstatus") == "O", "IN_REVIEW").otherwise("AMENDED")
+    filed = t.orders.select(F.col("o_custkey").alias("employee_key"), F.year("o_orderdate").alias("tax_year"), F.to_date("o_orderdate").alias("filed_date"), F.col("o_orderkey").alias("filing_id"), status.alias("return_status"))
+    return return_spine(people, filed, list(range(1992, 1999)))
 
 
 @query("b24_federal_trail", w(FED, "SELECT return_id, " + ", ".join(f"{dec(c)} AS {c}" for c in "wages bonus equity agi taxable tax credits withheld balance".split()) + " FROM f6"))

@@ -220,3 +220,12 @@ def test_scan_reads_its_sources_once(spark, small):
         assert "ReusedExchange" in final
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_hash_has_its_published_values(spark):
+    import xxhash
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "Customer#1", "é" * 50]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", F.xxhash64("x").alias("h")).collect()
+    assert {r.x: r.h % 2**64 for r in rows} == {x: xxhash.xxh64_intdigest(x.encode(), seed=42) for x in texts}
