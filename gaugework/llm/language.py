@@ -30,6 +30,8 @@ from .common import query, stored, table
 #: Characters that regular expressions take for parts of words, but that are numbers (fractions, Roman numerals, circled digits).
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
 WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: The same but for those numbers; twenty times as fast, as the class has no long list.
+_RUN = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 WORD_SHARE, GRAM_SHARE = 1e-5, 1e-4
 #: Words that count as independent evidence in the reported score.
@@ -39,6 +41,14 @@ MIN_SCORE = 0.5
 _HELD, _PASSED, _REMEMBERED = 150_000, 10_000, 500_000
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-cased runs of letters, in order."""
+    runs = _RUN.findall(text.lower())
+    if "".join(runs).isalpha():
+        return runs
+    return [word for run in runs for word in ([run] if run.isalpha() else WORD.findall(run))]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
@@ -50,7 +60,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
         held: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                held.setdefault(lang.as_py(), Counter()).update(WORD.findall(text.as_py().lower()))
+                held.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
                 if sum(map(len, held.values())) > _HELD:
                     yield from flush(held)
         yield from flush(held)
@@ -139,7 +149,7 @@ class Scorer:
         self.model, self.most, self.rows = model, most, _Rows(model)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall((text or "").lower())
+        words = words_of(text or "")
         if not words or not self.model.langs:
             return "und", 0.0
         if len(self.rows) > self.most:

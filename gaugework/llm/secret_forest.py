@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import query, stored, table
-from .language import WORD
+from .language import words_of
 
 TOKEN = re.compile(r"\S{16,}")
 CORE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
@@ -166,7 +166,7 @@ def learn_corpus(docs: DataFrame, share: float = DICTIONARY_SHARE) -> Corpus:
         held: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                held.update(WORD.findall((text.as_py() or "").lower()))
+                held.update(words_of(text.as_py() or ""))
                 if len(held) > 500_000:
                     yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
                     held.clear()

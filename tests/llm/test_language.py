@@ -69,3 +69,11 @@ def test_numbers_are_no_letters(spark):
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
     assert got[0] == got[1] == ("und", 0.0) and got[2][0] != "und" and got[3][0] != "und"
     assert all(language.WORD.fullmatch(c) is None for c in "½²Ⅷ①५٣_") and all(language.WORD.fullmatch(c) for c in "aßé一あب")
+
+
+def test_words_are_runs_of_letters():
+    from gaugework.llm.language import WORD, words_of
+
+    odd = "".join(chr(c) for c in range(0x3000)) + "\U0001d7d8a\U00010107b十二 ½x²y Ⅷ①z İK snake_case a1b"
+    for text in ("", "½ ² Ⅷ", odd, odd[::-1], "plain words, 12 of them", "x½"):
+        assert words_of(text) == WORD.findall(text.lower())
