@@ -35,10 +35,10 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH) -> PipelineModel:
-    """Boosted trees on the train split, stopped early on the validation split. Each split must hold both classes.
+def training_rows(data: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``features, label, held_out, weight`` of the train and validation splits, which must hold both classes.
 
-    The training rows are written once to the shared folder: every boosting round reads them
+    The rows are written once to the shared folder: every boosting round reads them
     again, and a written table survives the loss of executors.
     """
     spark = data.sparkSession
@@ -48,24 +48,30 @@ def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees:
     rows.select(*features, F.col(label).cast("double").alias("label"), (F.col("dataset_split") == "validation").alias("held_out")).write.parquet(path)
     stored = spark.read.parquet(path)
     weight = class_weight(stored.where("NOT held_out"), "label").select("positive_weight").scalar()
-    weighted = stored.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0))
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="vector"),
-        GBTClassifier(
-            featuresCol="vector",
-            labelCol="label",
-            weightCol="weight",
-            validationIndicatorCol="held_out",
-            maxIter=trees,
-            maxDepth=depth,
-            stepSize=LEARNING_RATE,
-            subsamplingRate=SUBSAMPLE,
-            minInstancesPerNode=ROWS_PER_LEAF,
-            featureSubsetStrategy=FEATURES_PER_SPLIT,
-            seed=SEED,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+    return stored.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0))
+
+
+def boosted(features: Sequence[str], trees: int, depth: int, **more) -> Pipeline:
+    """Boosted trees over the rows of ``training_rows``."""
+    ensemble = GBTClassifier(
+        featuresCol="vector",
+        labelCol="label",
+        weightCol="weight",
+        maxIter=trees,
+        maxDepth=depth,
+        stepSize=LEARNING_RATE,
+        subsamplingRate=SUBSAMPLE,
+        minInstancesPerNode=ROWS_PER_LEAF,
+        featureSubsetStrategy=FEATURES_PER_SPLIT,
+        seed=SEED,
+        **more,
+    )
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="vector"), ensemble])
+
+
+def fit_classifier(data: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH) -> PipelineModel:
+    """Boosted trees on the train split, stopped early by the loss on the validation split."""
+    return boosted(features, trees, depth, validationIndicatorCol="held_out").fit(training_rows(data, features, label))
 
 
 def score(df: DataFrame, fitted: PipelineModel, features: Sequence[str]) -> DataFrame:

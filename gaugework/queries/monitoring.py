@@ -16,7 +16,7 @@ from ..operators.ranking import alert_metrics, ranking_metrics, threshold_by_f1
 from ..operators.temporal import with_neighbours
 from ..session import scratch_path
 from ..streaming import ingest, outcomes as live
-from ..plans import model, monitoring as mon, snapshots as snap
+from ..plans import model, monitoring as mon, snapshots as snap, staged
 from .fleet import LABELLED, POINTS, SPANS, TIMED, WINDOWS, fleet_inputs
 from .registry import query
 from .roles import THRESHOLD, failures, ntz, predictions, sql
@@ -182,12 +182,34 @@ def snapshot_rows(t):
 
 @query("j05_train_and_evaluate")
 def j05(t):
-    """Distributed boosted trees with a class weight and a validation split; metrics on the test split."""
+    """Boosted trees with a class weight, stopped by average precision on the validation split; metrics on the test split."""
     data = snapshot_rows(t)
-    fitted = model.fit_classifier(data, FEATURES, snap.LABEL)
+    fitted, _ = staged.fit_stopped(data, FEATURES, snap.LABEL)
     return model.evaluate(data, fitted, FEATURES, snap.LABEL)
 
 
+@query("j05_stopping_curve")
+def j05d(t):
+    """Average precision of every round that was judged, and the round whose model is kept."""
+    _, curve = staged.fit_stopped(snapshot_rows(t), FEATURES, snap.LABEL)
+    return curve.select("round", r6("average_precision").alias("average_precision"), "best_round", "chosen")
+
+
+@query("j05_stopping_rule", """WITH z AS (SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS round, CAST(floor(value) AS INTEGER) % 100 / 100.0::DOUBLE AS score, CAST(event_type = 'error' AS INTEGER) AS y FROM events
+    WHERE ts IS NOT NULL AND value IS NOT NULL AND event_type IS NOT NULL), k AS (SELECT round, score, sum(y) AS pos, count(*) AS n FROM z GROUP BY 1, 2),
+    u AS (SELECT round, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS alerts FROM k WINDOW w AS (PARTITION BY round ORDER BY score DESC)),
+    a AS (SELECT round, coalesce(sum(pos * tp / alerts) / nullif(sum(pos), 0), 0) AS ap FROM u GROUP BY 1),
+    b AS (SELECT a.round, a.ap, e.round AS best_round FROM a JOIN a e ON e.round <= a.round QUALIFY row_number() OVER (PARTITION BY a.round ORDER BY e.ap DESC, e.round) = 1),
+    s AS (SELECT coalesce(min(round) FILTER (WHERE round - best_round >= 5), max(round)) AS stop FROM b)
+    SELECT b.round, round(b.ap, 6) AS average_precision, b.best_round, b.round = (SELECT best_round FROM b, s WHERE round = stop) AS chosen FROM b, s WHERE b.round <= stop""")
+def j05e(t):
+    """The rule on a curve by day: scores of a day are a round's, and five days without a better one end it."""
+    day = F.datediff("ts", F.lit("2024-01-01").cast("date")) + 1
+    rows = t.events.select(day.alias("round"), (F.pmod(F.floor("value"), F.lit(100)) / F.lit(100.0)).alias("score"), (F.col("event_type") == "error").cast("int").alias("y"))
+    curve = staged.stopping_curve(staged.average_precision_by(rows, "round", "score", "y"), 5)
+    return curve.where("evaluated").select("round", r6("average_precision").alias("average_precision"), "best_round", "chosen")
+
+
 SPLIT = WINDOWS, POINTS, TIMED, *LABELLED
 
 
