@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import having_none
 from ..session import scratch_path
-from ..sources import cursor, layout, sinks, statistics, tables
+from ..sources import cursor, feed, layout, sinks, statistics, tables
+from ..streaming import ingest
 from .registry import query
 from .roles import ntz, predictions, sql
 
@@ -314,3 +315,18 @@ def a17(t):
 def a17b(t):
     nothing = t.events.where(F.lit(False)).select("event_id")
     return cursor.next_cursor(cursor.incremental_slice(t.events, "ts", "event_id", nothing, None, NOW), "ts")
+
+
+@query("a17_stream_from_cursor", """WITH c AS (SELECT max(ts) AS c FROM events WHERE ts <= TIMESTAMP '2024-01-20' AND event_type <> 'error')
+    SELECT event_id, user_id, ts FROM events, c WHERE CASE WHEN ts <= TIMESTAMP '2024-01-20' AND event_type <> 'error' THEN ts >= c - INTERVAL 10 DAYS ELSE ts >= c - INTERVAL 6 HOURS END""")
+def a17c(t):
+    """The first catch-up goes ten days back, the second one takes what has come since; errors come late."""
+    base = scratch_path(t.spark, "a17")
+    kind = t.events.schema["ts"].dataType
+    first = F.coalesce((F.col("ts") <= ntz(LAST)) & (F.col("event_type") != "error"), F.lit(False))
+    for arrival in (first, ~first):
+        rows = t.events.where(arrival).select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+        rows.write.mode("append").parquet(f"{base}/feed")
+        sink = ingest.insert_only_sink(f"{base}/store", f"{base}/progress", ["event_id"], (), lambda batch: batch)
+        ingest.catch_up(feed.range_stream(t.spark, f"{base}/feed", rows.schema, "ts", backfill="10 days"), sink, f"{base}/progress")
+    return sinks.read_store(t.spark, f"{base}/store", rows.schema).select("event_id", "user_id", F.col("ts").cast(kind).alias("ts"))
