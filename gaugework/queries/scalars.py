@@ -111,16 +111,26 @@ MURMUR = """a AS (SELECT c_custkey, c_name, c_acctbal, (c_custkey::UBIGINT * 343
     g AS (SELECT *, (xor(n, n >> 16) * 2246822507) & 4294967295 AS o FROM f),
     h AS (SELECT *, (xor(o, o >> 13) * 3266489909) & 4294967295 AS p FROM g),
     z AS (SELECT *, xor(p, p >> 16)::BIGINT AS u FROM h)"""
-
-
-@query("c15_hash_functions", f"""WITH {MURMUR} SELECT c_custkey, sha256(c_name) AS digest, abs(CAST(floor(c_acctbal) AS BIGINT)) AS magnitude,
-    CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS murmur FROM z""")
+# 64-bit xxHash of a long of 8 bytes with seed 42 (42 + 2870177450012600261 + 8), step by step in unsigned 128-bit numbers
+XXHASH = f"""{MURMUR},
+    xa AS (SELECT *, (c_custkey::UHUGEINT * 14029467366897019727) & 18446744073709551615 AS xk FROM z),
+    xb AS (SELECT *, ((((xk << 31) & 18446744073709551615) | (xk >> 33)) * 11400714785074694791) & 18446744073709551615 AS xm FROM xa),
+    xc AS (SELECT *, xor(2870177450012600311::UHUGEINT, xm) AS xh FROM xb),
+    xd AS (SELECT *, ((((xh << 27) & 18446744073709551615) | (xh >> 37)) * 11400714785074694791 + 9650029242287828579) & 18446744073709551615 AS xi FROM xc),
+    xe AS (SELECT *, (xor(xi, xi >> 33) * 14029467366897019727) & 18446744073709551615 AS xj FROM xd),
+    xf AS (SELECT *, (xor(xj, xj >> 29) * 1609587929392839161) & 18446744073709551615 AS xo FROM xe),
+    xz AS (SELECT *, xor(xo, xo >> 32)::HUGEINT AS xu FROM xf)"""
+
+
+@query("c15_hash_functions", f"""WITH {XXHASH} SELECT c_custkey, sha256(c_name) AS digest, abs(CAST(floor(c_acctbal) AS BIGINT)) AS magnitude,
+    CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS murmur, CAST(CASE WHEN xu >= 9223372036854775808 THEN xu - 18446744073709551616 ELSE xu END AS BIGINT) AS wide FROM xz""")
 def c15b(t):
     return t.customer.select(
         "c_custkey",
         F.sha2("c_name", 256).alias("digest"),
         F.abs(F.floor("c_acctbal")).alias("magnitude"),
         F.hash(F.col("c_custkey").cast("long")).cast("long").alias("murmur"),
+        F.xxhash64(F.col("c_custkey").cast("long")).alias("wide"),
     )
 
 

@@ -229,3 +229,13 @@ def test_wide_hash_has_its_published_values(spark):
     texts = ["", "a", "Customer#1", "é" * 50]
     rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", F.xxhash64("x").alias("h")).collect()
     assert {r.x: r.h % 2**64 for r in rows} == {x: xxhash.xxh64_intdigest(x.encode(), seed=42) for x in texts}
+
+
+def test_hash_functions_give_the_wide_hash_of_every_key(spark, small):
+    from compare import connect, differences
+
+    from gaugework.queries import ORACLES, QUERIES
+
+    found = QUERIES["c15_hash_functions"](spark, small)
+    assert found.where(~F.col("wide").eqNullSafe(F.xxhash64(F.col("c_custkey").cast("long")))).count() == 0
+    assert differences(found, connect(small), ORACLES["c15_hash_functions"]) == []
