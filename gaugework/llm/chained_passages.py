@@ -1,12 +1,11 @@
 """Repeated passages across documents, exact or fuzzy, by collinear chaining of shared seeds.
 
 Seeds are five-word shingles that are minimal among ``window`` neighbours (minimizers), so that any run of
-``window`` + 4 equal words in two texts shares one. Every occurrence of a seed is linked to the seed's
-occurrence in the smallest node and to the one in the nearest smaller node (nodes are digests of a text's
-words), never to all others: the number of these links is at most twice the number of seeds, and all
-occurrences of a seed hang together. Where the seeds of a passage are in other texts too, each in different ones,
-these links scatter; so the runs of up to ``RUN`` seeds that occur in several texts (others are skipped) are
-sorted as well and linked to their neighbours: texts that alone share a run are next to each other. The links of two texts are anchors; chains of anchors that rise
+``window`` + 4 equal words in two texts shares one. Nodes are digests of a text's words. A seed of up to ``PAIRS_TO``
+texts links all of them with each other. In one of more texts, every text is linked to the smallest node and to the
+nearest smaller one first; where texts share the seed but no passage over it with the smallest one, they are compared with
+all others of the seed, in blocks: pairs whose words around the seed are alike, word by word or by a chain of common seeds,
+are linked until they hang together, so that no link between different passages is lost. The links of two texts are anchors; chains of anchors that rise
 in both texts, with a cost for gaps, are found with a Fenwick tree over the positions in the second text
 in O(n log n). Each chain is then aligned word by word between its anchors and extended at both ends. A
 passage is reported when it has at least ``min_words`` words and ``similarity`` of them are aligned to
@@ -26,12 +25,11 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import lookup, query, stored, table
 from .words import HASHES, SHINGLE, shingles
@@ -45,8 +43,10 @@ LONGEST_GAP = 32
 #: is dealt into parts only from a share of all seeds on, so that at most 1 / COMMON_SHARE of them reach the driver.
 SAMPLED, ROWS_PER_PART, COMMON_SHARE = 100, 1000, 1e-6
 CHAINS_A_PART = 200
-#: Seeds that a run is sorted by, some 170 words.
-RUN = 32
+#: Runs of a seed (its occurrences near each other in one text) up to which all pairs are linked at once.
+PAIRS_TO = 16
+#: Occurrences of a seed that one group of the later comparison takes from either side.
+BLOCK = 8192
 #: Words around a chain that its alignment may extend into.
 MARGIN = 64
 
@@ -63,173 +63,319 @@ def _node(words: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _nodes(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, print, node, n for every row of enough words."""
+def _seeded(docs: DataFrame, window: int, min_words: int) -> DataFrame:
+    """doc_id, print, node, n, keys, places (eight and four bytes a seed) for every row of enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, nodes, sizes = [], [], []
-            for row, text in enumerate(batch.column(2)):
-                words = HASHES.text(text.as_py())
-                if len(words) >= min_words:
-                    at.append(row)
-                    nodes.append(_node(words))
-                    sizes.append(len(words))
-            pick = pa.array(at, pa.int64())
-            columns = [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n"])
+            for low in range(0, batch.num_rows, 2000):
+                part = batch.slice(low, 2000)
+                at, nodes, sizes, keys, places = [], [], [], [], []
+                for row, text in enumerate(part.column(2)):
+                    words = HASHES.text(text.as_py())
+                    if len(words) >= min_words:
+                        own = shingles(words)
+                        spots = minimizers(own, window)
+                        at.append(row)
+                        nodes.append(_node(words))
+                        sizes.append(len(words))
+                        keys.append(own[spots].tobytes())
+                        places.append(spots.astype(np.int32).tobytes())
+                pick = pa.array(at, pa.int64())
+                columns = [part.column(0).take(pick), part.column(1).take(pick), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "print", "node", "n", "keys", "places"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "print", "text").mapInArrow(run, f"doc_id {kind}, print bigint, node bigint, n int")
+    return docs.select("doc_id", "print", "text").mapInArrow(run, f"doc_id {kind}, print bigint, node bigint, n int, keys binary, places binary")
 
 
-def seeds(texts: DataFrame, window: int, min_words: int, common: dict[int, int] | None = None) -> DataFrame:
-    """key, part, node, at: the seeds of every row of ``texts`` (text); ``common`` says into how many parts a key is dealt."""
-    shared = texts.sparkSession.sparkContext.broadcast(common or {})
+def seeds(rows: DataFrame, common: dict[int, int] | None = None) -> DataFrame:
+    """key, part, node, at: the seeds of every row of ``rows``; ``common`` says into how many parts a key is dealt."""
+    shared = rows.sparkSession.sparkContext.broadcast(common or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = np.array(sorted(shared.value), dtype=np.int64)
         parts = np.array([shared.value[k] for k in many.tolist()], dtype=np.int64)
         for batch in batches:
-            keys, nodes, places, size = [], [], [], 0
-            for text in batch.column(0):
-                words = HASHES.text(text.as_py())
-                if len(words) < min_words:
-                    continue
-                own = shingles(words)
-                at = minimizers(own, window)
-                keys.append(own[at].view(np.int64))
-                nodes.append(np.full(len(at), _node(words), dtype=np.int64))
-                places.append(at.astype(np.int32))
-                size += len(at)
-                if size > 500_000:
-                    yield rows(keys, nodes, places, many, parts)
-                    keys, nodes, places, size = [], [], [], 0
-            if keys:
-                yield rows(keys, nodes, places, many, parts)
-
-    def rows(keys, nodes, places, many, parts) -> pa.RecordBatch:
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        part = np.zeros(len(key), dtype=np.int32)
-        if len(many):
-            at = np.minimum(np.searchsorted(many, key), len(many) - 1)
-            hit = many[at] == key
-            part[hit] = 1 + ((node[hit].view(np.uint64) >> np.uint64(20)) % parts[at[hit]].astype(np.uint64)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, part, node, np.concatenate(places))], names=["key", "part", "node", "at"])
-
-    return texts.select("text").mapInArrow(run, "key bigint, part int, node bigint, at int")
-
-
-def _common_seeds(texts: DataFrame, window: int, min_words: int, sampled: int, rows_per_part: int) -> dict[int, int]:
+            for low in range(0, batch.num_rows, 2000):
+                held = batch.slice(low, 2000)
+                places = [np.frombuffer(x, dtype=np.int32) for x in held.column("places").to_pylist()]
+                key = np.frombuffer(b"".join(held.column("keys").to_pylist()), dtype=np.int64)
+                node = np.repeat(held.column("node").to_numpy(), [len(x) for x in places])
+                part = np.zeros(len(key), dtype=np.int32)
+                if len(many):
+                    at = np.minimum(np.searchsorted(many, key), len(many) - 1)
+                    hit = many[at] == key
+                    part[hit] = 1 + ((node[hit].view(np.uint64) >> np.uint64(20)) % parts[at[hit]].astype(np.uint64)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, part, node, np.concatenate(places))], names=["key", "part", "node", "at"])
+
+    return rows.select("keys", "places", "node").mapInArrow(run, "key bigint, part int, node bigint, at int")
+
+
+def _common_seeds(rows: DataFrame, sampled: int, rows_per_part: int) -> dict[int, int]:
     """Seeds of more than about ``rows_per_part`` occurrences and how many parts they get, a power of two so that
     the seeds of one passage are mostly dealt alike."""
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(sampled)) == 0)
-    counts = stored(seeds(some, window, min_words).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seed-sample")
+    some = rows.where(F.pmod(F.xxhash64("node"), F.lit(sampled)) == 0)
+    counts = stored(seeds(some).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seed-sample")
     least = max(rows_per_part / sampled, COMMON_SHARE * (counts.agg(F.sum("n")).first()[0] or 0))
     return {r["key"]: 1 << (int(r["n"] * sampled / rows_per_part)).bit_length() for r in counts.where(F.col("n") > least).collect()}
 
 
-def seed_links(found: DataFrame) -> DataFrame:
-    """node, other, p, q: a seed at p of node is at q of other; other < node."""
-    before = Window.partitionBy("key", "part").orderBy("node").rangeBetween(Window.unboundedPreceding, -1)
-    spot = F.struct("node", "at")
-    every = Window.partitionBy("key", "part")
-    linked = found.select(
-        *("key", "part", "node", "at"), F.min(spot).over(before).alias("first"), F.max(spot).over(before).alias("last"), (F.min("node").over(every) < F.max("node").over(every)).alias("shared")
-    )
-    linked = stored(linked.where("shared or part > 0"), "seed-links")
-    both = F.explode(F.array_distinct(F.array("first", "last"))).alias("o")
-    near = linked.where("first is not null").select("node", F.col("at").alias("p"), both).select("node", F.col("o.node").alias("other"), "p", F.col("o.at").alias("q"))
-    # parts of a common seed count from 1: the smallest occurrence of each is linked to the smallest of all
-    heads = linked.where("part > 0").groupBy("key", "part").agg(F.min(F.coalesce(F.col("first"), spot)).alias("head"))
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted batches, dealt anew so that rows equal in the first ``by`` columns come together."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        if held and all(c[-1] == h[-1] for c, h in zip(columns[:by], held[-1][:by], strict=True)):
+            held.append(columns)
+            continue
+        whole = [np.concatenate(x) for x in zip(*held, columns, strict=True)]
+        change = np.zeros(len(whole[0]) - 1, dtype=bool)
+        for c in whole[:by]:
+            change |= c[1:] != c[:-1]
+        edges = np.nonzero(change)[0]
+        cut = int(edges[-1]) + 1 if len(edges) else 0
+        if cut:
+            yield [c[:cut] for c in whole]
+        held = [[c[cut:] for c in whole]]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _links_of(key: np.ndarray, part: np.ndarray, node: np.ndarray, at: np.ndarray, pairs_to: int) -> list[np.ndarray]:
+    """node, other, p, q, key, kind of whole groups (key, part), sorted by node and at.
+
+    The occurrences of a seed in one text that are near each other form a run; two runs are linked occurrence by
+    occurrence. Groups of at most ``pairs_to`` runs: all pairs. Others: to the first run (kind 1)
+    and to the last one of the text before (kind 2).
+    """
+    same = np.zeros(len(key), dtype=bool)
+    same[1:] = (key[1:] == key[:-1]) & (part[1:] == part[:-1]) & (node[1:] == node[:-1])
+    fresh = np.ones(len(key), dtype=bool)
+    fresh[1:] = ~same[1:] | (at[1:] != at[:-1])
+    key, part, node, at, same = (x[fresh] for x in (key, part, node, at, same))
+    new_run = ~same
+    new_run[1:] |= np.diff(at) > LONGEST_GAP + SHINGLE
+    start = np.nonzero(new_run)[0]
+    length = np.diff(np.append(start, len(key)))
+    key, part, node = key[start], part[start], node[start]
+    first = np.ones(len(start), dtype=bool)
+    first[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+    heads = np.nonzero(first)[0]
+    group = np.cumsum(first) - 1
+    sizes = np.diff(np.append(heads, len(start)))
+    hot = (sizes > pairs_to) | (part[heads] > 0)
+    spots, end = np.arange(len(start)), (heads + sizes)[group]
+    low, high = [], []
+    cold = spots[~hot[group]]
+    for step in range(1, pairs_to):
+        cold = cold[cold + step < end[cold]]
+        if not len(cold):
+            break
+        low.append(cold)
+        high.append(cold + step)
+    warm = spots[hot[group]]
+    before = warm[warm > heads[group[warm]]]
+    own = np.ones(len(start), dtype=bool)  # runs of one node in a group: all are linked to the last run of the node before
+    own[1:] = first[1:] | (node[1:] != node[:-1])
+    begin = np.maximum.accumulate(np.where(own, spots, 0))
+    last = begin[before] - 1
+    none = last < heads[group[before]]
+    to_first, to_last = heads[group[before]], np.where(none, heads[group[before]], last)
+    apart = to_last != to_first
+    a = np.concatenate([*low, to_first, to_last[apart]]).astype(np.int64)
+    b = np.concatenate([*high, before, before[apart]]).astype(np.int64)
+    kind = np.zeros(len(a), dtype=np.int32)
+    kind[len(a) - int(apart.sum()) :] = 2
+    kind[len(a) - len(before) - int(apart.sum()) : len(a) - int(apart.sum())] = 1
+    keep = node[a] != node[b]
+    a, b, kind = a[keep], b[keep], kind[keep]
+    many = np.minimum(length[a], length[b])
+    row = np.repeat(np.arange(len(a)), many)
+    rank = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    return [node[b][row], node[a][row], at[start[b][row] + rank], at[start[a][row] + rank], key[a][row], np.where(rank == 0, kind[row], 0)]
+
+
+def seed_links(found: DataFrame, pairs_to: int = PAIRS_TO) -> DataFrame:
+    """node, other, p, q, key, kind: the seed key at p of node is at q of other; other < node. Where not all texts of a seed
+    are linked with each other, kind is 1 for links to the first text, 2 to the one before, 3 between parts; else 0."""
+    names = ["node", "other", "p", "q", "key", "kind"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _whole_groups(batches, 2):
+            *links, key, kind = _links_of(*columns, pairs_to)
+            heads = np.nonzero(columns[1] > 0)[0]
+            if len(heads):  # parts of a common seed count from 1: their first occurrences are linked afterwards
+                own = np.ones(len(heads), dtype=bool)
+                own[1:] = (columns[0][heads[1:]] != columns[0][heads[:-1]]) | (columns[1][heads[1:]] != columns[1][heads[:-1]])
+                heads = heads[own]
+            arrays = [pa.concat_arrays([pa.array(x), pa.array(y)]) for x, y in zip(links[::2], (columns[2][heads], columns[3][heads]), strict=True)]
+            other, q = (pa.concat_arrays([pa.array(x), pa.nulls(len(heads), sort)]) for x, sort in ((links[1], pa.int64()), (links[3], pa.int32())))
+            keys, kinds = np.append(key, columns[0][heads]), np.append(kind, np.full(len(heads), 3)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([arrays[0], other, arrays[1], q, pa.array(keys), pa.array(kinds)], names=names)
+
+    ordered = found.repartition("key", "part").sortWithinPartitions("key", "part", "node", "at")
+    linked = stored(ordered.mapInArrow(run, "node bigint, other bigint, p int, q int, key bigint, kind int"), "seed-links")
+    heads = linked.where("other is null").select("key", F.struct("node", F.col("p").alias("at")).alias("head"))
     low = heads.groupBy("key").agg(F.min("head").alias("low"))
     across = heads.join(low, "key").where("head.node <> low.node")
-    across = across.select(F.col("head.node").alias("node"), F.col("low.node").alias("other"), F.col("head.at").alias("p"), F.col("low.at").alias("q"))
-    return near.unionByName(across).unionByName(run_links(linked))
-
-
-def _runs(shared: DataFrame) -> DataFrame:
-    """key, tail, node, at, left, steps for every shared seed: the seeds after it (four bytes each), the one before, and the
-    distances in words to those after it."""
+    across = across.select(F.col("head.node").alias("node"), F.col("low.node").alias("other"), F.col("head.at").alias("p"), F.col("low.at").alias("q"), "key", F.lit(3).alias("kind"))
+    return linked.where("other is not null").unionByName(across)
+
+
+def unsettled(links: DataFrame, repeated: DataFrame) -> DataFrame:
+    """key, node, at, root, n of the seeds whose texts were not all linked and don't all share a passage over that seed with
+    the first one; those that do have its node as their root, others their own. n is the number of occurrences."""
+    hot = links.where("kind > 0")
+    over = (F.col("p") >= F.col("start")) & (F.col("p") < F.col("stop")) & (F.col("q") >= F.col("src_start")) & (F.col("q") < F.col("src_stop"))
+    settled = stored(hot.where("kind <> 2").join(repeated, ["node", "other"]).where(over).select("key", "kind", "node", F.col("p").alias("at"), "other").distinct(), "settled")
+    ends = hot.select("key", "node", F.col("p").alias("at")).unionByName(hot.select("key", F.col("other").alias("node"), F.col("q").alias("at"))).distinct()
+    first = settled.where("kind = 1").select("key", "node", "at", F.col("other").alias("head"))
+    lowest = settled.where("kind = 3").groupBy("key", F.col("node").alias("head")).agg(F.min("other").alias("low"))
+    placed = ends.join(first, ["key", "node", "at"], "left").withColumn("head", F.coalesce("head", "node"))
+    placed = placed.join(lowest, ["key", "head"], "left").select("key", "node", "at", F.coalesce("low", "head").alias("root"))
+    placed = stored(placed, "seed-roots")
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return placed.join(sizes.where("low < high").select("key", "n"), "key")
+
+
+def _stretches(members: DataFrame, texts: DataFrame, window: int, reach: int) -> DataFrame:
+    """``members`` with the words around their seed (four bytes each, 0 outside of the text) and the seeds near it: keys of
+    eight bytes, places from the seed's of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, listed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at, keys = (np.array(listed.values.field(x)) for x in ("at", "key"))
-                steps = np.diff(at)
-                breaks = np.nonzero(steps > LONGEST_GAP + SHINGLE)[0] + 1
-                places = np.arange(len(at))
-                stops = np.append(breaks, len(at))[np.searchsorted(breaks, places, side="right")]
-                stops = np.minimum(stops, places + RUN).tolist()
-                short, small = (keys & 0xFFFFFFFF).astype(">u4").tobytes(), np.minimum(steps, 255).astype(np.uint8).tobytes()
-                broken = set(breaks.tolist()) | {0}
-                tails = [short[4 * i + 4 : 4 * stop] for i, stop in enumerate(stops)]
-                lefts = [b"" if i in broken else short[4 * i - 4 : 4 * i] for i in range(len(at))]
-                gaps = [small[i : stop - 1] for i, stop in enumerate(stops)]
-                columns = [pa.array(keys), pa.array(tails, pa.binary()), pa.array([node] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(lefts, pa.binary()), pa.array(gaps, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "tail", "node", "at", "left", "steps"])
-
-    grouped = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("at", "key"))).alias("seeds"))
-    return grouped.mapInArrow(run, "key bigint, tail binary, node bigint, at int, left binary, steps binary")
-
-
-def _run_anchors(row: tuple, before: tuple) -> list[tuple[int, int, int, int]]:
-    """node, other, p, q of the seeds that two runs begin with, if more than one. Where the seeds before are equal too, the
-    runs that begin there give all but the last seed of a full run."""
-    key, tail, node, at, left, steps = row
-    if before[0] != key or before[2] == node:
-        return []
-    same, top = 0, min(len(tail), len(before[1])) // 4
-    while same < top and tail[4 * same : 4 * same + 4] == before[1][4 * same : 4 * same + 4]:
-        same += 1
-    if not same or (left and left == before[4] and same < RUN - 1):
-        return []
-    p, q = at + np.cumsum([0, *steps[:same]]), before[3] + np.cumsum([0, *before[5][:same]])
-    pairs = list(zip(p.tolist(), q.tolist(), strict=True))
-    if left and left == before[4]:
-        pairs = pairs[-1:]
-    return [(node, before[2], x, y) if before[2] < node else (before[2], node, y, x) for x, y in pairs]
+            out: list[tuple] = []
+            for node, listed, text in zip(batch.column("node").to_pylist(), batch.column("listed"), batch.column("text"), strict=True):
+                words = HASHES.text(text.as_py())
+                own = shingles(words)
+                spots = minimizers(own, window)
+                outside = np.zeros(reach, dtype=np.uint32)
+                short = np.concatenate([outside, (words >> np.uint64(32)).astype(np.uint32) | np.uint32(2), outside])
+                for x in listed.as_py():
+                    at = x["at"]
+                    low, high = np.searchsorted(spots, [at - LONGEST_GAP - SHINGLE, at + LONGEST_GAP + SHINGLE + 1])
+                    near = spots[low:high]
+                    out.append((x["key"], node, at, x["root"], x["n"], short[at : at + 2 * reach + SHINGLE].tobytes(), own[near].tobytes(), (near - at).astype(np.int8).tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
+
+    names = ["key", "node", "at", "root", "n", "words", "keys", "places"]
+    grouped = members.groupBy("node").agg(F.collect_list(F.struct("key", "at", "root", "n")).alias("listed"))
+    return grouped.join(texts, "node").mapInArrow(run, "key bigint, node bigint, at int, root bigint, n bigint, words binary, keys binary, places binary")
+
+
+def later_links(members: DataFrame, texts: DataFrame, window: int, min_words: int, similarity: float, block: int = BLOCK) -> DataFrame:
+    """node, other, p, q, key, kind between texts that share a seed without hanging together over it. Every pair is compared, in
+    blocks, until they hang together: ``min_words`` words around the seed are alike enough word by word, or by the alignment
+    of a chain if another common seed is near this one at another distance."""
+    reach = min_words - SHINGLE
+    rows = stored(_stretches(members, texts, window, reach), "stretches")
+    dealt = rows.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node", "at"), F.col("blocks")).cast("int"))
+    pairs = F.expr("explode(transform(sequence(0, blocks - 1), o -> named_struct('low', least(own, o), 'high', greatest(own, o))))")
+    both = dealt.withColumn("pair", pairs).select("key", "pair.*", "own", "node", "at", "root", "words", "keys", "places")
+    both = both.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+        for batch in batches:
+            for r in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if r[:3] != at:
+                    yield rows_of(_compared(group, reach, min_words, similarity))
+                    at, group = r[:3], []
+                group.append(r)
+        yield rows_of(_compared(group, reach, min_words, similarity))
 
-class _Neighbours:
-    """Rows in order, each linked to the one before it and, after rows of its own node, to the last of another node."""
+    def rows_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["node", "other", "p", "q"])
 
-    def __init__(self):
-        self.last, self.other = None, None
+    return both.mapInArrow(run, "node bigint, other bigint, p int, q int").distinct()
 
-    def anchors(self, row: tuple) -> list[tuple[int, int, int, int]]:
-        if self.last is not None and self.last[2] != row[2]:
-            self.other = self.last
-        self.last = row
-        return _run_anchors(row, self.other) if self.other is not None else []
 
+def _compared(group: list[tuple], reach: int, min_words: int, similarity: float) -> list[tuple]:
+    """Links within one group of ``later_links``, low block against high block."""
+    sides = [[r for r in group if r[3] == r[k]] for k in (1, 2)]
+    if not sides[0] or not sides[1]:
+        return []
+    names: dict[int, int] = {}
+    nodes = [np.array([r[4] for r in x]) for x in sides]
+    roots = [np.array([names.setdefault(r[6], len(names)) for r in x]) for x in sides]
+    words = [np.frombuffer(b"".join(r[7] for r in x), dtype=np.uint32).reshape(len(x), -1) for x in sides]
+    words[1] = np.where(words[1] == 0, 1, words[1])  # what is outside of a text equals nothing
+    merged = np.arange(len(names))
+    least = int(np.ceil(min_words * similarity))
+    chosen: list[tuple[int, int]] = []
+    usual = np.bincount(np.concatenate(roots)).argmax()
+
+    def compare(i: int, one: int, others: np.ndarray) -> None:
+        """Row i of a side with rows of the other one."""
+        others = others[(merged[roots[1 - one][others]] != merged[roots[one][i]]) & (nodes[1 - one][others] != nodes[one][i])]
+        if not len(others):
+            return
+        same = words[1 - one][others] == words[one][i]
+        some = np.count_nonzero(same, axis=1) >= least
+        if not some.any():
+            return
+        total = np.cumsum(same[some], axis=1, dtype=np.int16)
+        total = np.concatenate([np.zeros((len(total), 1), dtype=np.int16), total], axis=1)
+        alike = (total[:, min_words:] - total[:, :-min_words]).max(axis=1) >= least
+        for j in others[some][alike].tolist():
+            a, b = merged[roots[one][i]], merged[roots[1 - one][j]]
+            if a != b:
+                merged[merged == b] = a
+                chosen.append((i, j) if one == 0 else (j, i))
+
+    odd = [np.nonzero(x != usual)[0] for x in roots]
+    every = np.arange(len(sides[1]))
+    one_block = sides[0][0][1] == sides[0][0][2]
+    for i in odd[0].tolist():
+        compare(i, 0, every[every > i] if one_block else every)
+    plain = np.nonzero(roots[0] == usual)[0]
+    for j in odd[1].tolist():
+        compare(j, 1, plain[plain < j] if one_block else plain)
+    for i, j in _elsewhere(*sides):
+        one, two = merged[roots[0][i]], merged[roots[1][j]]
+        if one != two and nodes[0][i] != nodes[1][j]:
+            p, q = _shared(sides[0][i], sides[1][j])
+            if any(any(spans(words[0][i], words[1][j], p[x] + reach, q[x] + reach, min_words, similarity)) for x in chains(p, q)):
+                merged[merged == two] = one
+                chosen.append((i, j))
+    out = []
+    for i, j in chosen:
+        a, b = sides[0][i], sides[1][j]
+        a, b = (a, b) if a[4] > b[4] else (b, a)
+        p, q = _shared(a, b)
+        out += [(a[4], b[4], a[5] + r, b[5] + t) for r, t in zip(p.tolist(), q.tolist(), strict=True)]
+    return out
 
-def run_links(linked: DataFrame) -> DataFrame:
-    """Links of runs of shared seeds: the runs of all texts are sorted, so that those with the most seeds in common are
-    neighbours. Rows of a hot run are divided by their node; the edges of the sorted parts are linked on the driver."""
-    names = ["node", "other", "p", "q", "edge"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, edges = _Neighbours(), []
-        for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if near.last is None:
-                    edges.append(row)
-                out += near.anchors(row)
-            yield pa.RecordBatch.from_arrays([*[pa.array([r[k] for r in out], kinds[k]) for k in range(4)], pa.nulls(len(out), pa.binary())], names=names)
-        edges += [row for row in (near.other, near.last) if row is not None]
-        packed = [pickle.dumps(row) for row in edges]
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(packed), kinds[k]) for k in range(4)], pa.array(packed, pa.binary())], names=names)
-
-    ordered = stored(_runs(linked), "seed-runs").orderBy("key", "tail", "node", "at")
-    found = stored(ordered.mapInArrow(run, "node bigint, other bigint, p int, q int, edge binary"), "run-links")
-    edges = sorted({pickle.loads(r["edge"]) for r in found.where("edge is not null").select("edge").collect()})
-    near = _Neighbours()
-    across = [a for row in edges for a in near.anchors(row)]
-    spark = linked.sparkSession
-    return found.where("edge is null").drop("edge").unionByName(spark.createDataFrame(across, "node bigint, other bigint, p int, q int"))
+def _shared(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Places, from the common seed, of the seeds near it that both rows have."""
+    _, x, y = np.intersect1d(np.frombuffer(a[8], dtype=np.int64), np.frombuffer(b[8], dtype=np.int64), return_indices=True)
+    p, q = (np.frombuffer(r[9], dtype=np.int8)[z].astype(int) for r, z in ((a, x), (b, y)))
+    return p, q
+
+
+def _elsewhere(low: list[tuple], high: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Rows of low and high that have an equal seed near the common one, before both or after both, at another distance."""
+    found: dict[tuple[int, bool], list[dict[int, list[int]]]] = {}
+    for side, rows in enumerate((low, high)):
+        for i, r in enumerate(rows):
+            places = np.frombuffer(r[9], dtype=np.int8).tolist()
+            nearest: dict[tuple[int, bool], int] = {}
+            for key, place in sorted(zip(np.frombuffer(r[8], dtype=np.int64).tolist(), places, strict=True), key=lambda x: abs(x[1])):
+                if place and key != r[0]:
+                    nearest.setdefault((key, place > 0), place)
+            for spot, place in nearest.items():
+                found.setdefault(spot, [{}, {}])[side].setdefault(place, []).append(i)
+    for lows, highs in found.values():
+        for place, rows in lows.items():
+            for other_place, others in highs.items():
+                if place != other_place:
+                    yield from ((i, j) for i in rows for j in others)
 
 
 def chains(p: np.ndarray, q: np.ndarray, size: int = SHINGLE, gap: float = GAP) -> list[np.ndarray]:
@@ -297,23 +443,45 @@ def _in_line(p: np.ndarray, q: np.ndarray, order: np.ndarray, size: int, gap: fl
 
 def chained(links: DataFrame, min_words: int) -> DataFrame:
     """node, other, p, q (arrays of anchor positions) of every chain of at least two anchors, cut at long gaps."""
+    reach = LONGEST_GAP + SHINGLE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for node, other, anchors in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                pairs = np.array([(x["p"], x["q"]) for x in anchors.as_py()], dtype=np.int64)
-                for path in chains(pairs[:, 0], pairs[:, 1]):
-                    steps = np.diff(pairs[path], axis=0).max(axis=1)
-                    for part in np.split(path, np.nonzero(steps > LONGEST_GAP + SHINGLE)[0] + 1):
-                        p, q = pairs[part, 0].astype(np.int32), pairs[part, 1].astype(np.int32)
-                        if len(p) > 1 and min(p[-1] - p[0], q[-1] - q[0]) + SHINGLE + 2 * MARGIN >= min_words:
-                            out.append((node, other, p, q))
+        for node, other, p, q in _whole_groups(batches, 2):
+            # an anchor without another one of its texts within reach is in no chain
+            step = (node[1:] == node[:-1]) & (other[1:] == other[:-1])
+            again = np.append(False, step & (p[1:] == p[:-1]) & (q[1:] == q[:-1]))
+            node, other, p, q = (x[~again] for x in (node, other, p, q))
+            near = (node[1:] == node[:-1]) & (other[1:] == other[:-1]) & (np.diff(p) <= reach)
+            keep = np.append(near, False) | np.append(False, near)
+            node, other, p, q = (x[keep] for x in (node, other, p, q))
+            if not len(p):
+                continue
+            within = np.append(False, (node[1:] == node[:-1]) & (other[1:] == other[:-1]))
+            starts = np.nonzero(~within)[0]
+            stops = np.append(starts[1:], len(p))
+            dp, dq = np.diff(p, prepend=p[0]), np.diff(q, prepend=q[0])
+            # steps that cost less than an anchor is worth: all anchors are one chain
+            plain = ~within | ((dp > 0) & (dq > 0) & (dp <= reach) & (dq <= reach) & (GAP * (dp + dq) < SHINGLE))
+            simple = np.logical_and.reduceat(plain, starts)
+            out = []
+            for start, stop, easy in zip(starts.tolist(), stops.tolist(), simple.tolist(), strict=True):
+                own_p, own_q = p[start:stop], q[start:stop]
+                if easy:
+                    parts = [slice(None)]
+                else:
+                    parts = []
+                    for path in chains(own_p.astype(np.int64), own_q.astype(np.int64)):
+                        steps = np.maximum(np.diff(own_p[path]), np.diff(own_q[path]))
+                        parts += np.split(path, np.nonzero(steps > reach)[0] + 1)
+                for part in parts:
+                    x, y = own_p[part], own_q[part]
+                    if len(x) > 1 and min(x[-1] - x[0], y[-1] - y[0]) + SHINGLE + 2 * MARGIN >= min_words:
+                        out.append((node[start], other[start], x, y))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["node", "other", "p", "q"])
 
-    grouped = links.groupBy("node", "other").agg(F.collect_set(F.struct("p", "q")).alias("anchors")).where(F.size("anchors") > 1)
-    return grouped.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>")
+    ordered = links.select("node", "other", "p", "q").repartition("node", "other").sortWithinPartitions("node", "other", "p", "q")
+    return ordered.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>")
 
 
 def _matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -347,6 +515,10 @@ def align(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, size: int
     ahead = _extend(a[: p[0]][::-1], b[: q[0]][::-1])
     same = int((a[p[0] - ahead : p[0]] == b[q[0] - ahead : q[0]]).sum()) + size
     end_p, end_q = int(p[0]) + size, int(q[0]) + size
+    stop = int(p[-1]) + size
+    if p[-1] - p[0] == q[-1] - q[0] and (a[end_p:stop] == b[end_q : end_q + stop - end_p]).all():  # equal words from first to last
+        same, end_p, end_q = same + stop - end_p, stop, end_q + stop - end_p
+        p, q = p[:1], q[:1]
     for x, y in zip(p[1:].tolist(), q[1:].tolist(), strict=True):
         new_p, new_q = x + size, y + size
         if x < end_p or y < end_q:  # seeds overlap: only the words after the last one are new
@@ -423,31 +595,43 @@ def aligned(sliced: DataFrame, texts: DataFrame, min_words: int, similarity: flo
 
 
 def passages(
-    docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, window: int = WINDOW, sampled: int = SAMPLED, rows_per_part: int = ROWS_PER_PART
+    docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, window: int = WINDOW, sampled: int = SAMPLED, rows_per_part: int = ROWS_PER_PART, pairs_to: int = PAIRS_TO
 ) -> DataFrame:
     """doc_id, start, stop, src_doc_id, src_start, src_stop, similarity: words start .. stop - 1 of a document
     repeat words src_start .. src_stop - 1 of another one. Words are lower-cased runs of letters, digits and underscores."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
-    rows = stored(_nodes(docs, min_words), "passage-nodes")
+    rows = stored(_seeded(docs, window, min_words), "passage-seeds")
     nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("one"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
     nodes = stored(nodes.select("node", "one.doc_id", "one.print", "copies", "n"), "passage-owners")
     owned = nodes.where("copies > 1").select("node", F.col("doc_id").alias("own_id"), F.col("print").alias("own_print"))
     other_row = ~(F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("print") == F.col("own_print")))
-    gone = lookup(stored(rows.join(owned, "node").where(other_row).select("doc_id", "print").distinct(), "passage-copies"))
-    every = docs
-    docs = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (docs["print"] == gone["print"]), "left_anti")
-    common = _common_seeds(docs, window, min_words, sampled, rows_per_part)
-    found = stored(chained(seed_links(seeds(docs, window, min_words, common)), min_words), "chains")
-    wanted = found.select("node").unionByName(found.select(F.col("other").alias("node"))).distinct().join(nodes, "node")
-    wanted = lookup(stored(wanted.select("node", "doc_id", "print"), "passage-wanted"))
-    same = every["doc_id"].eqNullSafe(wanted["doc_id"]) & (every["print"] == wanted["print"])
-    texts = stored(every.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "passage-texts")
-    sliced = stored(_with_slices(found, texts), "chain-words")
-    repeated = stored(aligned(sliced, texts, min_words, similarity), "passages")
+    gone = lookup(stored(rows.select("doc_id", "print", "node").join(owned, "node").where(other_row).select("doc_id", "print").distinct(), "passage-copies"))
+    single = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["print"] == gone["print"]), "left_anti").select("node", "keys", "places")
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """node, text of the nodes ``wanted``."""
+        wanted = lookup(stored(wanted.distinct().join(nodes, "node").select("node", "doc_id", "print"), "passage-wanted"))
+        same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["print"] == wanted["print"])
+        return stored(docs.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "passage-texts")
+
+    def repeats(links: DataFrame) -> DataFrame:
+        found = stored(chained(links, min_words), "chains")
+        texts = texts_of(found.select("node").unionByName(found.select(F.col("other").alias("node"))))
+        sliced = stored(_with_slices(found, texts), "chain-words")
+        return stored(aligned(sliced, texts, min_words, similarity), "passages")
+
+    links = seed_links(seeds(single, _common_seeds(single, sampled, rows_per_part)), pairs_to)
+    repeated = repeats(links)
+    members = stored(unsettled(links, repeated), "unsettled")
+    if not members.isEmpty():
+        later = stored(later_links(members, texts_of(members.select("node")), window, min_words, similarity), "later-links")
+        pairs = stored(later.select("node", "other").distinct(), "later-pairs")
+        again = links.select("node", "other", "p", "q").join(pairs, ["node", "other"], "left_semi").unionByName(later)
+        repeated = repeated.join(pairs, ["node", "other"], "left_anti").unionByName(repeats(again))
     owner, source = nodes.select("node", "doc_id"), nodes.select(F.col("node").alias("other"), F.col("doc_id").alias("src_doc_id"))
     columns = ["doc_id", "start", "stop", "src_doc_id", "src_start", "src_stop", "similarity"]
     fuzzy = repeated.join(owner, "node").join(source, "other").select(*columns)
-    copies = rows.join(owned.select("node", F.col("own_id").alias("src_doc_id")), "node").where(~F.col("doc_id").eqNullSafe(F.col("src_doc_id")))
+    copies = rows.select("doc_id", "node", "n").join(owned.select("node", F.col("own_id").alias("src_doc_id")), "node").where(~F.col("doc_id").eqNullSafe(F.col("src_doc_id")))
     whole = copies.select("doc_id", F.lit(0).alias("start"), F.col("n").alias("stop"), "src_doc_id", F.lit(0).alias("src_start"), F.col("n").alias("src_stop"), F.lit(1.0).alias("similarity"))
     return fuzzy.unionByName(whole)
 

@@ -153,3 +153,23 @@ def test_passages_of_frequent_lines(spark, size):
         rows += [(5000 + 2 * k + j, f"{prose(30)} {shared} {prose(30)}") for j in (0, 1)]
     got = {frozenset((r.doc_id, r.src_doc_id)) for r in cp.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(frozenset((5000 + 2 * k, 5001 + 2 * k)) in got for k in range(20)) == 20
+
+
+def test_pair_whose_every_stretch_is_in_other_texts(spark):
+    """Texts that differ between the lines they share; either one's lines with the words between them are in 20 others."""
+    draw = random.Random(7)
+
+    def prose(n):
+        return " ".join(f"v{draw.randrange(10**6)}" for _ in range(n))
+
+    rows, pairs = [], []
+    for k in range(8):
+        lines = [prose(12) for _ in range(5)]
+        for own in (100_000 + 2 * k, 100_001 + 2 * k):
+            gaps = [prose(1) for _ in range(4)]
+            body = " ".join(x for pair in zip(lines, [*gaps, ""], strict=True) for x in pair)
+            rows.append((own, f"{prose(30)} {body} {prose(30)}"))
+            rows += [(len(rows), f"{prose(30)} {lines[i]} {gaps[i]} {lines[i + 1]} {prose(30)}") for i in range(4) for _ in range(20)]
+        pairs.append(frozenset((100_000 + 2 * k, 100_001 + 2 * k)))
+    got = {frozenset((r.doc_id, r.src_doc_id)) for r in cp.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(pairs)
