@@ -33,6 +33,8 @@ from .pieces import PieceEncoder
 
 CAPACITY = 1024
 ROWS_PER_PART = 1_000
+#: Pieces that a worker remembers, some 200 MB.
+REMEMBERED = 800_000
 _ENCODERS: dict[bytes, TextEncoder] = {}
 
 
@@ -47,11 +49,15 @@ class TextEncoder:
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(token)  # one character of a byte-level token stands for one byte
-        self.pieces = PieceEncoder(lambda piece: self.whole(piece).tobytes(), self.many)
+        self.pieces = PieceEncoder(lambda piece: self.whole(piece).tobytes(), self.many, REMEMBERED, self.apart)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
+    def apart(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
     def many(self, pieces: list[str]) -> list[bytes]:
         """Pieces are tokenized apart wherever they stand, so that one call does for all."""
         found = self.whole("".join(pieces))

@@ -99,3 +99,24 @@ def test_plan_uses_every_piece_and_few_sequences(seed):
     least = -(-sum(x * n for x, n in histogram.items()) // 1024)
     assert sum(n for _, n in plan) <= 1.01 * least + 1
     assert packing.pack_counts({}, 1024) == []
+
+
+def test_each_distinct_piece_is_looked_up_once(tokenizer):
+    """Texts of the same pieces over and over; ids are those of the library, also for blanks of all kinds and when memory is short."""
+    with open(FILE) as f:
+        encoder = packing.TextEncoder(f.read())
+    encoder.pieces.most = 40
+    looked_up = []
+
+    class Counted(type(encoder.pieces.later)):
+        def __getitem__(self, piece):
+            looked_up.append(piece)
+            return super().__getitem__(piece)
+
+    encoder.pieces.later = Counted(encoder.pieces.later.encode, 40)
+    draw = random.Random(2)
+    odd = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a  b", "é  x", "x\ty z", "last\n", "<|endoftext|> a b"]
+    texts = odd + [" ".join(f"w{draw.randrange(60)}" for _ in range(200)) for _ in range(50)]
+    found = [list(np.frombuffer(x, dtype="<u4")) for x in encoder.batch(texts)]
+    assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(looked_up) < 200
