@@ -13,8 +13,15 @@ from gaugework.llm import bag_minhash, content_sort, language, packing, secret_f
 from gaugework.llm.common import stored, table
 
 
+def _lean(spark: SparkSession) -> SparkSession:
+    """Whole texts go to the Python workers in smaller batches; JVM and workers hold several of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language stays unclear, go; a missing lang is filled in."""
+    _lean(spark)
     return language.keep(docs, language.learn(language.learnt_from(docs)))
 
 
@@ -25,16 +32,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every class of near copies stays."""
+    _lean(spark)
     return bag_minhash.drop_near_copies(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets that the forest keeps are masked; documents stay."""
+    _lean(spark)
     return secret_forest.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 1024 tokens."""
+    _lean(spark)
     return packing.production_pack(docs.select("doc_id", "text"))
 
 
@@ -52,7 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each stage's result written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(_lean(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import lookup, query, stored, table
 from .components import components
+from .memory import only
 from .words import HASHES, SHINGLE, bag, mix, shingles
 
 BANDS, ROWS = 20, 5
@@ -114,6 +115,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int =
     """doc_id, print, node, bands for every row; node is a digest of the text's words, null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("words")
         for batch in batches:
             nodes, keys, known = [], [], {}
             for text in batch.column(1):

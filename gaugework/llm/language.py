@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import query, stored, table
+from .memory import only
 
 #: Characters that regular expressions take for parts of words, but that are numbers (fractions, Roman numerals, circled digits).
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
@@ -57,6 +58,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     """lang, word, n over all rows of ``docs`` (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         held: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import query, stored, table, text_or_empty
+from .memory import only, remembered
 from .pieces import PieceEncoder
 
 CAPACITY = 1024
@@ -36,6 +37,7 @@ ROWS_PER_PART = 1_000
 #: Pieces that a worker remembers, some 200 MB.
 REMEMBERED = 800_000
 _ENCODERS: dict[bytes, TextEncoder] = {}
+remembered("pieces", lambda: len(_ENCODERS), lambda: _ENCODERS.clear())
 
 
 class TextEncoder:
@@ -90,6 +92,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("pieces")
         encoder = _encoder(description.value)
         for batch in batches:
             rows, piece, start, length, crc, kept = [], [], [], [], [], []

@@ -8,6 +8,8 @@ from collections.abc import Iterable
 import numpy as np
 import xxhash
 
+from .memory import remembered
+
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 _LONGEST_KEPT = 48
@@ -17,7 +19,7 @@ _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x16
 class WordHashes(dict):
     """Word -> its hash; forgets everything when ``most`` words are held."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
@@ -40,6 +42,7 @@ class WordHashes(dict):
 
 #: One per Python worker.
 HASHES = WordHashes()
+remembered("words", lambda: len(HASHES), lambda: HASHES.clear())
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -52,3 +52,14 @@ def test_run_on_awkward_documents(spark, tmp_path):
     assert len({(r.doc_id, r.piece) for r in out}) == len(out)
     spark.createDataFrame([], DDL).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_workers_remember_one_operator_at_a_time():
+    from gaugework.llm import memory, packing
+    from gaugework.llm.words import HASHES
+
+    HASHES.text("some words"), packing._ENCODERS.update({b"x": None})
+    memory.only("words")
+    assert len(HASHES) == 2 and not packing._ENCODERS
+    memory.only("pieces")
+    assert not HASHES
