@@ -11,6 +11,7 @@ in O(n log n). Each chain is then aligned word by word between its anchors and e
 passage is reported when it has at least ``min_words`` words and ``similarity`` of them are aligned to
 equal words.
 
+Texts are split into words once. Seeds and nodes are made of 64-bit hashes of words; alignments compare 32 bits of them.
 Texts with the same words are merged before. A seed in many texts would still make one large group. Such
 seeds are found in a sample of the documents (by a hash of the text) and their occurrences are dealt
 into parts, whose smallest occurrences are linked in turn. The sample decides only how the work is dealt.
@@ -25,14 +26,14 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import lookup, query, stored, table
-from .words import HASHES, SHINGLE, shingles
+from .words import SHINGLE, shingles, word_hashes
 
 WINDOW, MIN_WORDS, SIMILARITY = 10, 50, 0.8
 #: Cost of a word of gap in either text; a seed is worth its five words.
@@ -47,16 +48,32 @@ CHAINS_A_PART = 200
 PAIRS_TO = 16
 #: Occurrences of a seed that one group of the later comparison takes from either side.
 BLOCK = 8192
-#: Words around a chain that its alignment may extend into.
+#: Words around a chain that go with it at first; chains that extend to their end are aligned again with whole texts.
 MARGIN = 64
-
-
-def minimizers(keys: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest key of every ``window`` neighbouring keys."""
-    if len(keys) <= window:
-        return np.array([int(np.argmin(keys))]) if len(keys) else np.zeros(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(keys, window)
-    return np.unique(np.argmin(views, axis=1) + np.arange(len(views)))
+#: Characters of texts that are split into words at once.
+CHARACTERS = 50_000
+#: Pairs of a group that are counted out word by word at once; of more, only those that share a rare word are.
+COUNTED_OUT = 1 << 18
+
+
+def minimizers(keys: np.ndarray, window: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the smallest key (the first of equal ones) of every ``window`` neighbouring keys of a text;
+    ``sizes`` says how many of ``keys`` each text has."""
+    sizes = np.array([len(keys)]) if sizes is None else sizes
+    begin = np.cumsum(sizes) - sizes
+    spots = [int(i + np.argmin(keys[i : i + n])) for i, n in zip(begin.tolist(), sizes.tolist(), strict=True) if 0 < n < window]
+    if (sizes >= window).any():
+        least, at, size = keys, np.arange(len(keys)), 1
+        while size < window:  # of two windows next to each other, or that overlap
+            step = min(size, window - size)
+            later = least[step:] < least[:-step]
+            least, at = (np.where(later, x[step:], x[:-step]) for x in (least, at))
+            size += step
+        room = np.repeat(begin + sizes, sizes)[: len(at)] - np.arange(len(at))
+        at = at[room >= window]
+        at = at[np.append(True, at[1:] != at[:-1])]
+        spots = np.sort(np.append(at, spots)) if spots else at
+    return np.asarray(spots, dtype=np.int64)
 
 
 def _node(words: np.ndarray) -> int:
@@ -64,29 +81,50 @@ def _node(words: np.ndarray) -> int:
 
 
 def _seeded(docs: DataFrame, window: int, min_words: int) -> DataFrame:
-    """doc_id, print, node, n, keys, places (eight and four bytes a seed) for every row of enough words."""
+    """doc_id, node, n, keys, places (eight and four bytes a seed), words (four bytes each) for every row of enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
-                part = batch.slice(low, 2000)
-                at, nodes, sizes, keys, places = [], [], [], [], []
-                for row, text in enumerate(part.column(2)):
-                    words = HASHES.text(text.as_py())
-                    if len(words) >= min_words:
-                        own = shingles(words)
-                        spots = minimizers(own, window)
-                        at.append(row)
-                        nodes.append(_node(words))
-                        sizes.append(len(words))
-                        keys.append(own[spots].tobytes())
-                        places.append(spots.astype(np.int32).tobytes())
-                pick = pa.array(at, pa.int64())
-                columns = [part.column(0).take(pick), part.column(1).take(pick), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "print", "node", "n", "keys", "places"])
+            texts = batch.column(1).to_pylist()
+            low, held = 0, 0
+            for high, text in enumerate(texts, 1):
+                held += len(text or "") + 1
+                if held >= CHARACTERS or high == len(texts):
+                    yield seeded(batch.column(0).slice(low, high - low), texts[low:high])
+                    low, held = high, 0
+
+    def seeded(ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
+        words, sizes = word_hashes(texts)
+        pick = np.nonzero(sizes >= max(min_words, 1))[0]
+        words, sizes = words[np.repeat(sizes >= max(min_words, 1), sizes)], sizes[pick]
+        stop = np.cumsum(sizes)
+        start = stop - sizes
+        long = sizes >= SHINGLE
+        own = shingles(words) if long.any() else words[:0]
+        runs = np.where(long, sizes - SHINGLE + 1, 0)
+        inner = np.repeat(start, runs) + np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
+        own = own[inner]
+        spots = minimizers(own, window, runs)
+        edges = np.searchsorted(spots, np.append(0, np.cumsum(runs))).tolist()
+        first = np.cumsum(runs) - runs
+        places = (spots - np.repeat(first, np.diff(edges))).astype(np.int32)
+        keys, short = own[spots], (words >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
+        key_bytes, place_bytes, nodes = [], [], []
+        for i, (low, high) in enumerate(zip(start.tolist(), stop.tolist(), strict=True)):
+            nodes.append(_node(words[low:high]))
+            if long[i]:
+                key_bytes.append(keys[edges[i] : edges[i + 1]].tobytes())
+                place_bytes.append(places[edges[i] : edges[i + 1]].tobytes())
+            else:  # fewer words than a seed: one seed of all
+                key_bytes.append(shingles(words[low:high]).tobytes())
+                place_bytes.append(np.zeros(1, dtype=np.int32).tobytes())
+        word_bytes = [short[low:high].tobytes() for low, high in zip(start.tolist(), stop.tolist(), strict=True)]
+        columns = [ids.take(pa.array(pick, pa.int64())), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32())]
+        columns += [pa.array(x, pa.binary()) for x in (key_bytes, place_bytes, word_bytes)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "keys", "places", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "print", "text").mapInArrow(run, f"doc_id {kind}, print bigint, node bigint, n int, keys binary, places binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node bigint, n int, keys binary, places binary, words binary")
 
 
 def seeds(rows: DataFrame, common: dict[int, int] | None = None) -> DataFrame:
@@ -204,7 +242,13 @@ def seed_links(found: DataFrame, pairs_to: int = PAIRS_TO) -> DataFrame:
     names = ["node", "other", "p", "q", "key", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _whole_groups(batches, 2):
+        for columns in _whole_groups(batches, 1):
+            again = columns[0][1:] == columns[0][:-1]
+            columns = [x[np.append(again, False) | np.append(False, again) | (columns[1] > 0)] for x in columns]
+            if not len(columns[0]):
+                continue
+            order = np.lexsort(columns[::-1])
+            columns = [x[order] for x in columns]
             *links, key, kind = _links_of(*columns, pairs_to)
             heads = np.nonzero(columns[1] > 0)[0]
             if len(heads):  # parts of a common seed count from 1: their first occurrences are linked afterwards
@@ -216,7 +260,7 @@ def seed_links(found: DataFrame, pairs_to: int = PAIRS_TO) -> DataFrame:
             keys, kinds = np.append(key, columns[0][heads]), np.append(kind, np.full(len(heads), 3)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([arrays[0], other, arrays[1], q, pa.array(keys), pa.array(kinds)], names=names)
 
-    ordered = found.repartition("key", "part").sortWithinPartitions("key", "part", "node", "at")
+    ordered = found.repartition("key", "part").sortWithinPartitions("key")
     linked = stored(ordered.mapInArrow(run, "node bigint, other bigint, p int, q int, key bigint, kind int"), "seed-links")
     heads = linked.where("other is null").select("key", F.struct("node", F.col("p").alias("at")).alias("head"))
     low = heads.groupBy("key").agg(F.min("head").alias("low"))
@@ -241,42 +285,47 @@ def unsettled(links: DataFrame, repeated: DataFrame) -> DataFrame:
     return placed.join(sizes.where("low < high").select("key", "n"), "key")
 
 
-def _stretches(members: DataFrame, texts: DataFrame, window: int, reach: int) -> DataFrame:
-    """``members`` with the words around their seed (four bytes each, 0 outside of the text) and the seeds near it: keys of
+def _stretches(members: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
+    """``members`` with the words around their seed (0 outside of the text) and the seeds near it: keys of
     eight bytes, places from the seed's of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outside, span = np.zeros(reach, dtype=np.uint32), np.arange(2 * reach + SHINGLE)
         for batch in batches:
-            out: list[tuple] = []
-            for node, listed, text in zip(batch.column("node").to_pylist(), batch.column("listed"), batch.column("text"), strict=True):
-                words = HASHES.text(text.as_py())
-                own = shingles(words)
-                spots = minimizers(own, window)
-                outside = np.zeros(reach, dtype=np.uint32)
-                short = np.concatenate([outside, (words >> np.uint64(32)).astype(np.uint32) | np.uint32(2), outside])
-                for x in listed.as_py():
-                    at = x["at"]
-                    low, high = np.searchsorted(spots, [at - LONGEST_GAP - SHINGLE, at + LONGEST_GAP + SHINGLE + 1])
-                    near = spots[low:high]
-                    out.append((x["key"], node, at, x["root"], x["n"], short[at : at + 2 * reach + SHINGLE].tobytes(), own[near].tobytes(), (near - at).astype(np.int8).tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
+            listed = batch.column("listed")
+            sizes, entries = listed.value_lengths().to_numpy(), listed.flatten()
+            places_of = entries.field("at").to_numpy()
+            words_out, keys_out, near_out = [], [], []
+            low = 0
+            for size, *row in zip(sizes.tolist(), *(batch.column(x) for x in ("words", "keys", "places")), strict=True):
+                words, keys, spots = (np.frombuffer(x.as_buffer(), dtype=d) for x, d in zip(row, (np.uint32, np.int64, np.int32), strict=True))
+                at = places_of[low : low + size]
+                words = np.concatenate([outside, words, outside])[at[:, None] + span]
+                edges = np.searchsorted(spots, np.stack([at - LONGEST_GAP - SHINGLE, at + LONGEST_GAP + SHINGLE + 1]))
+                for i, (a, x, y) in enumerate(zip(at.tolist(), *edges.tolist(), strict=True)):
+                    words_out.append(words[i].tobytes())
+                    keys_out.append(keys[x:y].tobytes())
+                    near_out.append((spots[x:y] - a).astype(np.int8).tobytes())
+                low += size
+            node = pa.array(np.repeat(batch.column("node").to_numpy(), sizes))
+            columns = [entries.field("key"), node, *(entries.field(x) for x in ("at", "root", "n"))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.binary()) for x in (words_out, keys_out, near_out))], names=names)
 
     names = ["key", "node", "at", "root", "n", "words", "keys", "places"]
     grouped = members.groupBy("node").agg(F.collect_list(F.struct("key", "at", "root", "n")).alias("listed"))
     return grouped.join(texts, "node").mapInArrow(run, "key bigint, node bigint, at int, root bigint, n bigint, words binary, keys binary, places binary")
 
 
-def later_links(members: DataFrame, texts: DataFrame, window: int, min_words: int, similarity: float, block: int = BLOCK) -> DataFrame:
+def later_links(members: DataFrame, texts: DataFrame, min_words: int, similarity: float, block: int = BLOCK) -> DataFrame:
     """node, other, p, q, key, kind between texts that share a seed without hanging together over it. Every pair is compared, in
     blocks, until they hang together: ``min_words`` words around the seed are alike enough word by word, or by the alignment
     of a chain if another common seed is near this one at another distance."""
     reach = min_words - SHINGLE
-    rows = stored(_stretches(members, texts, window, reach), "stretches")
+    rows = stored(_stretches(members, texts, reach), "stretches")
     dealt = rows.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node", "at"), F.col("blocks")).cast("int"))
     pairs = F.expr("explode(transform(sequence(0, blocks - 1), o -> named_struct('low', least(own, o), 'high', greatest(own, o))))")
     both = dealt.withColumn("pair", pairs).select("key", "pair.*", "own", "node", "at", "root", "words", "keys", "places")
-    both = both.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    both = both.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
@@ -329,16 +378,21 @@ def _compared(group: list[tuple], reach: int, min_words: int, similarity: float)
                 chosen.append((i, j) if one == 0 else (j, i))
 
     odd = [np.nonzero(x != usual)[0] for x in roots]
-    every = np.arange(len(sides[1]))
     one_block = sides[0][0][1] == sides[0][0][2]
+    alike_rows = _counted_out(words, least) if len(nodes[0]) * len(nodes[1]) <= COUNTED_OUT else _by_rare_words(words, min_words, least, one_block)
     for i in odd[0].tolist():
-        compare(i, 0, every[every > i] if one_block else every)
-    plain = np.nonzero(roots[0] == usual)[0]
+        others = alike_rows(0, i)
+        compare(i, 0, others[others > i] if one_block else others)
     for j in odd[1].tolist():
-        compare(j, 1, plain[plain < j] if one_block else plain)
-    for i, j in _elsewhere(*sides):
-        one, two = merged[roots[0][i]], merged[roots[1][j]]
-        if one != two and nodes[0][i] != nodes[1][j]:
+        others = alike_rows(1, j)
+        others = others[roots[0][others] == usual]
+        compare(j, 1, others[others < j] if one_block else others)
+    for rows, others in _elsewhere(*sides):
+        apart = (merged[roots[0][rows]] != merged[roots[1][others]]) & (nodes[0][rows] != nodes[1][others])
+        for i, j in zip(rows[apart].tolist(), others[apart].tolist(), strict=True):
+            one, two = merged[roots[0][i]], merged[roots[1][j]]
+            if one == two or np.count_nonzero((words[0][i][:, None] == words[1][j]).any(axis=1)) < least:
+                continue  # no alignment has more equal words
             p, q = _shared(sides[0][i], sides[1][j])
             if any(any(spans(words[0][i], words[1][j], p[x] + reach, q[x] + reach, min_words, similarity)) for x in chains(p, q)):
                 merged[merged == two] = one
@@ -359,23 +413,88 @@ def _shared(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
     return p, q
 
 
-def _elsewhere(low: list[tuple], high: list[tuple]) -> Iterator[tuple[int, int]]:
+def _counted_out(words: list[np.ndarray], least: int) -> Callable[[int, int], np.ndarray]:
+    """For a side and a row of it: the rows of the other side with ``least`` words that are equal at equal places."""
+    counts = np.zeros((len(words[0]), len(words[1])), dtype=np.int16)
+    for x, y in zip(words[0].T, words[1].T, strict=True):
+        counts += x[:, None] == y
+    found = counts >= least
+    return lambda side, i: np.nonzero(found[:, i] if side else found[i])[0]
+
+
+def _by_rare_words(words: list[np.ndarray], min_words: int, least: int, one_block: bool) -> Callable[[int, int], np.ndarray]:
+    """For a side and a row of it: the rows of the other side that may have ``least`` equal words within ``min_words``.
+
+    Words at a place are ordered, rare ones first. Of two rows with so many equal words in a window, the first
+    ``min_words`` - ``least`` + 1 words of that window, in this order, have one in common; so only rows with an equal
+    word among these are returned, and no pair is lost. Words that no other row has come before all.
+    """
+    n, width = words[0].shape
+    both = np.concatenate(words).astype(np.uint64) | (np.arange(width, dtype=np.uint64) << np.uint64(32))
+    _, token = np.unique(both, return_inverse=True)
+    token = token.reshape(both.shape)
+    counts = [np.bincount(x.ravel(), minlength=int(token.max()) + 1) for x in (token[:n], token[n:])]
+    shared = counts[0] > 1 if one_block else (counts[0] > 0) & (counts[1] > 0)
+    rank = np.zeros(len(shared), dtype=np.int32)
+    kept = np.nonzero(shared)[0]
+    rank[kept[np.argsort((counts[0] + counts[1])[kept], kind="stable")]] = np.arange(1, len(kept) + 1)
+    ranks = rank[token]
+    first = np.zeros(ranks.shape, dtype=bool)
+    for low in range(0, len(ranks), 256):
+        part = ranks[low : low + 256]
+        windows = np.lib.stride_tricks.sliding_window_view(part, min_words, axis=1)
+        last = np.partition(windows, min_words - least, axis=2)[:, :, min_words - least]
+        limit = np.zeros(part.shape, dtype=np.int32)
+        for k in range(last.shape[1]):
+            np.maximum(limit[:, k : k + min_words], last[:, k : k + 1], out=limit[:, k : k + min_words])
+        first[low : low + 256] = (part > 0) & (part <= limit)
+    rows, edges = [], []
+    for own, chosen in ((ranks[:n], first[:n]), (ranks[n:], first[n:])):
+        at = np.nonzero(chosen)
+        order = np.argsort(own[at], kind="stable")
+        rows.append(at[0][order])
+        edges.append(np.searchsorted(own[at][order], np.arange(len(kept) + 2)))
+
+    def found(side: int, i: int) -> np.ndarray:
+        there, edge, size = rows[1 - side], edges[1 - side], len(words[1 - side])
+        row = i + n * side
+        spots = ranks[row][first[row]]
+        if (edge[spots + 1] - edge[spots]).sum() >= size:
+            return np.arange(size)
+        lists = [there[edge[x] : edge[x + 1]] for x in spots.tolist()]
+        return np.unique(np.concatenate(lists)) if lists else np.zeros(0, dtype=np.int64)
+
+    return found
+
+
+def _elsewhere(low: list[tuple], high: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of low and high that have an equal seed near the common one, before both or after both, at another distance."""
-    found: dict[tuple[int, bool], list[dict[int, list[int]]]] = {}
-    for side, rows in enumerate((low, high)):
-        for i, r in enumerate(rows):
-            places = np.frombuffer(r[9], dtype=np.int8).tolist()
-            nearest: dict[tuple[int, bool], int] = {}
-            for key, place in sorted(zip(np.frombuffer(r[8], dtype=np.int64).tolist(), places, strict=True), key=lambda x: abs(x[1])):
-                if place and key != r[0]:
-                    nearest.setdefault((key, place > 0), place)
-            for spot, place in nearest.items():
-                found.setdefault(spot, [{}, {}])[side].setdefault(place, []).append(i)
-    for lows, highs in found.values():
-        for place, rows in lows.items():
-            for other_place, others in highs.items():
-                if place != other_place:
-                    yield from ((i, j) for i in rows for j in others)
+    both = [*low, *high]
+    row = np.repeat(np.arange(len(both)), [len(r[9]) for r in both])
+    key, place = np.frombuffer(b"".join(r[8] for r in both), dtype=np.int64), np.frombuffer(b"".join(r[9] for r in both), dtype=np.int8)
+    used = np.nonzero((place != 0) & (key != low[0][0]))[0]
+    order = used[np.lexsort((np.abs(place[used]), row[used], place[used] > 0, key[used]))]
+    row, key, place = row[order], key[order], place[order]
+    fresh = (np.diff(key, prepend=0) != 0) | (np.diff((place > 0).astype(np.int8), prepend=np.int8(0)) != 0)
+    fresh[:1] = True
+    nearest = fresh | (np.diff(row, prepend=-1) != 0)
+    spot, row, place = (np.cumsum(fresh) - 1)[nearest], row[nearest], place[nearest]
+    if not len(row):
+        return
+    begin = np.nonzero(np.diff(spot, prepend=-1))[0]  # a seed that is at the same distance in all rows says nothing
+    some = (np.minimum.reduceat(place, begin) != np.maximum.reduceat(place, begin))[spot]
+    sides = [np.nonzero(some & (row < len(low)))[0], np.nonzero(some & (row >= len(low)))[0]]
+    first, last = (np.searchsorted(spot[sides[1]], spot[sides[0]], x) for x in ("left", "right"))
+    ends = np.cumsum(last - first)
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COUNTED_OUT)))
+        many = (last - first)[at:stop]
+        one = np.repeat(sides[0][at:stop], many)
+        two = sides[1][np.repeat(first[at:stop] - np.cumsum(many) + many, many) + np.arange(len(one))]
+        pairs = np.unique((row[one] * len(high) + row[two] - len(low))[place[one] != place[two]])
+        yield pairs // len(high), pairs % len(high)
+        at = stop
 
 
 def chains(p: np.ndarray, q: np.ndarray, size: int = SHINGLE, gap: float = GAP) -> list[np.ndarray]:
@@ -441,12 +560,14 @@ def _in_line(p: np.ndarray, q: np.ndarray, order: np.ndarray, size: int, gap: fl
     return [path for _, path in sorted(out, key=lambda x: -x[0])]
 
 
-def chained(links: DataFrame, min_words: int) -> DataFrame:
+def chained(links: DataFrame) -> DataFrame:
     """node, other, p, q (arrays of anchor positions) of every chain of at least two anchors, cut at long gaps."""
     reach = LONGEST_GAP + SHINGLE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, other, p, q in _whole_groups(batches, 2):
+        for columns in _whole_groups(batches, 1):
+            order = np.lexsort(columns[::-1])
+            node, other, p, q = (x[order] for x in columns)
             # an anchor without another one of its texts within reach is in no chain
             step = (node[1:] == node[:-1]) & (other[1:] == other[:-1])
             again = np.append(False, step & (p[1:] == p[:-1]) & (q[1:] == q[:-1]))
@@ -475,12 +596,12 @@ def chained(links: DataFrame, min_words: int) -> DataFrame:
                         parts += np.split(path, np.nonzero(steps > reach)[0] + 1)
                 for part in parts:
                     x, y = own_p[part], own_q[part]
-                    if len(x) > 1 and min(x[-1] - x[0], y[-1] - y[0]) + SHINGLE + 2 * MARGIN >= min_words:
+                    if len(x) > 1:
                         out.append((node[start], other[start], x, y))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["node", "other", "p", "q"])
 
-    ordered = links.select("node", "other", "p", "q").repartition("node", "other").sortWithinPartitions("node", "other", "p", "q")
+    ordered = links.select("node", "other", "p", "q").repartition("node", "other").sortWithinPartitions("node")
     return ordered.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>")
 
 
@@ -498,6 +619,11 @@ def _matches(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
+def _goes_on(a: np.ndarray, b: np.ndarray, drop: int = 6) -> bool:
+    """Whether an extension into all of a, which is shorter than b, hasn't come to its end there."""
+    return not len(a) or bool(np.cumsum(np.where(a == b[: len(a)], 1, -1)).min() >= -drop)
+
+
 def _extend(a: np.ndarray, b: np.ndarray, drop: int = 6) -> int:
     """Words at the beginning of a and b that an ungapped extension takes: best of matches less mismatches."""
     n = min(len(a), len(b))
@@ -533,9 +659,9 @@ def align(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, size: int
     return start_p, stop_p, start_q, stop_q, same / max(stop_p - start_p, stop_q - start_q, 1)
 
 
-def spans(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, min_words: int, similarity: float) -> Iterator[tuple]:
-    """Passages of a chain: the whole chain if it is alike enough, else what its largest gap divides."""
-    found = align(a, b, p, q)
+def spans(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, min_words: int, similarity: float, found: tuple | None = None) -> Iterator[tuple]:
+    """Passages of a chain: the whole chain if it is alike enough, else what its largest gap divides. ``found`` is its alignment."""
+    found = align(a, b, p, q) if found is None else found
     if min(found[1] - found[0], found[3] - found[2]) < min_words:
         return
     if found[4] >= similarity:
@@ -546,47 +672,60 @@ def spans(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, min_words:
         yield from spans(a, b, p[cut:], q[cut:], min_words, similarity)
 
 
-def _with_slices(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """Chains with the words of their node around them: node, other, p, q, words, low (where words begin)."""
+def _with_slices(found: DataFrame, texts: DataFrame, margin: int | None = MARGIN) -> DataFrame:
+    """Chains with the words of their node around them: node, other, p, q, words, low (where words begin), rest (words after
+    them); all words if ``margin`` is None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, lows, last = [], [], (None, None)
-            for node, p, text in zip(batch.column("node").to_pylist(), batch.column("p"), batch.column("text"), strict=True):
-                if last[0] != node:
-                    last = node, HASHES.text(text.as_py())
-                p = p.as_py()
-                low = max(0, p[0] - MARGIN)
+            words, lows, rest = [], [], []
+            ends, places = _lists(batch.column("p"))
+            for i, text in enumerate(batch.column("words")):
+                all_words = np.frombuffer(text.as_buffer(), dtype=np.uint32)
+                low, high = 0, len(all_words)
+                if margin is not None:
+                    low, high = max(0, int(places[ends[i]]) - margin), min(high, int(places[ends[i + 1] - 1]) + SHINGLE + margin)
                 lows.append(low)
-                words.append(last[1][low : p[-1] + SHINGLE + MARGIN].tobytes())
-            columns = [batch.column(x) for x in ("node", "other", "p", "q")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary()), pa.array(lows, pa.int32())], names=["node", "other", "p", "q", "words", "low"])
+                rest.append(len(all_words) - high)
+                words.append(all_words[low:high].tobytes())
+            columns = [*(batch.column(x) for x in ("node", "other", "p", "q")), pa.array(words, pa.binary()), pa.array(lows, pa.int32()), pa.array(rest, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "other", "p", "q", "words", "low", "rest"])
 
     joined = found.join(texts, "node")
-    return joined.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>, words binary, low int")
+    return joined.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>, words binary, low int, rest int")
+
+
+def _lists(column: pa.ListArray) -> tuple[list[int], np.ndarray]:
+    """Where the lists of a column begin and end in the array of all their numbers; nulls are empty lists."""
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    return np.append(0, np.cumsum(sizes)).tolist(), column.flatten().to_numpy()
 
 
 def aligned(sliced: DataFrame, texts: DataFrame, min_words: int, similarity: float) -> DataFrame:
-    """node, other, start, stop, src_start, src_stop, similarity of every passage. The chains of one other are
-    dealt into parts; each part gets that text once."""
+    """node, other, start, stop, src_start, src_stop, similarity of every passage; node and other only for chains that may
+    extend beyond the words that go with them. The chains of one other are dealt into parts; each part gets that text once."""
     counted = sliced.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / CHAINS_A_PART).alias("parts"))
     dealt = sliced.join(counted, "other").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
-    heads = dealt.select("other", "part").distinct().join(texts.withColumnRenamed("node", "other"), "other")
+    heads = dealt.select("other", "part").distinct().join(texts.select(F.col("node").alias("other"), F.col("words").alias("text")), "other")
     both = dealt.unionByName(heads, allowMissingColumns=True).repartition("other", "part").sortWithinPartitions("other", "part", F.asc_nulls_first("node"), "p")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         for batch in batches:
             out: list[tuple] = []
-            for r in batch.select(["node", "other", "p", "q", "words", "low", "text"]).to_pylist():
-                if r["node"] is None:
-                    own = HASHES.text(r["text"])
+            (p_ends, p_all), (q_ends, q_all) = _lists(batch.column("p")), _lists(batch.column("q"))
+            columns = [batch.column(x).to_pylist() for x in ("node", "other", "low", "rest", "words", "text")]
+            for i, (node, other, begin, rest, words, text) in enumerate(zip(*columns, strict=True)):
+                if node is None:
+                    own = np.frombuffer(text, dtype=np.uint32)
+                    continue
+                a, p, q = np.frombuffer(words, dtype=np.uint32), p_all[p_ends[i] : p_ends[i + 1]] - begin, q_all[q_ends[i] : q_ends[i + 1]]
+                start, stop, src_start, src_stop, _ = whole = align(a, own, p, q)
+                if (begin and start < src_start and _goes_on(a[:start][::-1], own[:src_start][::-1])) or (rest and len(a) - stop < len(own) - src_stop and _goes_on(a[stop:], own[src_stop:])):
+                    out.append((node, other, None, None, None, None, None))
                     continue
-                a, p, q = np.frombuffer(r["words"], dtype=np.uint64), np.array(r["p"]) - r["low"], np.array(r["q"])
-                low = max(0, int(q[0]) - MARGIN)
-                b = own[low : q[-1] + SHINGLE + MARGIN]
-                for start, stop, src_start, src_stop, share in spans(a, b, p, q - low, min_words, similarity):
-                    out.append((r["node"], r["other"], start + r["low"], stop + r["low"], src_start + low, src_stop + low, share))
+                for start, stop, src_start, src_stop, share in spans(a, own, p, q, min_words, similarity, whole):
+                    out.append((node, other, start + begin, stop + begin, src_start, src_stop, share))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=names)
 
@@ -599,32 +738,35 @@ def passages(
 ) -> DataFrame:
     """doc_id, start, stop, src_doc_id, src_start, src_stop, similarity: words start .. stop - 1 of a document
     repeat words src_start .. src_stop - 1 of another one. Words are lower-cased runs of letters, digits and underscores."""
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
-    rows = stored(_seeded(docs, window, min_words), "passage-seeds")
-    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("one"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
-    nodes = stored(nodes.select("node", "one.doc_id", "one.print", "copies", "n"), "passage-owners")
-    owned = nodes.where("copies > 1").select("node", F.col("doc_id").alias("own_id"), F.col("print").alias("own_print"))
-    other_row = ~(F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("print") == F.col("own_print")))
-    gone = lookup(stored(rows.select("doc_id", "print", "node").join(owned, "node").where(other_row).select("doc_id", "print").distinct(), "passage-copies"))
-    single = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["print"] == gone["print"]), "left_anti").select("node", "keys", "places")
-
-    def texts_of(wanted: DataFrame) -> DataFrame:
-        """node, text of the nodes ``wanted``."""
-        wanted = lookup(stored(wanted.distinct().join(nodes, "node").select("node", "doc_id", "print"), "passage-wanted"))
-        same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["print"] == wanted["print"])
-        return stored(docs.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "passage-texts")
+    rows = stored(_seeded(docs, window, min_words).withColumn("row", F.monotonically_increasing_id()), "passage-seeds")
+    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("one"), F.count(F.lit(1)).alias("copies"))
+    nodes = stored(nodes.select("node", "one.doc_id", "one.row", "copies"), "passage-owners")
+    owned = nodes.where("copies > 1").select("node", F.col("doc_id").alias("own_id"), F.col("row").alias("own_row"))
+    gone = lookup(stored(rows.select("row", "node").join(owned, "node").where("row <> own_row").select("row"), "passage-copies"))
+    single = rows.join(gone, "row", "left_anti").select("node", "keys", "places")
+
+    def texts_of(wanted: DataFrame, *columns: str) -> DataFrame:
+        """node and ``columns`` of the nodes ``wanted``."""
+        wanted = lookup(stored(wanted.distinct().join(nodes, "node").select("row"), "passage-wanted"))
+        return rows.join(wanted, "row", "left_semi").select("node", *columns)
 
     def repeats(links: DataFrame) -> DataFrame:
-        found = stored(chained(links, min_words), "chains")
-        texts = texts_of(found.select("node").unionByName(found.select(F.col("other").alias("node"))))
+        found = stored(chained(links), "chains")
+        texts = texts_of(found.select("node").unionByName(found.select(F.col("other").alias("node"))), "words")
         sliced = stored(_with_slices(found, texts), "chain-words")
-        return stored(aligned(sliced, texts, min_words, similarity), "passages")
+        near = stored(aligned(sliced, texts, min_words, similarity), "passages")
+        longer = stored(near.where("start is null").select("node", "other").distinct(), "longer-pairs")
+        if longer.isEmpty():
+            return near
+        sliced = stored(_with_slices(found.join(lookup(longer), ["node", "other"], "left_semi"), texts, None), "chain-words")
+        whole = stored(aligned(sliced, texts, min_words, similarity), "passages")
+        return near.join(lookup(longer), ["node", "other"], "left_anti").unionByName(whole)
 
     links = seed_links(seeds(single, _common_seeds(single, sampled, rows_per_part)), pairs_to)
     repeated = repeats(links)
     members = stored(unsettled(links, repeated), "unsettled")
     if not members.isEmpty():
-        later = stored(later_links(members, texts_of(members.select("node")), window, min_words, similarity), "later-links")
+        later = stored(later_links(members, texts_of(members.select("node"), "words", "keys", "places"), min_words, similarity), "later-links")
         pairs = stored(later.select("node", "other").distinct(), "later-pairs")
         again = links.select("node", "other", "p", "q").join(pairs, ["node", "other"], "left_semi").unionByName(later)
         repeated = repeated.join(pairs, ["node", "other"], "left_anti").unionByName(repeats(again))

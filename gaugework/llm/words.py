@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -13,6 +14,7 @@ from .memory import remembered
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 _LONGEST_KEPT = 48
+_PIECE = 1 << 16
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
 
@@ -45,6 +47,53 @@ HASHES = WordHashes()
 remembered("words", lambda: len(HASHES), lambda: HASHES.clear())
 
 
+@cache
+def _word_characters() -> np.ndarray:
+    """Whether a code point is a letter, a digit or an underscore."""
+    return np.fromiter((chr(x).isalnum() or x == 95 for x in range(0x110000)), dtype=np.int8, count=0x110000)
+
+
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2 ** 64."""
+    base = int(_ODD[0]) & ~0x7 | 0x3
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full(_PIECE + _LONGEST_KEPT, x, dtype=np.uint64))) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _word_pieces(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where the words of a lower-cased text begin and their hashes, for pieces of ``_PIECE`` characters and up to
+    the end of the last word."""
+    power, back = _powers()
+    low = 0
+    while low < len(text):
+        high = low + _PIECE
+        rest = WORD.match(text, high) if WORD.match(text[high - 1 : high]) else None
+        high = rest.end() if rest else min(high, len(text))
+        code = np.frombuffer(text[low:high].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        edges = np.diff(_word_characters()[code], prepend=np.int8(0), append=np.int8(0))
+        start, stop = np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+        if len(start):
+            known = code[: len(power)]  # what lies behind belongs to a long word
+            total = np.append(np.uint64(0), np.cumsum((known + np.uint32(1)) * power[: len(known)]))
+            out = mix((total[np.minimum(stop, len(known))] - total[start]) * back[start])
+            for i in np.nonzero(stop - start > _LONGEST_KEPT)[0].tolist():
+                out[i] = xxhash.xxh3_64_intdigest(text[low + start[i] : low + stop[i]].encode("utf-8", "surrogatepass"))
+            yield start + low, out
+        low = high
+
+
+def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one text after the other, and how many each text has.
+
+    The words are those of ``WordHashes.text``, the hashes are others: a polynomial of a word's code points as a difference
+    of running sums, for many texts at once; words of over ``_LONGEST_KEPT`` characters are hashed one by one.
+    """
+    lower = [(x or "").lower() for x in texts]
+    none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    start, out = (np.concatenate(x) for x in zip(none, *_word_pieces("\n".join(lower)), strict=True))
+    return out, np.diff(np.searchsorted(start, np.cumsum([len(x) + 1 for x in lower])), prepend=0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gaugework.llm import chained_passages as cp
 from gaugework.llm.common import QUERIES
-from gaugework.llm.words import WORD
+from gaugework.llm.words import WORD, word_hashes
 
 DDL = "doc_id long, text string, node string"
 
@@ -173,3 +174,80 @@ def test_pair_whose_every_stretch_is_in_other_texts(spark):
         pairs.append(frozenset((100_000 + 2 * k, 100_001 + 2 * k)))
     got = {frozenset((r.doc_id, r.src_doc_id)) for r in cp.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == set(pairs)
+
+
+def test_texts_are_read_once(spark):
+    draw, read = random.Random(9), spark.sparkContext.accumulator(0)
+    line = " ".join(f"l{i}" for i in range(12))
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join([f"x{draw.randrange(10**6)}" for _ in range(60)] + [line, passage if i % 3 == 0 else ""])) for i in range(90)]
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", F.udf(counted, "string")("text"))
+    got = cp.passages(docs).collect()
+    assert {i for r in got for i in (r.doc_id, r.src_doc_id)} == set(range(0, 90, 3))
+    assert read.value == len(rows)
+
+
+def test_word_hashes_tell_words_apart():
+    draw = random.Random(10)
+    texts = ["", None, "Hello, WORLD hello", "straße ΑΣ ΑΣΑ x_y 12½ ǅ", "a" * 60 + " b " + "a" * 61, "\n\n", "\ud800 z", "İi 𝒳𝒴 𐐀𐐨", "_ __"]
+    texts += [" ".join("".join(draw.choices("abAB_9 é\n", k=draw.randrange(9))) for _ in range(3000)) for _ in range(20)]
+    texts += ["ab " * 50_000, "x" * 200_000 + " y", "z" * (1 << 16), "q" * 65_530 + " rstuvwxyz ab"]
+    hashes, sizes = word_hashes(texts)
+    words = [WORD.findall((x or "").lower()) for x in texts]
+    assert sizes.tolist() == [len(x) for x in words]
+    pairs = set(zip((w for x in words for w in x), hashes.tolist(), strict=True))
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert np.array_equal(np.concatenate([word_hashes([x])[0] for x in texts]), hashes)
+
+
+def test_minimizers_of_several_texts():
+    draw = np.random.default_rng(11)
+    for window in (1, 2, 7, 10):
+        for _ in range(50):
+            sizes = draw.integers(0, 40, draw.integers(1, 8))
+            keys = draw.integers(0, draw.integers(2, 50), sizes.sum()).astype(np.uint64)
+            want, low = [], 0
+            for n in sizes.tolist():
+                own = keys[low : low + n]
+                want += sorted({low + i + int(np.argmin(own[i : i + window])) for i in range(max(1, n - window + 1))} if n else ())
+                low += n
+            assert cp.minimizers(keys, window, sizes).tolist() == want
+
+
+@pytest.mark.parametrize("one_block", [True, False])
+def test_rare_words_lose_no_pair(one_block):
+    """Rows with words at equal places of which some are in most rows: every pair with 40 equal words of 50 is returned."""
+    draw = np.random.default_rng(12)
+    base = draw.integers(2, 10**9, (40, 95)).astype(np.uint32)
+    rows = [np.where(draw.random((400, 95)) < 0.5, base[0], draw.integers(2, 30, (400, 95)).astype(np.uint32))]
+    rows += [np.where(draw.random(95) < share, base[k], draw.integers(2, 10**9, 95).astype(np.uint32))[None] for k in range(40) for share in (0.75, 0.9, 1)]
+    rows = np.concatenate(rows)
+    rows[:, 45:50] = 7  # the common seed
+    rows[::9, :20] = 0  # a text begins there
+    both = [rows, rows] if one_block else [rows[::2], rows[1::2]]
+    both[1] = np.where(both[1] == 0, 1, both[1])
+    near = cp._by_rare_words(both, 50, 40, one_block)
+    returned = 0
+    for side in (0, 1):
+        for i, row in enumerate(both[side]):
+            total = np.cumsum(np.concatenate([np.zeros((len(both[1 - side]), 1), int), both[1 - side] == row], axis=1), axis=1)
+            alike = set(np.nonzero((total[:, 50:] - total[:, :-50]).max(axis=1) >= 40)[0].tolist()) - ({i} if one_block else set())
+            found = set(near(side, i).tolist())
+            assert alike <= found
+            returned += len(found)
+    assert returned < 0.5 * 2 * len(both[0]) * len(both[1])
+
+
+def test_passage_goes_on_without_seeds(spark):
+    """Thirty equal words, then two hundred of which every fifth differs: no seed, but the passage doesn't end there."""
+    draw = random.Random(13)
+    own = [f"w{i}" for i in range(230)]
+    other = [x if i < 30 or i % 5 else f"y{i}" for i, x in enumerate(own)]
+    rows = [(i, " ".join([f"x{draw.randrange(10**6)}" for _ in range(40)] + x + [f"x{draw.randrange(10**6)}" for _ in range(40)])) for i, x in enumerate((own, other, own[::-1], other[::-1]))]
+    got = sorted((r.doc_id, r.src_doc_id, r.stop - r.start) for r in cp.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [{*r[:2]} for r in got] in ([{0, 1}, {2, 3}], [{2, 3}, {0, 1}]) and all(220 <= r[2] <= 232 for r in got)
