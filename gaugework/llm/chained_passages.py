@@ -673,7 +673,7 @@ def spans(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, min_words:
 
 
 def _with_slices(found: DataFrame, texts: DataFrame, margin: int | None = MARGIN) -> DataFrame:
-    """Chains with the words of their node around them: node, other, p, q, words, low (where words begin), rest (words after
+    """Chains with the words of their node around them: node, other, part, p, q, words, low (where words begin), rest (words after
     them); all words if ``margin`` is None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -688,11 +688,11 @@ def _with_slices(found: DataFrame, texts: DataFrame, margin: int | None = MARGIN
                 lows.append(low)
                 rest.append(len(all_words) - high)
                 words.append(all_words[low:high].tobytes())
-            columns = [*(batch.column(x) for x in ("node", "other", "p", "q")), pa.array(words, pa.binary()), pa.array(lows, pa.int32()), pa.array(rest, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "other", "p", "q", "words", "low", "rest"])
+            columns = [*(batch.column(x) for x in ("node", "other", "part", "p", "q")), pa.array(words, pa.binary()), pa.array(lows, pa.int32()), pa.array(rest, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "other", "part", "p", "q", "words", "low", "rest"])
 
     joined = found.join(texts, "node")
-    return joined.mapInArrow(run, "node bigint, other bigint, p array<int>, q array<int>, words binary, low int, rest int")
+    return joined.mapInArrow(run, "node bigint, other bigint, part bigint, p array<int>, q array<int>, words binary, low int, rest int")
 
 
 def _lists(column: pa.ListArray) -> tuple[list[int], np.ndarray]:
@@ -701,13 +701,13 @@ def _lists(column: pa.ListArray) -> tuple[list[int], np.ndarray]:
     return np.append(0, np.cumsum(sizes)).tolist(), column.flatten().to_numpy()
 
 
-def aligned(sliced: DataFrame, texts: DataFrame, min_words: int, similarity: float) -> DataFrame:
+def aligned(found: DataFrame, texts: DataFrame, min_words: int, similarity: float, margin: int | None = MARGIN) -> DataFrame:
     """node, other, start, stop, src_start, src_stop, similarity of every passage; node and other only for chains that may
     extend beyond the words that go with them. The chains of one other are dealt into parts; each part gets that text once."""
-    counted = sliced.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / CHAINS_A_PART).alias("parts"))
-    dealt = sliced.join(counted, "other").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
+    counted = found.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / CHAINS_A_PART).alias("parts"))
+    dealt = found.join(counted, "other").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
     heads = dealt.select("other", "part").distinct().join(texts.select(F.col("node").alias("other"), F.col("words").alias("text")), "other")
-    both = dealt.unionByName(heads, allowMissingColumns=True).repartition("other", "part").sortWithinPartitions("other", "part", F.asc_nulls_first("node"), "p")
+    both = _with_slices(dealt, texts, margin).unionByName(heads, allowMissingColumns=True).repartition("other", "part").sortWithinPartitions("other", "part", F.asc_nulls_first("node"), "p")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
@@ -753,13 +753,12 @@ def passages(
     def repeats(links: DataFrame) -> DataFrame:
         found = stored(chained(links), "chains")
         texts = texts_of(found.select("node").unionByName(found.select(F.col("other").alias("node"))), "words")
-        sliced = stored(_with_slices(found, texts), "chain-words")
-        near = stored(aligned(sliced, texts, min_words, similarity), "passages")
+        near = stored(aligned(found, texts, min_words, similarity), "passages")
         longer = stored(near.where("start is null").select("node", "other").distinct(), "longer-pairs")
         if longer.isEmpty():
             return near
-        sliced = stored(_with_slices(found.join(lookup(longer), ["node", "other"], "left_semi"), texts, None), "chain-words")
-        whole = stored(aligned(sliced, texts, min_words, similarity), "passages")
+        again = found.join(lookup(longer), ["node", "other"], "left_semi")
+        whole = stored(aligned(again, texts, min_words, similarity, None), "passages")
         return near.join(lookup(longer), ["node", "other"], "left_anti").unionByName(whole)
 
     links = seed_links(seeds(single, _common_seeds(single, sampled, rows_per_part)), pairs_to)
