@@ -85,6 +85,87 @@ def test_cells_merge_in_any_order():
     assert both == live.merged(two, one) == (3, 5.0, 26.0, 2.0, 9.0, 1, 5, 7, 9.0, 20, 2, 4.0)
 
 
+class Handle:
+    """State of one asset that counts how often it is called."""
+
+    def __init__(self):
+        self.calls, self.kept, self.timers = 0, None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.kept
+
+    def update(self, value):
+        self.calls, self.kept = self.calls + 1, value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+class Now:
+    def __init__(self, at):
+        self.ms = int((at - datetime(1970, 1, 1)) / timedelta(milliseconds=1))
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_many_windows_of_an_asset_cost_one_call_each_way(spark):
+    """A batch reads and writes the state of an asset once and sets one timer, however many windows and failures it has."""
+    rows = [(7, START + timedelta(hours=3 * i), kind, i, 1.0) for i in range(240) for kind in (live.TELEMETRY, live.FAILURE, live.METER, live.UPKEEP)]
+    shape, day = live.Shape.of("24 hours", "48 hours", "5 days"), timedelta(days=1)
+    stream = spark.createDataFrame(rows, ROWS).select("*", F.unix_micros("event_time").alias("us")).coalesce(1)
+    parts = live.merge_parts(stream, shape).collect()
+    assert len(parts) == 1 and parts[0].us == max(epoch_us(r[1]) for r in rows)
+    one, handle = live.PointInTime(shape), Handle()
+    one.init(handle)
+    assert list(one.handleInputRows((7,), iter(parts), Now(START))) == []
+    assert handle.calls == 3 and len(handle.timers) == 1
+    (out,) = one.handleExpiredTimer((7,), Now(START + 20 * day), None)
+    assert handle.calls == 6 and len(out.snapshots) == 20 * live._SNAPSHOTS.rows.size and len(out.labels) == 18 * live._LABELS.rows.size
+    # a stale timer finds nothing; the windows that were emitted are not opened again by rows that come too late
+    assert list(one.handleExpiredTimer((7,), Now(START + 20 * day), None)) == []
+    list(one.handleInputRows((7,), iter(parts), Now(START + 20 * day)))
+    (out,) = one.handleExpiredTimer((7,), Now(START + 60 * day), None)
+    assert len(out.snapshots) == 10 * live._SNAPSHOTS.rows.size and len(out.labels) == 12 * live._LABELS.rows.size
+    assert not live.Asset(handle.kept).failed and live.Asset(handle.kept).wake is None
+
+
+def epoch_us(at):
+    return (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
+@pytest.mark.parametrize("kind", [live.TELEMETRY, live.FAILURE, live.METER, live.UPKEEP, "other"])
+def test_parts_of_one_kind(spark, kind):
+    rows = [("a", START, kind, None, 1.0), ("a", START + timedelta(hours=1), kind, 2, 3.0), ("b", START, kind, 1, None)]
+    stream = spark.createDataFrame(rows, ROWS.replace("asset_id long", "asset_id string")).select("*", F.unix_micros("event_time").alias("us"))
+    parts = {r.asset_id: r for r in live.merge_parts(stream.coalesce(1), live.Shape.of()).collect()}
+    assert sorted(parts) == ([] if kind == "other" else ["a", "b"])
+    if kind == live.TELEMETRY:
+        ((_, n, mean, m2, *_),) = live._CELLS.rows.iter_unpack(parts["a"].cells)
+        assert (n, mean, m2) == (2, 2.0, 2.0)
+    elif kind != "other":
+        name, layout = live._PARTS[kind]
+        assert len(parts["a"][name]) == layout.rows.size * 2
+
+
+def test_rows_that_come_after_their_window_closed(spark):
+    """A late row beside rows in time doesn't give a second snapshot of its window."""
+    base, hour = scratch_path(spark, "late"), timedelta(hours=1)
+    for part in ([(1, START + 2 * hour, 5.0), (1, START + 40 * hour, 6.0)], [(1, START + 3 * hour, 7.0), (1, START + 41 * hour, 8.0), (2, START + 90 * hour, 9.0)]):
+        rows = [(asset, at, live.TELEMETRY, i, value) for i, (asset, at, value) in enumerate(part)]
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        with live.large_state(spark):
+            stream = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).parquet(f"{base}/in")
+            ingest.append_table(live.point_in_time(stream, live.Shape.of()), f"{base}/out", f"{base}/checkpoint")
+    got = live.labelled(spark.read.parquet(f"{base}/out")).orderBy("feature_time").collect()
+    assert [(r.asset_id, r.feature_time, r.telemetry_count, r.value_max) for r in got] == [(1, START + 24 * hour, 1, 5.0), (1, START + 48 * hour, 2, 8.0)]
+
+
 def test_outcomes_of_early_and_late_failures(spark):
     base, hour = scratch_path(spark, "outcomes"), timedelta(hours=1)
     predicted = [(i, 1 + i % 2, START + i * hour, 24, 0.9 if i % 3 else 0.1, 0.5) for i in range(8)]
