@@ -35,20 +35,32 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def training_rows(data: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """``features, label, held_out, weight`` of the train and validation splits, which must hold both classes.
+def labelled_rows(data: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``features, label, dataset_split`` of the labelled rows; each split must hold both classes.
 
-    The rows are written once to the shared folder: every boosting round reads them
-    again, and a written table survives the loss of executors.
+    The rows are written once to the shared folder: the check, the fit and the evaluation read them
+    again instead of building the snapshots, and a written table survives the loss of executors.
     """
     spark = data.sparkSession
-    require_trainable(data, label)
-    rows = clean(data, features).where(F.col(label).isNotNull() & F.col("dataset_split").isin("train", "validation"))
     path = scratch_path(spark, "training")
-    rows.select(*features, F.col(label).cast("double").alias("label"), (F.col("dataset_split") == "validation").alias("held_out")).write.parquet(path)
+    rows = clean(data, features).where(F.col(label).isNotNull())
+    rows.select(*features, F.col(label).cast("double").alias("label"), "dataset_split").write.parquet(path)
     stored = spark.read.parquet(path)
-    weight = class_weight(stored.where("NOT held_out"), "label").select("positive_weight").scalar()
-    return stored.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0))
+    require_trainable(stored, "label")
+    return stored
+
+
+def weighted_rows(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``features, label, held_out, weight`` of the train and validation splits of ``labelled_rows``."""
+    both = rows.where(F.col("dataset_split").isin("train", "validation"))
+    both = both.select(*features, "label", (F.col("dataset_split") == "validation").alias("held_out"))
+    weight = class_weight(both.where("NOT held_out"), "label").select("positive_weight").scalar()
+    return both.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0))
+
+
+def training_rows(data: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``features, label, held_out, weight`` of the train and validation splits, which must hold both classes."""
+    return weighted_rows(labelled_rows(data, features, label), features)
 
 
 def boosted(features: Sequence[str], trees: int, depth: int, **more) -> Pipeline:
@@ -95,7 +107,8 @@ def linear_score(df: DataFrame, weights: Mapping[str, float], bias: float) -> Da
 def evaluate(data: DataFrame, fitted: PipelineModel, features: Sequence[str], label: str) -> DataFrame:
     """Threshold from the validation split, metrics on the test split, one row."""
     # score columns are written once: the threshold and three metric passes read them
-    scored = score(data.where(F.col(label).isNotNull()), fitted, features).select("dataset_split", "failure_probability", label)
+    judged = data.where(F.col(label).isNotNull() & F.col("dataset_split").isin("validation", "test"))
+    scored = score(judged, fitted, features).select("dataset_split", "failure_probability", label)
     path = scratch_path(data.sparkSession, "scores")
     scored.write.parquet(path)
     stored = data.sparkSession.read.parquet(path)

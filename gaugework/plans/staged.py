@@ -4,15 +4,22 @@ The ensemble is grown by doubling: the first k trees of a longer fit are those o
 a seed of its own), so one fit gives the scores of all its rounds. The rounds are judged together: a validation row
 gives one running margin per round, rows of a round and margin are counted, and the average precision of every round
 comes from the same range-partitioned running totals. When no round has been better for ``patience`` rounds, growing
-ends; the model returned has the trees up to the best round. All fits together cost at most five times one of the
-rounds that were judged. The shuffle holds at most (validation rows x rounds) narrow counts.
+ends; the model returned has the trees of the last fit up to the best round. All fits together cost at most four times
+one of the rounds that were judged. The shuffle holds at most (validation rows x rounds) narrow counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import _jvm
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.num import ratio
@@ -20,6 +27,8 @@ from ..session import cut
 from .model import DEPTH, TREES, boosted, training_rows
 
 PATIENCE = 40  # fixed value: rounds without a better one after which the published model stops
+_PREDICT = re.compile(r"Predict: (\S+)")  # leaves in a tree's text, which lists them in the order of their numbers
+_STAGED_ROWS = 500_000  # scores that a task holds at once
 
 
 def average_precision_by(df: DataFrame, group: str, score: str, label: str) -> DataFrame:
@@ -67,25 +76,53 @@ def stopping_curve(curve: DataFrame, patience: int = PATIENCE) -> DataFrame:
 
 
 def staged_scores(df: DataFrame, fitted: PipelineModel, label: str) -> DataFrame:
-    """``round, margin, label``: the score of every row after each round of the ensemble."""
+    """``round, margin, label``: the score of every row after each round of the ensemble.
+
+    One pass over the trees finds the leaf of each; what the leaves add is looked up and summed by the column.
+    """
+    assembler, ensemble = fitted.stages
+    added = [[float(x) * w for x in _PREDICT.findall(t.toDebugString)] for t, w in zip(ensemble.trees, ensemble.treeWeights)]
+    table = np.zeros((len(added), max(map(len, added))))
+    for i, values in enumerate(added):
+        table[i, : len(values)] = values
+    rounds, most = np.arange(len(added), dtype="int32"), max(1, _STAGED_ROWS // len(added))
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, most):
+                batch = whole.slice(at, most)
+                leaves = batch.column("leaves").flatten().to_numpy().reshape(batch.num_rows, len(table)).astype("int64")
+                sums = np.cumsum(table[rounds, leaves], axis=1)
+                labels = batch.column("label").take(pa.array(np.repeat(np.arange(len(sums)), len(table))))
+                yield pa.RecordBatch.from_pydict({"round": np.tile(rounds + 1, len(sums)), "margin": sums.ravel(), "label": labels})
+
+    found = ensemble.copy({ensemble.leafCol: "leaves"}).transform(assembler.transform(df))
+    kind = df.schema[label].dataType.simpleString()
+    return found.select(vector_to_array("leaves").alias("leaves"), F.col(label).alias("label")).mapInArrow(margins, f"round int, margin double, label {kind}")
+
+
+def first_trees(fitted: PipelineModel, trees: int) -> PipelineModel:
+    """The model of the first rounds: what a fit of so many rounds on the same rows gives."""
     assembler, ensemble = fitted.stages
-    rows = assembler.transform(df).select("vector", F.col(label).alias("label"))
-    parts = []
-    for i, (tree, weight) in enumerate(zip(ensemble.trees, ensemble.treeWeights)):
-        rows = tree.setFeaturesCol("vector").setPredictionCol(f"_t{i}").transform(rows)
-        parts.append(F.col(f"_t{i}") * F.lit(float(weight)))
-    start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("all"))
-    grow = lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.array_append(a["all"], a["sum"] + x).alias("all"))
-    margins = F.aggregate(F.array(*parts), start, grow, lambda a: a["all"])
-    at = rows.select("label", F.posexplode(margins).alias("_i", "margin"))
-    return at.select((F.col("_i") + 1).alias("round"), "margin", "label")
+    java, jvm, array = ensemble._java_obj, _jvm(), JavaWrapper._new_java_array
+    kept = array([t._java_obj for t in ensemble.trees[:trees]], jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel)
+    weights = array(ensemble.treeWeights[:trees], jvm.double)
+    name = "org.apache.spark.ml.classification.GBTClassificationModel"
+    shorter = GBTClassificationModel(JavaWrapper._new_java_obj(name, java.uid(), kept, weights, java.numFeatures(), java.numClasses()))
+    return PipelineModel([assembler, ensemble._copyValues(shorter)._set(maxIter=trees)])
 
 
 def fit_stopped(
     data: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH, patience: int = PATIENCE
 ) -> tuple[PipelineModel, DataFrame]:
     """The model up to its best round, and the curve that chose it. Each split must hold both classes."""
-    rows = training_rows(data, features, label)
+    return grow_stopped(training_rows(data, features, label), features, trees, depth, patience)
+
+
+def grow_stopped(
+    rows: DataFrame, features: Sequence[str], trees: int = TREES, depth: int = DEPTH, patience: int = PATIENCE
+) -> tuple[PipelineModel, DataFrame]:
+    """The same of rows as ``training_rows`` gives them."""
     train, held = rows.where("NOT held_out"), rows.where("held_out")
     grown = min(trees, patience + max(1, patience // 4))
     while True:
@@ -96,5 +133,5 @@ def fit_stopped(
             break
         grown = min(trees, 2 * grown)
     if stop.best < grown:
-        fitted = boosted(features, stop.best, depth).fit(train)
+        fitted = first_trees(fitted, stop.best)
     return fitted, curve.where("evaluated").drop("evaluated")

@@ -183,9 +183,9 @@ def snapshot_rows(t):
 @query("j05_train_and_evaluate")
 def j05(t):
     """Boosted trees with a class weight, stopped by average precision on the validation split; metrics on the test split."""
-    data = snapshot_rows(t)
-    fitted, _ = staged.fit_stopped(data, FEATURES, snap.LABEL)
-    return model.evaluate(data, fitted, FEATURES, snap.LABEL)
+    rows = model.labelled_rows(snapshot_rows(t), FEATURES, snap.LABEL)
+    fitted, _ = staged.grow_stopped(model.weighted_rows(rows, FEATURES), FEATURES)
+    return model.evaluate(rows, fitted, FEATURES, "label")
 
 
 @query("j05_stopping_curve")

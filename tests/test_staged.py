@@ -92,3 +92,62 @@ def test_model_has_the_trees_of_the_best_round(spark, data):
     scored = model.score(data.where("dataset_split = 'validation'"), fitted, ["a", "b"])
     reached = ranking_metrics(scored, "failure_probability", "y").first().average_precision
     assert reached == pytest.approx(max(r.average_precision for r in rows), abs=1e-6)
+
+
+def test_the_chosen_rounds_are_not_fitted_again(spark, data, monkeypatch):
+    """The first trees of the last fit are the model; they equal those of a fit of so many rounds."""
+    grown = []
+    monkeypatch.setattr(staged, "boosted", lambda features, trees, depth: grown.append(trees) or model.boosted(features, trees, depth))
+    rows = model.training_rows(data, ["a", "b"], "y")
+    fitted, curve = staged.grow_stopped(rows, ["a", "b"], trees=14, depth=3, patience=3)
+    best = curve.where("chosen").first()["round"]
+    assert grown == sorted(set(grown)) and best < grown[-1]
+    again = model.boosted(["a", "b"], best, 3).fit(rows.where("NOT held_out"))
+    one, other = fitted.stages[1], again.stages[1]
+    assert one.toDebugString.split("\n", 1)[1] == other.toDebugString.split("\n", 1)[1] and one.treeWeights == other.treeWeights
+    assert (one.numFeatures, one.getMaxIter(), one.featureImportances) == (other.numFeatures, best, other.featureImportances)
+    scores = [[r.failure_probability for r in model.score(data, m, ["a", "b"]).orderBy("a").collect()] for m in (fitted, again)]
+    assert scores[0] == scores[1]
+
+
+def test_snapshots_are_built_once(spark, data, monkeypatch):
+    """The check, the fit and the evaluation of the query read the rows that were written."""
+    from gaugework.queries import monitoring
+
+    built, read = spark.sparkContext.accumulator(0), []
+
+    def counted(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    rows = data.withColumnRenamed("y", monitoring.snap.LABEL)
+    monkeypatch.setattr(monitoring, "snapshot_rows", lambda t: rows.mapInArrow(counted, rows.schema))
+    monkeypatch.setattr(monitoring, "FEATURES", ["a", "b"])
+    fit, judge = staged.grow_stopped, model.evaluate
+    monkeypatch.setattr(staged, "grow_stopped", lambda found, features: fit(found, features, 4, 3, 2))
+    monkeypatch.setattr(model, "evaluate", lambda found, *more: read.append(found) or judge(found, *more))
+    out = monitoring.j05(None).first()
+    assert built.value == rows.count() and all("training-" in f for f in read[0].inputFiles())
+    assert out.tp + out.fp + out.fn + out.tn == rows.where("dataset_split = 'test'").count()
+
+
+def test_scores_of_many_rounds_and_single_leaves(spark):
+    """The scores are those of the trees one by one, also of trees without a split and where a batch is cut."""
+    rows = spark.range(900).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 3 == 0).cast("double").alias("label"), F.lit(1.0).alias("weight")).transform(cut)
+    constant = rows.withColumns({"a": F.lit(1.0), "b": F.lit(2.0)})
+    for train, depth in ((rows, 4), (constant, 2)):
+        fitted = model.boosted(["a", "b"], 7, depth).fit(train)
+        got = staged.staged_scores(rows, fitted, "label")
+        assert got.dtypes == [("round", "int"), ("margin", "double"), ("label", "double")]
+        assembler, ensemble = fitted.stages
+        vectors = [r.vector for r in assembler.transform(rows).collect()]
+        labels = [r.label for r in rows.collect()]
+        want = []
+        for v, y in zip(vectors[:40], labels):
+            total = 0.0
+            for k, (tree, w) in enumerate(zip(ensemble.trees, ensemble.treeWeights), 1):
+                total += tree.predict(v) * w
+                want.append((k, total, y))
+        found = [tuple(r) for r in got.collect()]
+        assert len(found) == 900 * 7 and found[: len(want)] == want
